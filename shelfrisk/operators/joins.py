@@ -82,12 +82,12 @@ def fk_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str,
                  .groupBy(fk).agg(F.count(F.lit(1)).alias("orphan_rows")))
     parents = parent.select(F.col(pk).alias(fk)).filter(F.col(fk).isNotNull())
     out = keys.join(parents, fk, "left_anti")
-    return out.select(F.lit(name or fk).alias("constraint"),
+    return out.select(F.lit(name or fk).alias("fk_name"),
                       F.col(fk).cast("string").alias("orphan_key"), "orphan_rows")
 
 
 def fk_summary(orphans: DataFrame) -> DataFrame:
     """J7 summary: orphan keys and orphan rows per constraint."""
-    return orphans.groupBy("constraint").agg(
+    return orphans.groupBy("fk_name").agg(
         F.count(F.lit(1)).alias("orphan_keys"),
         F.sum("orphan_rows").cast("long").alias("orphan_rows"))

@@ -62,4 +62,4 @@ DRIVER_EVENT_TYPES = ("view", "click", "purchase")
 
 # Classes whose size is at most this many rows get an exact per-class rank in
 # the stratified split; larger classes use a hash threshold (no big sort).
-EXACT_SPLIT_MAX_CLASS_ROWS = 100_000
+EXACT_SPLIT_MAX_CLASS_ROWS = 1_000
