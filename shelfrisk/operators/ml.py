@@ -146,8 +146,10 @@ def forest_pipeline(features: Sequence[str], categorical: Sequence[str], label:
     if categorical:
         stages.append(label_encoder(categorical))
     stages.append(VectorAssembler(inputCols=indexed, outputCol="features", handleInvalid="keep"))
+    # no depth limit in the reference; 30 is MLlib's maximum
     rf = RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=num_trees,
-                                seed=seed, maxDepth=30, maxBins=64)
+                                seed=seed, maxDepth=30, maxBins=64, cacheNodeIds=True,
+                                maxMemoryInMB=512)
     if weight_col:
         rf = rf.setWeightCol(weight_col)
     stages.append(rf)
@@ -197,36 +199,49 @@ def _safe_div(a: Column, b: Column) -> Column:
 
 
 def classification_report(confusion: DataFrame, label: str = P.LABEL,
-                          prediction: str = "prediction") -> DataFrame:
+                          prediction: str = "prediction",
+                          labels: Sequence[int] = (0, 1)) -> DataFrame:
     """M10 from the M9 counts: per-class precision / recall / F1 / support
-    (0 on an empty denominator), plus accuracy, macro and weighted means."""
-    support = confusion.groupBy(F.col(label).alias("c")).agg(F.sum("n").alias("support"))
-    predicted = confusion.groupBy(F.col(prediction).alias("c")).agg(F.sum("n").alias("predicted"))
-    tp = confusion.filter(F.col(label) == F.col(prediction)).select(F.col(label).alias("c"),
-                                                                    F.col("n").alias("tp"))
-    per = (support.join(predicted, "c", "full").join(tp, "c", "full")
-           .select("c", *[F.coalesce(x, F.lit(0)).cast("long").alias(x)
-                          for x in ("support", "predicted", "tp")]))
-    per = per.withColumns({"precision": _safe_div(F.col("tp"), F.col("predicted")),
-                           "recall": _safe_div(F.col("tp"), F.col("support"))})
-    per = per.withColumn("f1_score", F.when(
-        F.col("precision") + F.col("recall") > 0,
-        F.lit(2.0) * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall")))
-        .otherwise(F.lit(0.0)))
-    classes = per.select(F.col("c").cast("string").alias("class_label"), "precision", "recall",
-                         "f1_score", F.col("support").cast("long"))
-    total = F.sum("support")
-    acc = per.agg(F.lit("accuracy").alias("class_label"), F.lit(None).cast("double").alias("precision"),
-                  F.lit(None).cast("double").alias("recall"),
-                  _safe_div(F.sum("tp"), total).alias("f1_score"), total.cast("long").alias("support"))
-    macro = per.agg(F.lit("macro avg").alias("class_label"), F.avg("precision").alias("precision"),
-                    F.avg("recall").alias("recall"), F.avg("f1_score").alias("f1_score"),
-                    total.cast("long").alias("support"))
-    weighted = per.agg(F.lit("weighted avg").alias("class_label"),
-                       *[_safe_div(F.sum(F.col(m) * F.col("support")), total).alias(m)
-                         for m in ("precision", "recall", "f1_score")],
-                       total.cast("long").alias("support"))
-    return classes.unionByName(acc).unionByName(macro).unionByName(weighted)
+    (0 on an empty denominator), plus accuracy, macro and weighted means.
+
+    One aggregate turns the k x k counts into a single row of cells; every
+    report row is then an expression over that row (one explode), so the
+    upstream plan runs once."""
+    lab, pred, n = F.col(label), F.col(prediction), F.col("n")
+    cells = []
+    for c in labels:
+        cells += [F.sum(F.when(lab == c, n).otherwise(0)).alias(f"s{c}"),
+                  F.sum(F.when(pred == c, n).otherwise(0)).alias(f"p{c}"),
+                  F.sum(F.when((lab == c) & (pred == c), n).otherwise(0)).alias(f"t{c}")]
+    row = confusion.agg(*cells)
+    per = []
+    for c in labels:
+        prec = _safe_div(F.col(f"t{c}"), F.col(f"p{c}"))
+        rec = _safe_div(F.col(f"t{c}"), F.col(f"s{c}"))
+        f1 = F.when(prec + rec > 0, F.lit(2.0) * prec * rec / (prec + rec)).otherwise(F.lit(0.0))
+        per.append((str(c), prec, rec, f1, F.col(f"s{c}")))
+    total = sum((F.col(f"s{c}") for c in labels[1:]), F.col(f"s{labels[0]}"))
+    tp = sum((F.col(f"t{c}") for c in labels[1:]), F.col(f"t{labels[0]}"))
+    k = float(len(labels))
+
+    def mean(i):
+        return sum((p[i] for p in per[1:]), per[0][i]) / F.lit(k)
+
+    def weighted(i):
+        return _safe_div(sum((p[i] * p[4] for p in per[1:]), per[0][i] * per[0][4]), total)
+
+    none = F.lit(None).cast("double")
+
+    def line(name, prec, rec, f1, support):
+        return F.struct(F.lit(name).alias("class_label"), prec.alias("precision"),
+                        rec.alias("recall"), f1.alias("f1_score"),
+                        support.cast("long").alias("support"))
+
+    rows = [line(*p) for p in per]
+    rows += [line("accuracy", none, none, _safe_div(tp, total), total),
+             line("macro avg", mean(1), mean(2), mean(3), total),
+             line("weighted avg", weighted(1), weighted(2), weighted(3), total)]
+    return row.select(F.inline(F.array(*rows)))
 
 
 def class_distribution(split: DataFrame, label: str = P.LABEL) -> DataFrame:

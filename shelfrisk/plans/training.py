@@ -8,12 +8,16 @@ from pyspark.sql import functions as F
 
 from .. import params as P
 from ..operators import ml as M
+from ..session import scratch_root
 
 
 def run_training(spark: SparkSession, fact: DataFrame, model_path: str | None = None,
                  num_trees: int = P.NUM_TREES, seed: int = P.SEED) -> dict[str, DataFrame]:
     data, features, categorical = M.prepare_features(fact)
-    split = M.stratified_split(data, seed=seed)
+    # the split feeds fit, scoring and the distribution: cut its lineage once
+    # (reliable checkpoint in the shared spark.checkpoint.dir)
+    scratch_root(spark)
+    split = M.stratified_split(data, seed=seed).checkpoint()
     train = split.filter(~F.col("is_test")).drop("is_test")
     test = split.filter(F.col("is_test")).drop("is_test")
     model = M.fit_forest(train, features, categorical, num_trees=num_trees, seed=seed)
