@@ -67,12 +67,23 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """S4 quarantine: (parsed rows, malformed rows with their raw text)."""
+    """S4 quarantine: (parsed rows, malformed rows with their raw text).
+    Spark refuses a raw JSON/CSV scan whose only needed column is the corrupt
+    column (e.g. a bare count of the bad rows); use ``quarantine`` for that."""
     good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
     bad = df.filter(F.col(CORRUPT).isNotNull())
     return good, bad
 
 
+def quarantine(spark: SparkSession, df: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """S4 at scale: land the permissive parse (fields + raw text of bad
+    records) once as Parquet, then split parsed / malformed rows from the
+    landed table, so the source is parsed a single time and any query on the
+    bad rows is allowed."""
+    df.write.mode("overwrite").parquet(path)
+    return split_corrupt(spark.read.parquet(path))
+
+
 READERS = {"csv": read_csv, "json": read_json_array, "jsonl": read_jsonl}
 
 
