@@ -71,10 +71,12 @@ def region_avg_sales(fact: DataFrame) -> DataFrame:
 
 
 def at_risk_rows(fact: DataFrame) -> DataFrame:
-    """Q10: flagged rows, hottest demand first, then lowest stock."""
+    """Q10: flagged rows, hottest demand first, then lowest stock.  The grain
+    key closes the order: the output order is total, and the range
+    partitioning of the sort can split rows that tie on (sales, stock)."""
     return (fact.filter(F.col(P.LABEL) == 1)
                 .select("product_id", "store_id", "stock_qty", "sales_7d", P.LABEL)
-                .orderBy(F.desc("sales_7d"), F.asc("stock_qty")))
+                .orderBy(F.desc("sales_7d"), F.asc("stock_qty"), "product_id", "store_id"))
 
 
 def chart_risk(fact: DataFrame) -> DataFrame:
