@@ -544,7 +544,26 @@ FINAL: dict[str, str] = {
     "overwrite_reload": _row_counts(),
     "run_log": "SELECT 'etl' AS step, 'rows_written' AS metric, CAST(COUNT(*) AS DOUBLE) AS \"value\" FROM fact",
     "landing_stream": "SELECT * FROM r_events",
+    "ingest_round_trip": _profile(),
+    "etl_run_fact": fact("rc_orders", "rc_products", "rc_stores", "rc_inventory", "rc_reviews", "rc_events"),
+    "fact_partitioned_round_trip": "SELECT * FROM fact",
+    "warehouse_sql_row_counts": _row_counts(),
+    "time_anchors": "SELECT 'orders' AS clock, max(order_date) AS anchor FROM c_orders UNION ALL "
+                    "SELECT 'events', max(event_ts) FROM c_events",
+    "trailing_window": "SELECT * FROM c_orders WHERE order_date >= "
+                       f"(SELECT max(order_date) FROM c_orders) - INTERVAL {P.LONG_WINDOW_DAYS} DAY",
+    "encoded_features": """SELECT f.sales_7d, f.sales_30d, f.avg_rating, f.stock_qty,
+        CAST(COALESCE(c.idx, (SELECT COUNT(DISTINCT category) FROM fact)) AS DOUBLE) AS category_idx,
+        CAST(COALESCE(r.idx, (SELECT COUNT(DISTINCT region) FROM fact)) AS DOUBLE) AS region_idx,
+        f.web_signal, f.stockout_risk
+      FROM fact f
+      LEFT JOIN (SELECT category AS v, dense_rank() OVER (ORDER BY category) - 1 AS idx
+                 FROM (SELECT DISTINCT category FROM fact WHERE category IS NOT NULL)) c ON f.category = c.v
+      LEFT JOIN (SELECT region AS v, dense_rank() OVER (ORDER BY region) - 1 AS idx
+                 FROM (SELECT DISTINCT region FROM fact WHERE region IS NOT NULL)) r ON f.region = r.v
+      WHERE f.stockout_risk IS NOT NULL""",
 }
+FINAL["etl_run_quality"] = FINAL["quality_summary"]
 
 
 def oracle_sql() -> dict[str, str]:

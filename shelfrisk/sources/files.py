@@ -36,19 +36,22 @@ def _with_corrupt(schema: T.StructType) -> T.StructType:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True,
-             na_tokens: Sequence[str] = ("",), quarantine: bool = False) -> DataFrame:
+             na_tokens: Sequence[str] = ("",), quarantine: bool = False,
+             multi_line: bool = False) -> DataFrame:
     """CSV with header and an explicit schema.  ``na_tokens`` lists the
     texts read as NULL (Spark's default is the empty field only;
-    ``PANDAS_NA_TOKENS`` reproduces a pandas read)."""
+    ``PANDAS_NA_TOKENS`` reproduces a pandas read).  ``multi_line`` allows
+    quoted line breaks inside a field (the file is then parsed whole)."""
     reader = (spark.read.schema(_with_corrupt(schema) if quarantine else schema)
-              .option("header", header).option("mode", "PERMISSIVE"))
+              .option("header", header).option("mode", "PERMISSIVE")
+              .option("multiLine", multi_line))
     if quarantine:
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     return _null_tokens(reader.csv(path), na_tokens)
 
 
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType,
-                    quarantine: bool = False) -> DataFrame:
+                    quarantine: bool = False, **_) -> DataFrame:
     """Files holding one JSON array each.  Such a file cannot be split,
     so one task parses one file; land it once as Parquet (K1) and read that."""
     reader = spark.read.schema(_with_corrupt(schema) if quarantine else schema).option("multiLine", True)
@@ -58,7 +61,7 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType,
-               quarantine: bool = False) -> DataFrame:
+               quarantine: bool = False, **_) -> DataFrame:
     """S3: one JSON object per line (splittable)."""
     reader = spark.read.schema(_with_corrupt(schema) if quarantine else schema).option("mode", "PERMISSIVE")
     if quarantine:
@@ -93,6 +96,7 @@ class SourceSpec:
     path: str
     format: str            # csv | json | jsonl
     schema: T.StructType
+    options: tuple = ()    # extra reader keyword arguments as (name, value) pairs
 
 
 def read_sources(spark: SparkSession, specs: Sequence[SourceSpec],
@@ -103,7 +107,7 @@ def read_sources(spark: SparkSession, specs: Sequence[SourceSpec],
     status = []
     for spec in specs:
         try:
-            df = READERS[spec.format](spark, spec.path, spec.schema, **options)
+            df = READERS[spec.format](spark, spec.path, spec.schema, **{**options, **dict(spec.options)})
             df.schema  # resolves the path now, not at the first action
             frames[spec.name] = df
             status.append((spec.name, spec.path, spec.format, "ok", None))
@@ -142,6 +146,16 @@ def _json_array_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
     yield pd.DataFrame({"value": ["[]" if first else "]"]})
 
 
+def write_csv(df: DataFrame, path: str) -> str:
+    """CSV export that keeps text as is (Spark's writer trims outer blanks by
+    default) and quotes line breaks, so ``read_csv(multi_line=True)`` gets
+    the same values back."""
+    (df.write.mode("overwrite").option("header", True)
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+       .csv(path))
+    return path
+
+
 def write_json_array(df: DataFrame, path: str) -> str:
     """Write each partition as one file holding a JSON array (the shape S2
     reads).  Rows are serialised JVM-side; Python only adds the brackets and
