@@ -20,6 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = [
     "fact_stock_risk",          # typed sources -> cleaners -> fact (flagship)
     "fact_stock_risk_raw",      # dirty text sources -> cleaners -> fact
+    "etl_run_fact",             # D3 end to end: clean layer written, report, fact written, run log
     "clean_orders",
     "clean_inventory",
     "quality_summary",

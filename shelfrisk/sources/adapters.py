@@ -63,6 +63,16 @@ def _every(c: str, n: int) -> Column:
     return (F.col(c) % n) == 0
 
 
+def _copies(c: str, n: int) -> Column:
+    """0 for every row, plus a second row (1) when ``c % n = 0``: duplicates
+    are emitted in the same pass as the originals (no second scan)."""
+    return F.explode(F.when(_every(c, n), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+
+
+def _for_copy(copy: Column, original: Column) -> Column:
+    return F.when(F.col("_copy") == 1, copy).otherwise(original)
+
+
 def _order_id() -> Column:
     return F.concat(_s("l_orderkey"), F.lit("-"), _s("l_linenumber"))
 
@@ -168,9 +178,9 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(_s(qty)).alias("quantity"),
         _s(F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
         F.col("l_returnflag").alias("channel"),
-        F.col("l_orderkey").alias("_k"),
+        _copies("l_orderkey", 97).alias("_copy"),
     )
-    return rows.unionAll(rows.filter(_every("_k", 97))).drop("_k")
+    return rows.drop("_copy")
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,11 +194,10 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.col("p_brand")).alias("brand"),
         F.lit(None).cast("string").alias("cost_price"),
         _s("p_retailprice").alias("sale_price"),
-        F.col("p_partkey").alias("_k"),
+        _copies("p_partkey", 41).alias("_copy"),
     )
-    copies = rows.filter(_every("_k", 41)).withColumn(
-        "product_name", F.concat("product_name", F.lit(" (copy)")))
-    return rows.unionAll(copies).drop("_k")
+    return rows.withColumn("product_name", _for_copy(
+        F.concat("product_name", F.lit(" (copy)")), F.col("product_name"))).drop("_copy")
 
 
 def raw_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,11 +210,10 @@ def raw_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.col("r_name")).alias("region"),
         F.when(_every("s_suppkey", 17), F.date_format(_opening_date(), "dd/MM/yyyy"))
          .otherwise(F.date_format(_opening_date(), "yyyy-MM-dd")).alias("opening_date"),
-        F.col("s_suppkey").alias("_k"),
+        _copies("s_suppkey", 19).alias("_copy"),
     )
-    copies = rows.filter(_every("_k", 19)).withColumn(
-        "store_name", F.concat("store_name", F.lit(" (copy)")))
-    return rows.unionAll(copies).drop("_k")
+    return rows.withColumn("store_name", _for_copy(
+        F.concat("store_name", F.lit(" (copy)")), F.col("store_name"))).drop("_copy")
 
 
 def raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,9 +226,9 @@ def raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.col("l_quantity").cast("long") - 5).alias("stock_qty"),
         F.when(_every("l_orderkey", 43), F.lit("unknown"))
          .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss")).alias("last_update"),
-        F.col("l_orderkey").alias("_k"),
+        _copies("l_orderkey", 97).alias("_copy"),
     )
-    return rows.unionAll(rows.filter(_every("_k", 97))).drop("_k")
+    return rows.drop("_copy")
 
 
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,11 +239,10 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.floor("value").cast("long")).alias("rating"),
         F.col("props").alias("comment"),
         F.date_format("ts", "yyyy-MM-dd").alias("review_date"),
-        F.col("event_id").alias("_k"),
+        _copies("event_id", 89).alias("_copy"),
     )
-    copies = rows.filter(_every("_k", 89)).withColumn(
-        "comment", F.concat("comment", F.lit(" (edited)")))
-    return rows.unionAll(copies).drop("_k")
+    return rows.withColumn("comment", _for_copy(
+        F.concat("comment", F.lit(" (edited)")), F.col("comment"))).drop("_copy")
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -247,10 +254,9 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(_every("event_id", 53), F.lit("not a date"))
          .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("event_ts"),
         F.when(_every("event_id", 3), F.lit(" App ")).otherwise(F.lit("web")).alias("source"),
-        F.col("event_id").alias("_k"),
+        _copies("event_id", 89).alias("_copy"),
     )
-    copies = rows.filter(_every("_k", 89)).withColumn("source", F.lit("replay"))
-    return rows.unionAll(copies).drop("_k")
+    return rows.withColumn("source", _for_copy(F.lit("replay"), F.col("source"))).drop("_copy")
 
 
 def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
