@@ -558,8 +558,19 @@ def q_encoded_features(spark, sf):
     return enc.select(*cols, P.LABEL)
 
 
+def _tuned(fn: Query) -> Query:
+    """Every query runs with the library's runtime settings (AQE, skew join,
+    UTC session zone, so text <-> timestamp_ntz conversions never cross a
+    daylight-saving gap)."""
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        tune(spark)
+        return fn(spark, sf)
+    run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+    return run
+
+
 QUERIES: dict[str, Query] = {
-    name[2:]: fn for name, fn in sorted(globals().items())
+    name[2:]: _tuned(fn) for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)
 }
 
