@@ -318,7 +318,7 @@ def _union(parts: list[str]) -> str:
 def _quality_row(name: str, src: str, ncols: int, keys: list[str]) -> str:
     cols = ["order_id", "product_id", "store_id", "review_id", "event_id"]
     nulls = ", ".join(
-        (f"COUNT_IF({c} IS NULL)" if c in keys else "CAST(NULL AS BIGINT)") + f" AS null_{c}" for c in cols)
+        (f"CAST(COUNT_IF({c} IS NULL) AS BIGINT)" if c in keys else "CAST(NULL AS BIGINT)") + f" AS null_{c}" for c in cols)
     return (f"SELECT '{name}' AS dataset, COUNT(*) AS \"rows\", CAST({ncols} AS BIGINT) AS \"columns\", "
             f"CAST(COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM {src})) AS BIGINT) AS duplicates, "
             f"{nulls} FROM {src}")
@@ -330,7 +330,7 @@ _FACT_COLS = P.FACT_COLUMNS
 def _final_check() -> str:
     parts = ["SELECT 'rows' AS \"check\", CAST(NULL AS VARCHAR) AS \"column\", COUNT(*) AS \"value\" FROM fact",
              f"SELECT 'columns', CAST(NULL AS VARCHAR), CAST({len(_FACT_COLS)} AS BIGINT)"]
-    parts += [f"SELECT 'nulls', '{c}', COUNT_IF({c} IS NULL) FROM fact" for c in _FACT_COLS]
+    parts += [f"SELECT 'nulls', '{c}', CAST(COUNT_IF({c} IS NULL) AS BIGINT) FROM fact" for c in _FACT_COLS]
     parts.append("SELECT 'duplicate_keys', 'product_id,store_id', CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) "
                  "FROM (SELECT COUNT(*) AS n FROM fact GROUP BY product_id, store_id)")
     parts.append("SELECT 'label_distribution', CAST(stockout_risk AS VARCHAR), COUNT(*) FROM fact "
@@ -452,7 +452,7 @@ FINAL: dict[str, str] = {
                       "(SELECT stockout_risk, COUNT(*) AS n FROM fact WHERE stockout_risk IS NOT NULL GROUP BY 1)",
     "duplicate_row_count": "SELECT CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS duplicates FROM "
                            f"(SELECT COUNT(*) AS n FROM r_orders GROUP BY {', '.join(_RAW_ORDER_COLS)})",
-    "null_counts": "SELECT " + ", ".join(f"COUNT_IF({c} IS NULL) AS null_{c}" for c in _RAW_ORDER_COLS)
+    "null_counts": "SELECT " + ", ".join(f"CAST(COUNT_IF({c} IS NULL) AS BIGINT) AS null_{c}" for c in _RAW_ORDER_COLS)
                    + " FROM r_orders",
     # J / D
     "join_stock": "SELECT s.*, i.stock_qty FROM c_sales s LEFT JOIN c_inventory i "
@@ -489,15 +489,15 @@ FINAL: dict[str, str] = {
     "final_table_check": _final_check(),
     "pk_violations": "SELECT order_id, COUNT(*) AS nb FROM t_orders GROUP BY order_id HAVING COUNT(*) > 1",
     "domain_check": "SELECT 'stockout_risk' AS \"column\", "
-                    "COUNT_IF(stockout_risk NOT IN (0, 1) AND stockout_risk IS NOT NULL) AS invalid_rows FROM fact",
-    "non_negative_check": _union([f"SELECT '{c}' AS \"column\", COUNT_IF({c} < 0) AS negative_rows FROM fact"
+                    "CAST(COUNT_IF(stockout_risk NOT IN (0, 1) AND stockout_risk IS NOT NULL) AS BIGINT) AS invalid_rows FROM fact",
+    "non_negative_check": _union([f"SELECT '{c}' AS \"column\", CAST(COUNT_IF({c} < 0) AS BIGINT) AS negative_rows FROM fact"
                                   for c in P.NON_NEGATIVE_COLUMNS]),
     "table_row_counts": _row_counts(),
     "table_preview": _preview(),
     "order_duplicates": "SELECT order_id, COUNT(*) AS nb FROM r_orders GROUP BY order_id HAVING COUNT(*) > 1",
-    "order_null_counts": "SELECT COUNT_IF(product_id IS NULL) AS null_product_id, "
-                         "COUNT_IF(store_id IS NULL) AS null_store_id, "
-                         "COUNT_IF(order_date IS NULL) AS null_order_date FROM l_orders",
+    "order_null_counts": "SELECT CAST(COUNT_IF(product_id IS NULL) AS BIGINT) AS null_product_id, "
+                         "CAST(COUNT_IF(store_id IS NULL) AS BIGINT) AS null_store_id, "
+                         "CAST(COUNT_IF(order_date IS NULL) AS BIGINT) AS null_order_date FROM l_orders",
     "fact_preview": "SELECT * FROM fact ORDER BY product_id, store_id LIMIT 10",
     "risk_distribution": "SELECT stockout_risk, COUNT(*) AS nb FROM fact GROUP BY stockout_risk ORDER BY stockout_risk",
     "fact_duplicates": "SELECT product_id, store_id, COUNT(*) AS nb FROM fact GROUP BY product_id, store_id "
