@@ -452,10 +452,12 @@ def q_corrupt_quarantine(spark, sf):
               .select(F.when(F.col("_k") % 53 == 0, broken).otherwise(F.col("value")).alias("value")))
     path = scratch_path(spark, "corrupt")
     text.write.mode("overwrite").text(path)
-    read = S.read_jsonl(spark, path, RAW_EVENTS, quarantine=True)
-    status = F.when(F.col(S.CORRUPT).isNull(), F.lit("parsed")).otherwise(F.lit("corrupt"))
-    return read.groupBy(status.alias("status")).agg(
-        F.count(F.lit(1)).alias("rows"), F.count_distinct("event_id").alias("ids"))
+    good, bad = S.quarantine(spark, S.read_jsonl(spark, path, RAW_EVENTS, quarantine=True),
+                             scratch_path(spark, "quarantine"))
+    return (good.agg(F.lit("parsed").alias("status"), F.count(F.lit(1)).alias("rows"),
+                     F.count_distinct("event_id").alias("ids"))
+            .unionByName(bad.agg(F.lit("corrupt").alias("status"), F.count(F.lit(1)).alias("rows"),
+                                 F.count_distinct("event_id").alias("ids"))))
 
 
 def q_read_profile(spark, sf):

@@ -3,10 +3,9 @@ malformed records, per-dataset status and read profile."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -133,19 +132,6 @@ def read_profile(frames: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def _json_array_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    first = True
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        lead = pd.Series(",", index=pdf.index)
-        if first:
-            lead.iloc[0] = "["
-            first = False
-        yield pd.DataFrame({"value": lead + pdf["value"]})
-    yield pd.DataFrame({"value": ["[]" if first else "]"]})
-
-
 def write_csv(df: DataFrame, path: str) -> str:
     """CSV export that keeps text as is (Spark's writer trims outer blanks by
     default) and quotes line breaks, so ``read_csv(multi_line=True)`` gets
@@ -160,6 +146,21 @@ def write_json_array(df: DataFrame, path: str) -> str:
     """Write each partition as one file holding a JSON array (the shape S2
     reads).  Rows are serialised JVM-side; Python only adds the brackets and
     commas, batch by batch, without a shuffle."""
+    def array_lines(batches):
+        # defined inside, so it is shipped by value: executors need pandas,
+        # not this package
+        import pandas as pd
+        first = True
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            lead = pd.Series(",", index=pdf.index)
+            if first:
+                lead.iloc[0] = "["
+                first = False
+            yield pd.DataFrame({"value": lead + pdf["value"]})
+        yield pd.DataFrame({"value": ["[]" if first else "]"]})
+
     lines = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
-    lines.mapInPandas(_json_array_lines, "value string").write.mode("overwrite").text(path)
+    lines.mapInPandas(array_lines, "value string").write.mode("overwrite").text(path)
     return path
