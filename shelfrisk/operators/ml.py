@@ -46,13 +46,18 @@ def label_encoder(columns: Sequence[str]) -> StringIndexer:
                          stringOrderType="alphabetAsc", handleInvalid="keep")
 
 
-def encoding_dictionary(spark: SparkSession, df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """M2 as a table (column, value, index), fitted on all rows before the
-    split.  The label arrays are the fitted model's metadata (one entry per
-    distinct category value)."""
-    model = label_encoder(columns).fit(df)
-    rows = [(c, v, i) for c, labels in zip(columns, model.labelsArray) for i, v in enumerate(labels)]
-    return spark.createDataFrame(rows, "column string, value string, index int")
+def encoding_dictionary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """M2 as a table (column, value, index): the alphabetical rank of each
+    distinct non-NULL value, the same indices the fitted encoder assigns.
+    Values are reduced to their distinct set (partial aggregation) before the
+    per-column rank, so a rank window only ever holds one column's distinct
+    values."""
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns
+    ])).alias("kv")).select("kv.column", "kv.value")
+    distinct = long.filter(F.col("value").isNotNull()).distinct()
+    rank = F.dense_rank().over(Window.partitionBy("column").orderBy("value")) - 1
+    return distinct.withColumn("index", rank.cast("int"))
 
 
 # --- M3 / M4 / M5 ----------------------------------------------------------

@@ -379,7 +379,7 @@ def q_chart_region(spark, sf):
 # --- M: machine learning -----------------------------------------------------
 
 def q_label_encode(spark, sf):
-    return M.encoding_dictionary(spark, fact(spark, sf), ["category", "region"])
+    return M.encoding_dictionary(fact(spark, sf), ["category", "region"])
 
 
 def q_choose_test_size(spark, sf):

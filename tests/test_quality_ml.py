@@ -128,5 +128,8 @@ def test_forest_pipeline_round_trip(spark, tmpdir_fresh):
     path = M.save_model(model, f"{tmpdir_fresh}/model")
     again = M.predict(M.load_model(path), data)
     assert again.count() == 12 and set(again.columns) >= {"prediction", "probability"}
-    enc = {(r["column"], r["value"]): r["index"] for r in M.encoding_dictionary(spark, data, cats).collect()}
+    enc = {(r["column"], r["value"]): r["index"] for r in M.encoding_dictionary(data, cats).collect()}
     assert enc[("category", "accessory")] == 0 and enc[("region", "north")] == 0
+    fitted = model.stages[0]
+    for c, labels in zip(cats, fitted.labelsArray):
+        assert [v for (col, v), _ in sorted(enc.items(), key=lambda kv: kv[1]) if col == c] == list(labels)
