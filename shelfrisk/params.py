@@ -63,3 +63,8 @@ DRIVER_EVENT_TYPES = ("view", "click", "purchase")
 # Classes whose size is at most this many rows get an exact per-class rank in
 # the stratified split; larger classes use a hash threshold (no big sort).
 EXACT_SPLIT_MAX_CLASS_ROWS = 1_000
+
+# Day partition column the ETL adds when it lands a cleaned time-series
+# table: dataset -> (partition column, timestamp column).  Trailing-window
+# filters repeat themselves on the day column so the scan prunes partitions.
+DAY_PARTITIONS = {"orders": ("order_day", "order_date"), "events": ("event_day", "event_ts")}

@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import params as P
 from ..operators import clean as C
@@ -40,18 +41,30 @@ def fact_from_clean(cleaned: dict[str, DataFrame], **kw) -> DataFrame:
                                  cleaned["inventory"], cleaned["reviews"], cleaned["events"], **kw)
 
 
-def materialize(spark: SparkSession, frames: dict[str, DataFrame], name: str) -> dict[str, DataFrame]:
+def materialize(spark: SparkSession, frames: dict[str, DataFrame], name: str,
+                day_partitions: dict[str, tuple[str, str]] | None = None) -> dict[str, DataFrame]:
     """Write each frame as Parquet under the shared scratch folder and read it
-    back: a lineage cut that a lost executor cannot undo."""
+    back: a lineage cut that a lost executor cannot undo.  Time-series tables
+    are partitioned by day (``day_partitions``), so trailing windows read only
+    their last days."""
+    days = P.DAY_PARTITIONS if day_partitions is None else day_partitions
     root = scratch_path(spark, name)
     out = {}
     for key, df in frames.items():
         path = f"{root}/{key}"
-        df.write.mode("overwrite").parquet(path)
+        if key in days:
+            day, ts = days[key]
+            df.withColumn(day, F.to_date(ts)).write.mode("overwrite").partitionBy(day).parquet(path)
+        else:
+            df.write.mode("overwrite").parquet(path)
         out[key] = spark.read.parquet(path)
     return out
 
 
+def without_day_columns(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {k: df.drop(*[d for d, _ in P.DAY_PARTITIONS.values()]) for k, df in frames.items()}
+
+
 def run_etl(spark: SparkSession, frames: dict[str, DataFrame], output_root: str,
             date_formats: Sequence[str] = (P.ISO_DATE,),
             valid_event_types: Sequence[str] = P.VALID_EVENT_TYPES,
@@ -60,7 +73,7 @@ def run_etl(spark: SparkSession, frames: dict[str, DataFrame], output_root: str,
     from ..sources.sinks import append_run_log, write_fact, write_quality
 
     cleaned = materialize(spark, clean_sources(frames, date_formats, valid_event_types), "clean")
-    quality = quality_report(cleaned)
+    quality = quality_report(without_day_columns(cleaned))
     fact = fact_from_clean(cleaned)
     fact_path = write_fact(fact, f"{output_root}/fact_stock_risk", partition_fact_by)
     quality_path = write_quality(quality, f"{output_root}/quality_checks")
@@ -68,4 +81,4 @@ def run_etl(spark: SparkSession, frames: dict[str, DataFrame], output_root: str,
     check = final_table_check(fact_back)
     append_run_log(spark, fact_back, f"{output_root}/run_log", step="etl")
     return {"fact_stock_risk": fact_back, "quality_checks": spark.read.parquet(quality_path),
-            "final_check": check, "cleaned": cleaned}
+            "final_check": check, "cleaned": without_day_columns(cleaned)}
