@@ -88,4 +88,4 @@ def round_half_up_ratio(numerator: ColumnOrName, denominator: ColumnOrName,
     n, d = _col(numerator).cast("long"), _col(denominator).cast("long")
     # floor((2*scale*n + d) / (2*d)); operands stay far below 2**53, so the
     # double quotient is never rounded across an integer.
-    return F.floor((F.lit(2 * scale) * n + d) / (F.lit(2) * d)).cast("double") / F.lit(float(scale))
+    return F.floor(F.try_divide(F.lit(2 * scale) * n + d, F.lit(2) * d)).cast("double") / F.lit(float(scale))

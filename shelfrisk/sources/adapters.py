@@ -99,8 +99,8 @@ def typed_orders(spark: SparkSession, sf_dir: str, with_customer: bool = False)
         "customer_id",
         _s("l_partkey").alias("product_id"),
         _s("l_suppkey").alias("store_id"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
+        F.col("l_quantity").try_cast("int").alias("quantity"),
+        F.try_divide("l_extendedprice", "l_quantity").alias("unit_price"),
         F.col("l_returnflag").alias("channel"),
     )
 
@@ -131,7 +131,7 @@ def typed_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def typed_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         _s("l_partkey").alias("product_id"), _s("l_suppkey").alias("store_id"),
-        (F.col("l_quantity").cast("long") - 5).alias("stock_qty"),
+        (F.col("l_quantity").try_cast("long") - 5).alias("stock_qty"),
         F.col("l_shipdate").cast("timestamp_ntz").alias("last_update"))
 
 
@@ -176,7 +176,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(_every("l_orderkey", 31), F.lit(""))
          .when(_every("l_orderkey", 37), F.lit("0"))
          .otherwise(_s(qty)).alias("quantity"),
-        _s(F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
+        _s(F.try_divide("l_extendedprice", "l_quantity")).alias("unit_price"),
         F.col("l_returnflag").alias("channel"),
         _copies("l_orderkey", 97).alias("_copy"),
     )
@@ -223,7 +223,7 @@ def raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(_every("l_orderkey", 29), F.lit(None).cast("string"))
          .otherwise(_s("l_suppkey")).alias("store_id"),
         F.when(_every("l_orderkey", 19), F.lit(None).cast("long"))
-         .otherwise(F.col("l_quantity").cast("long") - 5).alias("stock_qty"),
+         .otherwise(F.col("l_quantity").try_cast("long") - 5).alias("stock_qty"),
         F.when(_every("l_orderkey", 43), F.lit("unknown"))
          .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss")).alias("last_update"),
         _copies("l_orderkey", 97).alias("_copy"),
