@@ -63,12 +63,20 @@ def join_web(df: DataFrame, web: DataFrame) -> DataFrame:
 def product_features(products: DataFrame, review_feats: DataFrame,
                      web: DataFrame) -> DataFrame:
     """J3 + J5 + J6 fused: every product-keyed side is one row per product,
-    so they are outer-joined among themselves first (small, skew-free) and the
-    large pair-level table crosses a single product_id join."""
-    cat = products.select("product_id", "category")
-    rat = review_feats.select("product_id", "avg_rating")
-    sig = web.select("product_id", "web_signal")
-    return cat.join(rat, "product_id", "full").join(sig, "product_id", "full")
+    so stacking them and taking one value per column and product gives their
+    outer join with a single exchange (a chain of full outer joins would
+    re-shuffle after each join, as the coalesced key loses the partitioning).
+    The large pair-level table then crosses a single product_id join."""
+    none_s, none_d, none_l = (F.lit(None).cast(t) for t in ("string", "double", "long"))
+    stacked = (products.select("product_id", F.col("category"), none_d.alias("avg_rating"),
+                               none_l.alias("web_signal"))
+               .unionByName(review_feats.select("product_id", none_s.alias("category"),
+                                                F.col("avg_rating"), none_l.alias("web_signal")))
+               .unionByName(web.select("product_id", none_s.alias("category"),
+                                       none_d.alias("avg_rating"), F.col("web_signal"))))
+    return stacked.groupBy("product_id").agg(F.max("category").alias("category"),
+                                             F.max("avg_rating").alias("avg_rating"),
+                                             F.max("web_signal").alias("web_signal"))
 
 
 def fk_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str,
