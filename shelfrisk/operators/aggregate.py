@@ -26,22 +26,27 @@ def days_before(anchor: Column, days: int) -> Column:
     return anchor - F.make_dt_interval(F.lit(days))
 
 
-def window_filter(df: DataFrame, ts: str, since: Column, day_col: str | None = None) -> DataFrame:
-    """``ts >= since``; when the table is partitioned by the day of ``ts``
-    (``day_col``), the same bound on the day column lets the scan skip every
+def month_of(ts: Column | str) -> Column:
+    """First day of the month of ``ts`` (the time partition value)."""
+    return F.trunc(F.col(ts) if isinstance(ts, str) else ts, "month")
+
+
+def window_filter(df: DataFrame, ts: str, since: Column, part_col: str | None = None) -> DataFrame:
+    """``ts >= since``; when the table is partitioned by the month of ``ts``
+    (``part_col``), the same bound on that column lets the scan skip every
     older partition (the subquery is evaluated before the files are listed)."""
     out = df.filter(F.col(ts) >= since)
-    if day_col and day_col in df.columns:
-        out = out.filter(F.col(day_col) >= F.to_date(since))
+    if part_col and part_col in df.columns:
+        out = out.filter(F.col(part_col) >= month_of(since))
     return out
 
 
 def trailing_window(df: DataFrame, ts: str, days: int,
-                    anchor: Column | None = None, day_col: str | None = None) -> DataFrame:
+                    anchor: Column | None = None, part_col: str | None = None) -> DataFrame:
     """A2: rows with ``ts >= anchor - days`` (lower bound inclusive).  The
     anchor defaults to the frame's own max(ts)."""
     anchor = max_anchor(df, ts) if anchor is None else anchor
-    return window_filter(df, ts, days_before(anchor, days), day_col)
+    return window_filter(df, ts, days_before(anchor, days), part_col)
 
 
 # --- A3 / A4: demand ---------------------------------------------------------
@@ -55,12 +60,12 @@ def sales_two_horizons(orders: DataFrame, short_days: int = P.SHORT_WINDOW_DAYS,
                        long_days: int = P.LONG_WINDOW_DAYS,
                        ts: str = "order_date", qty: str = "quantity",
                        keys: Sequence[str] = ("product_id", "store_id"),
-                       day_col: str = "order_day") -> DataFrame:
+                       part_col: str = "order_month") -> DataFrame:
     """A4: sales over the short and long trailing windows in one pass.  The
     short-window rows are a subset of the long-window rows, so the reference's
     two aggregates + outer merge equal one filtered conditional sum."""
     anchor = max_anchor(orders, ts)
-    recent = window_filter(orders, ts, days_before(anchor, long_days), day_col)
+    recent = window_filter(orders, ts, days_before(anchor, long_days), part_col)
     short_from = days_before(anchor, short_days)
     return recent.groupBy(*keys).agg(
         F.sum(F.when(F.col(ts) >= short_from, F.col(qty)).otherwise(F.lit(0))).cast("long").alias("sales_7d"),
@@ -95,9 +100,9 @@ def review_features(reviews: DataFrame) -> DataFrame:
 
 
 def web_signal(events: DataFrame, days: int = P.LONG_WINDOW_DAYS,
-               ts: str = "event_ts", day_col: str = "event_day") -> DataFrame:
+               ts: str = "event_ts", part_col: str = "event_month") -> DataFrame:
     """Events per product in the trailing window of the events' own clock."""
-    return (trailing_window(events, ts, days, day_col=day_col)
+    return (trailing_window(events, ts, days, part_col=part_col)
             .groupBy("product_id").agg(F.count(F.lit(1)).alias("web_signal")))
 
 

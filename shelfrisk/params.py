@@ -64,7 +64,8 @@ DRIVER_EVENT_TYPES = ("view", "click", "purchase")
 # the stratified split; larger classes use a hash threshold (no big sort).
 EXACT_SPLIT_MAX_CLASS_ROWS = 1_000
 
-# Day partition column the ETL adds when it lands a cleaned time-series
+# Month partition column the ETL adds when it lands a cleaned time-series
 # table: dataset -> (partition column, timestamp column).  Trailing-window
-# filters repeat themselves on the day column so the scan prunes partitions.
-DAY_PARTITIONS = {"orders": ("order_day", "order_date"), "events": ("event_day", "event_ts")}
+# filters repeat themselves on that column so the scan prunes partitions
+# (a 30-day window touches at most two months).
+TIME_PARTITIONS = {"orders": ("order_month", "order_date"), "events": ("event_month", "event_ts")}

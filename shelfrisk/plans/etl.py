@@ -13,10 +13,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .. import params as P
 from ..operators import clean as C
+from ..operators.aggregate import month_of
 from ..operators.quality import final_table_check, quality_report
 from ..session import scratch_path
 from .fact import build_fact_stock_risk
@@ -42,27 +42,29 @@ def fact_from_clean(cleaned: dict[str, DataFrame], **kw) -> DataFrame:
 
 
 def materialize(spark: SparkSession, frames: dict[str, DataFrame], name: str,
-                day_partitions: dict[str, tuple[str, str]] | None = None) -> dict[str, DataFrame]:
+                time_partitions: dict[str, tuple[str, str]] | None = None) -> dict[str, DataFrame]:
     """Write each frame as Parquet under the shared scratch folder and read it
     back: a lineage cut that a lost executor cannot undo.  Time-series tables
-    are partitioned by day (``day_partitions``), so trailing windows read only
-    their last days."""
-    days = P.DAY_PARTITIONS if day_partitions is None else day_partitions
+    are partitioned by month (``time_partitions``), so trailing windows read
+    only their last partitions; the rebalance hint lets AQE give each month
+    few, well-sized files and split a hot month over several tasks."""
+    parts = P.TIME_PARTITIONS if time_partitions is None else time_partitions
     root = scratch_path(spark, name)
     out = {}
     for key, df in frames.items():
         path = f"{root}/{key}"
-        if key in days:
-            day, ts = days[key]
-            df.withColumn(day, F.to_date(ts)).write.mode("overwrite").partitionBy(day).parquet(path)
+        if key in parts:
+            col, ts = parts[key]
+            (df.withColumn(col, month_of(ts)).hint("rebalance", col)
+               .write.mode("overwrite").partitionBy(col).parquet(path))
         else:
             df.write.mode("overwrite").parquet(path)
         out[key] = spark.read.parquet(path)
     return out
 
 
-def without_day_columns(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {k: df.drop(*[d for d, _ in P.DAY_PARTITIONS.values()]) for k, df in frames.items()}
+def without_time_partitions(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {k: df.drop(*[c for c, _ in P.TIME_PARTITIONS.values()]) for k, df in frames.items()}
 
 
 def run_etl(spark: SparkSession, frames: dict[str, DataFrame], output_root: str,
@@ -73,7 +75,7 @@ def run_etl(spark: SparkSession, frames: dict[str, DataFrame], output_root: str,
     from ..sources.sinks import append_run_log, write_fact, write_quality
 
     cleaned = materialize(spark, clean_sources(frames, date_formats, valid_event_types), "clean")
-    quality = quality_report(without_day_columns(cleaned))
+    quality = quality_report(without_time_partitions(cleaned))
     fact = fact_from_clean(cleaned)
     fact_path = write_fact(fact, f"{output_root}/fact_stock_risk", partition_fact_by)
     quality_path = write_quality(quality, f"{output_root}/quality_checks")
@@ -81,4 +83,4 @@ def run_etl(spark: SparkSession, frames: dict[str, DataFrame], output_root: str,
     check = final_table_check(fact_back)
     append_run_log(spark, fact_back, f"{output_root}/run_log", step="etl")
     return {"fact_stock_risk": fact_back, "quality_checks": spark.read.parquet(quality_path),
-            "final_check": check, "cleaned": without_day_columns(cleaned)}
+            "final_check": check, "cleaned": without_time_partitions(cleaned)}
