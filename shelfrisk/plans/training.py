@@ -3,6 +3,8 @@ evaluation -> model artifact -> run log."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +14,8 @@ from ..session import scratch_root
 
 
 def run_training(spark: SparkSession, fact: DataFrame, model_path: str | None = None,
-                 num_trees: int = P.NUM_TREES, seed: int = P.SEED) -> dict[str, DataFrame]:
+                 num_trees: int = P.NUM_TREES, seed: int = P.SEED,
+                 log_path: str | None = None) -> dict[str, DataFrame]:
     data, features, categorical = M.prepare_features(fact)
     # the split feeds fit, scoring and the distribution: cut its lineage once
     # (reliable checkpoint in the shared spark.checkpoint.dir)
@@ -26,6 +29,9 @@ def run_training(spark: SparkSession, fact: DataFrame, model_path: str | None =
     report = M.classification_report(confusion)
     if model_path:
         M.save_model(model, model_path)
+    if log_path:
+        # K4: one row per metric of this run, appended to the run-log table
+        metrics_rows(report, uuid.uuid4().hex).coalesce(1).write.mode("append").parquet(log_path)
     return {"model": model, "split": split, "scored": scored, "confusion": confusion,
             "report": report, "accuracy": M.accuracy(scored),
             "distribution": M.class_distribution(split)}

@@ -416,7 +416,8 @@ def q_class_distribution(spark, sf):
 
 
 def q_train_forest(spark, sf):
-    out = run_training(spark, fact(spark, sf), model_path=scratch_path(spark, "model"))
+    root = scratch_path(spark, "train")
+    out = run_training(spark, fact(spark, sf), model_path=f"{root}/model", log_path=f"{root}/run_log")
     return out["report"]
 
 

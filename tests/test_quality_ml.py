@@ -133,3 +133,17 @@ def test_forest_pipeline_round_trip(spark, tmpdir_fresh):
     fitted = model.stages[0]
     for c, labels in zip(cats, fitted.labelsArray):
         assert [v for (col, v), _ in sorted(enc.items(), key=lambda kv: kv[1]) if col == c] == list(labels)
+
+
+def test_run_training_logs_metrics(spark, tmpdir_fresh):
+    from shelfrisk.plans.training import run_training
+    fact = _fact(spark)
+    for i in range(3):
+        fact = fact.unionByName(_fact(spark).withColumn("store_id", F.concat("store_id", F.lit(f"-{i}"))))
+    out = run_training(spark, fact, model_path=f"{tmpdir_fresh}/m", num_trees=5,
+                       log_path=f"{tmpdir_fresh}/log")
+    rep = {r.class_label for r in out["report"].collect()}
+    assert rep == {"0", "1", "accuracy", "macro avg", "weighted avg"}
+    log = spark.read.parquet(f"{tmpdir_fresh}/log")
+    assert log.filter("metric = 'accuracy:f1_score'").count() == 1
+    assert M.load_model(f"{tmpdir_fresh}/m") is not None
