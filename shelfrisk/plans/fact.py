@@ -6,7 +6,8 @@ Plan shape (one shuffle per input, aggregation before every join):
                exchange(product_id, store_id) -> final agg          = sales
   inventory -> partial max(struct) -> exchange(product_id, store_id) = stock
   sales LEFT JOIN stock            (co-partitioned: no extra exchange)
-  products FULL reviews-agg FULL web-agg  (one row per product)
+  products + reviews-agg + web-agg stacked, one aggregate per product_id
+               (inputs already partitioned by product_id: no exchange)
   pairs LEFT JOIN product features on product_id
   pairs LEFT JOIN stores on store_id
   fill missing -> flag -> fixed column order
