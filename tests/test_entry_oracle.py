@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as E
 from shelfrisk import params as P
+from shelfrisk import registry
 
 SF = "/root/testdata/sf0.001"
 needs_data = pytest.mark.skipif(not os.path.exists(f"{SF}/lineitem.parquet"), reason="no driver data")
@@ -16,7 +17,7 @@ needs_data = pytest.mark.skipif(not os.path.exists(f"{SF}/lineitem.parquet"), re
 def test_contract_keys():
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
-    assert set(qs) - set(sql) == {"train_forest"}
+    assert set(registry.QUERIES) - set(sql) == {"train_forest"}
 
 
 @needs_data
@@ -27,7 +28,7 @@ def test_entry(spark):
 
 
 @needs_data
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(registry.QUERIES))
 def test_query_matches_oracle(spark, key):
     from tools.compare_oracle import compare
     res = compare(spark, SF, [key])[key]
