@@ -98,10 +98,10 @@ bw AS (SELECT item, len(w) AS n, unnest(CASE WHEN len(w) >= 13 THEN list_transfo
                                              WHEN len(w) > 0 THEN [w] ELSE [] END) AS win FROM b),
 win AS (SELECT DISTINCT item, array_to_string(win, ' ') AS win, len(win) AS k FROM bw),
 ks AS (SELECT DISTINCT k FROM win),
-dw AS (SELECT r, k, unnest(list_transform(range(1, len(w) - k + 2), i -> {{'at': i, 'win': array_to_string(w[i:i + k - 1], ' ')}})) AS x
+dw AS (SELECT r, k, unnest(list_transform(range(1, len(w) - k + 2), i -> {{'place': i, 'win': array_to_string(w[i:i + k - 1], ' ')}})) AS x
        FROM d, ks WHERE len(w) >= k),
-hit AS (SELECT dw.r, dw.x.at AS at, dw.k, win.item FROM dw JOIN win ON dw.x.win = win.win AND dw.k = win.k),
-pos AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(at, at + k)) AS p FROM hit) GROUP BY r),
+hit AS (SELECT dw.r, dw.x.place AS place, dw.k, win.item FROM dw JOIN win ON dw.x.win = win.win AND dw.k = win.k),
+pos AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(place, place + k)) AS p FROM hit) GROUP BY r),
 it AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hit GROUP BY r)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
