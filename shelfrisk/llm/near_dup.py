@@ -7,11 +7,14 @@ there first, and a document's shingles stop once their next arrival is later
 than every register's first.  Two documents agree in a register with probability
 J_p, the probability Jaccard similarity (for equal weights the plain Jaccard).
 
-Texts with the same shingle sequence are one node, so copies are never paired.
-Nodes that agree in a band meet the least node of their bucket; those that are
-not similar to it go on among themselves, until every bucket is settled.  J_p of
-each pair is then computed from the whole shingle sets, and links of at least
-``threshold`` join classes.
+Texts with the same word sequence are one node, so copies are never paired.
+Nodes that agree in a band are a bucket, and each meets its bucket's hub, the
+node whose buckets are largest: in a group of edited copies that is the text
+they come from.  J_p of each such pair is computed from the whole shingle sets;
+links of at least ``threshold`` join classes.  Where the nodes that met one hub
+are then of several classes, all of different classes are compared in blocks of
+bounded size, inside tasks.  So every two nodes of a bucket have been compared
+or are of one class, and no list of all pairs is made.
 
 With 32 bands of 6 registers a pair of J_p 0.8 becomes a candidate with
 probability 0.9999, one of 0.9 with 1 - 1e-10.  Defined cases: texts without
@@ -37,7 +40,9 @@ U = np.uint64
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 32, 6
-SMALL = 16                    # a rest of a bucket up to this size is paired at once
+BLOCK_NODES, BLOCK_ELEMENTS = 512, 200_000   # nodes and shingles of a block, about
+SLICE = 4096                  # shingles whose incidence is held at once
+SIGN_BYTES = 1 << 20          # text bytes signed at once
 LOW = U(0xFFFFFFFF)
 
 
@@ -91,7 +96,7 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, k: int = S
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in row_chunks(batch, "text", 4 << 20):
+            for part in row_chunks(batch, "text", SIGN_BYTES):
                 words, first = word_hashes(*text_buffer(part.column("text")))
                 n = np.diff(first)
                 sets = distinct_shingles(*shingles(words, first, k))
@@ -170,7 +175,7 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(like, pa.float64())],
                                              names=["a", "b", "similarity"])
 
-    joined = pairs.join(side("b"), "b").join(side("a"), "a")
+    joined = pairs.join(side("b").hint("merge"), "b").join(side("a").hint("merge"), "a")
     return joined.mapInArrow(run, "a binary, b binary, similarity double")
 
 
@@ -182,64 +187,101 @@ def connect(nodes: DataFrame, links: DataFrame) -> DataFrame:
     label = stored(both.groupBy("a").agg(F.min("b").alias("m"))
                    .select(F.col("a").alias("node"), F.least("a", "m").alias("class")), "labels")
     while True:
-        near = (both.join(label.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("class").alias("seen")))
-        spread = (label.join(near, F.col("node") == F.col("a"))
+        near = (both.join(label.withColumnRenamed("node", "b").hint("merge"), "b").groupBy("a").agg(F.min("class").alias("seen")))
+        spread = (label.join(near.hint("merge"), F.col("node") == F.col("a"))
                   .select("node", F.col("class").alias("old"), F.least("class", "seen").alias("class")))
         spread = stored(spread, "spread")
         jump = spread.select(F.col("node").alias("class"), F.col("class").alias("next"))
-        new = stored(spread.join(jump, "class", "left")
+        new = stored(spread.join(jump.hint("merge"), "class", "left")
                      .select("node", "old", F.least("class", F.coalesce("next", "class")).alias("class")), "labels")
         changed = new.where("class <> old").limit(1).count()
         label = new.drop("old")
         if not changed:
-            return (nodes.select("node").join(label, "node", "left")
+            return (nodes.select("node").join(label.hint("merge"), "node", "left")
                     .select("node", F.coalesce("class", "node").alias("class")))
 
 
-class Verifier:
-    """Tests candidate pairs, each once, and keeps the results."""
-
-    def __init__(self, docs: DataFrame, nodes: DataFrame, threshold: float):
-        self.docs, self.nodes, self.threshold = docs, nodes, threshold
-        self.sets = None
-        self.tested = docs.sparkSession.createDataFrame([], "a binary, b binary, similarity double")
-
-    def test(self, pairs: DataFrame) -> None:
-        new = stored(pairs.distinct().join(self.tested, ["a", "b"], "left_anti"), "pairs")
-        if new.isEmpty():
-            return
-        if self.sets is None:   # the first pairs hold every node that any later pair has
-            ends = new.select(F.col("a").alias("node")).union(new.select("b")).distinct()
-            asked = self.nodes.select("doc_id", "node").join(ends, "node", "left_semi")
-            self.sets = stored(shingle_sets(self.docs, asked), "shingles")
-        self.tested = self.tested.union(stored(verify(new, self.sets), "verified"))
-
-    def links(self) -> DataFrame:
-        return self.tested.where(F.col("similarity") >= self.threshold)
-
-    def failed(self) -> DataFrame:
-        return self.tested.where(F.col("similarity") < self.threshold).select("a", "b")
+def similarities(elements: list[np.ndarray], weights: list[np.ndarray], left: np.ndarray, right: np.ndarray,
+                 wanted: np.ndarray, threshold: float):
+    """(i, j, J_p) of the wanted pairs (left x right) of at least ``threshold``.
+    Shared shingles are counted for all pairs at once; that is J_p where all
+    weights are equal, the other pairs are computed one by one unless the
+    Bhattacharyya coefficient, which bounds J_p, is too small."""
+    size = np.array([e.size for e in elements])
+    flat = np.concatenate(elements)
+    row = np.repeat(np.arange(size.size), size)
+    root = np.sqrt(np.concatenate([w / w.sum() for w in weights])).astype(np.float32)
+    names, column, n = np.unique(flat, return_inverse=True, return_counts=True)
+    place = np.cumsum(n > 1) - 1                        # a shingle of one node is shared by none
+    keep = n[column] > 1
+    row, column, root = row[keep], place[column[keep]], root[keep]
+    both, bound = np.zeros((2, left.size, right.size), np.float32)
+    for start in range(0, int((n > 1).sum()), SLICE):
+        some = (column >= start) & (column < start + SLICE)
+        for out, value in ((both, np.float32(1)), (bound, root[some])):
+            grid = np.zeros((size.size, SLICE), np.float32)
+            grid[row[some], column[some] - start] = value
+            out += grid[left] @ grid[right].T
+    plain = np.array([w.min() == w.max() for w in weights])
+    exact = plain[left][:, None] & plain[right][None, :]
+    like = both / (size[left][:, None] + size[right][None, :] - both)
+    for i, j in np.argwhere(wanted & exact & (like >= threshold - 1e-5)).tolist():
+        shared = int(both[i, j])
+        yield left[i], right[j], shared / int(size[left[i]] + size[right[j]] - shared)
+    for i, j in np.argwhere(wanted & ~exact & (bound >= threshold - 1e-3)).tolist():
+        a, b = left[i], right[j]
+        yield a, b, probability_jaccard((elements[a], weights[a]), (elements[b], weights[b]))
+
+
+def compare_blocks(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b, similarity) between the members (hub, node, class) of one
+    hub that are of different classes.  A hub's nodes are dealt into blocks;
+    each pair of blocks is one group of bounded size."""
+    sized = members.join(sets, "node").withColumn("size", F.length("elements") / 8)
+    mixed = (sized.groupBy("hub").agg(F.min("class").alias("low"), F.max("class").alias("high"),
+                                      F.greatest(F.ceil(F.count("*") / BLOCK_NODES),
+                                                 F.ceil(F.sum("size") / BLOCK_ELEMENTS)).alias("blocks"))
+             .where("low <> high").select("hub", "blocks"))
+    dealt = (sized.join(mixed, "hub").withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("hub", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own",
+                     "node", "class", "elements", "weights"))
+
+    def run(table: pa.Table) -> pa.Table:
+        own, i, j = (table.column(c).to_numpy() for c in ("own", "i", "j"))
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        node = table.column("node").to_pylist()
+        label = np.unique(np.array([c.hex() for c in table.column("class").to_pylist()]), return_inverse=True)[1]
+        wanted = label[left][:, None] != label[right][None, :]
+        if left.size and i[0] == j[0]:
+            wanted &= left[:, None] < right[None, :]
+        found = list(similarities([np.frombuffer(x, "<i8") for x in table.column("elements").to_pylist()],
+                                  [np.frombuffer(x, "<i4").astype(float) for x in table.column("weights").to_pylist()],
+                                  left, right, wanted, threshold)) if wanted.any() else []
+        ends = [sorted((node[a], node[b])) for a, b, _ in found]
+        return pa.table({"a": pa.array([a for a, _ in ends], pa.binary()), "b": pa.array([b for _, b in ends], pa.binary()),
+                         "similarity": pa.array([s for *_, s in found], pa.float64())})
+
+    return (dealt.groupBy("hub", "i", "j").applyInArrow(run, "a binary, b binary, similarity double")
+            .where(F.col("similarity") >= threshold))
 
 
 def similar_nodes(docs: DataFrame, nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Verified links (a, b, similarity), a < b.  All nodes of a bucket meet its
-    least node; those that fail go on as a bucket of their own, the rest of a
-    small bucket is paired at once.  Linked nodes of a bucket thus share a class."""
-    verifier = Verifier(docs, nodes, threshold)
-    left = stored(nodes.select(F.explode("bands").alias("bucket"), "node"), "bands")
-    while True:
-        heads = left.groupBy("bucket").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
-        met = stored(left.join(heads, "bucket").where("node <> a").select("bucket", "n", "a", F.col("node").alias("b")),
-                     "buckets")
-        verifier.test(met.select("a", "b"))
-        rest = stored(met.join(verifier.failed(), ["a", "b"], "left_semi").select("bucket", "n", F.col("b").alias("node")),
-                      "rest")
-        if rest.isEmpty():
-            return verifier.links()
-        small = rest.where(F.col("n") <= SMALL).groupBy("bucket").agg(F.array_sort(F.collect_set("node")).alias("s"))
-        every = F.expr("flatten(transform(s, x -> transform(filter(s, y -> x < y), y -> struct(x AS a, y AS b))))")
-        verifier.test(small.where("size(s) > 1").select(F.explode(every).alias("p")).select("p.*"))
-        left = rest.where(F.col("n") > SMALL).select("bucket", "node")
+    """Verified links (a, b, similarity) that hold each class together."""
+    bands = stored(nodes.select(F.explode("bands").alias("bucket"), "node"), "bands")
+    size = bands.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    shared = stored(bands.join(size.hint("merge"), "bucket"), "shared_bands")
+    weight = shared.groupBy("node").agg(F.sum("n").alias("n"))
+    hubs = (shared.drop("n").join(weight.hint("merge"), "node").groupBy("bucket")
+            .agg(F.max(F.struct("n", "node")).alias("hub")).select("bucket", F.col("hub.node").alias("hub")))
+    met = stored(shared.drop("n").join(hubs.hint("merge"), "bucket").select("hub", "node").distinct(), "met")
+    # every node of a shared bucket met a hub, or is one
+    asked = nodes.select("doc_id", "node").join(met.select("node").distinct().hint("merge"), "node", "left_semi")
+    sets = stored(shingle_sets(docs, asked), "shingles")
+    pairs = met.where("hub <> node").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
+    links = stored(verify(pairs, sets).where(F.col("similarity") >= threshold), "links")
+    members = (met.join(connect(nodes, links).hint("merge"), "node"))
+    return links.union(stored(compare_blocks(members, sets, threshold), "more_links"))
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -252,11 +294,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
                    "nodes")
     member = connect(nodes, similar_nodes(docs, nodes, threshold))
     # (id, node) that stands for a class: the least id, then the least node
-    heads = (member.join(nodes.select("node", "doc_id"), "node").groupBy("class")
+    heads = (member.join(nodes.select("node", "doc_id").hint("merge"), "node").groupBy("class")
              .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "node")).alias("head")))
-    about = (member.join(heads, "class").join(nodes.select("node", "n_copies"), "node")
+    about = (member.join(heads.hint("merge"), "class").join(nodes.select("node", "n_copies").hint("merge"), "node")
              .select("node", F.col("head.doc_id").alias("class_id"), F.col("head.node").alias("head_node"), "n_copies"))
-    return (found.drop("bands").join(about, "node", "left")
+    return (found.drop("bands").join(about.hint("merge"), "node", "left")
             .select("doc_id", F.expr("CASE WHEN node IS NULL THEN doc_id ELSE class_id END").alias("class_id"),
                     F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"), "n_words",
                     F.expr("node IS NULL OR (doc_id <=> class_id AND node = head_node)").alias("is_head"), "node"))

@@ -100,15 +100,43 @@ def test_classes_against_brute_force(spark):
     assert sum(r["is_head"] for r in got) == len(set(classes(texts)))
 
 
-def test_large_impure_buckets(spark, monkeypatch):
-    """One register a band: buckets hold many dissimilar nodes, and all must be settled."""
+def test_impure_buckets(spark, monkeypatch):
+    """One register a band: buckets hold many dissimilar nodes, and all must be compared."""
     rng = random.Random(9)
     shared = [f"c{i}" for i in range(60)]
     texts = [" ".join(shared + [f"x{g}y{i}" for i in range(40)]) + f" z{c}" * c for g in range(30) for c in range(2)]
     rng.shuffle(texts)
-    monkeypatch.setattr(N, "SMALL", 3)
-    got = sorted(rows(N.near_duplicates(frame(spark, texts), bands=12, rows=1)), key=lambda r: r["doc_id"])
-    assert [r["class_id"] for r in got] == classes(texts)
+    for nodes in (7, 512):
+        monkeypatch.setattr(N, "BLOCK_NODES", nodes)
+        got = sorted(rows(N.near_duplicates(frame(spark, texts), bands=12, rows=1)), key=lambda r: r["doc_id"])
+        assert [r["class_id"] for r in got] == classes(texts)
+
+
+def test_group_of_edited_copies(spark, monkeypatch):
+    """Copies whose likeness to their origin lies on both sides of the threshold."""
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(300)}" for _ in range(150)]
+    texts = [" ".join(base)] + [edited(rng, base, rng.choice([1, 2, 3, 4, 6, 9])) for _ in range(150)]
+    texts += [edited(rng, texts[i].split(), 1) for i in range(100, 140)]
+    monkeypatch.setattr(N, "BLOCK_NODES", 40)
+    got = sorted(rows(N.near_duplicates(frame(spark, texts))), key=lambda r: r["doc_id"])
+    want = classes(texts)
+    assert len(set(want)) > 30 and [r["class_id"] for r in got] == want
+
+
+def test_similarities_in_blocks(monkeypatch):
+    rng = random.Random(12)
+    monkeypatch.setattr(N, "SLICE", 16)
+    texts = [" ".join(rng.choices("abcdefghij", k=rng.choice([6, 40]))) for _ in range(12)]
+    texts += [edited(rng, t.split(), 1) for t in texts] + ["q w e r t y u i o p l k j h g f d s a z x"] * 2
+    sets = [as_arrays(t) for t in texts]
+    at = np.arange(len(texts))
+    for threshold in (0.3, 0.8):
+        got = {(a, b): s for a, b, s in N.similarities([e for e, _ in sets], [w for _, w in sets], at, at,
+                                                       at[:, None] < at[None, :], threshold) if s >= threshold}
+        want = {(a, b): jp(weighted(texts[a]), weighted(texts[b])) for a in at for b in at if a < b}
+        want = {k: v for k, v in want.items() if v >= threshold}
+        assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-9 for k in want)
 
 
 def test_long_chain(spark):
