@@ -36,7 +36,7 @@ BLOCK = 128
 WEIGHTS = (1, 2, 3)
 MOST = 3
 SHARD_SLOTS = 4096
-STREAM_ROWS = 20_000          # rows of a source that are numbered in one task, about
+STREAM_ROWS = 1000            # rows of a source that are numbered in one task, about
 SEED = 20240601
 
 SIZES = "doc_id long, source string, size long, tie long"
@@ -164,7 +164,7 @@ def numbered(sized: DataFrame, plan: Plan) -> DataFrame:
     own = (Window.partitionBy("source_no", "bucket").orderBy("doc_id", "tie", "size")
            .rowsBetween(Window.unboundedPreceding, -1))
     return (dealt.withColumn("inside", F.coalesce(F.sum("size").over(own), F.lit(0)))
-            .join(bases, ["source_no", "bucket"])
+            .join(bases.hint("merge"), ["source_no", "bucket"])
             .withColumn("begin", F.col("base") + F.col("inside")).drop("base", "inside", "bucket", "buckets"))
 
 
@@ -206,6 +206,10 @@ def pieces(placed: DataFrame, block: int) -> DataFrame:
             .withColumn("words", F.expr(f"least(begin + size, (block + 1) * {block}) - begin - first")))
 
 
+# Stored tables are so compressed that file sizes say little of rows: joins whose
+# sides grow are hinted as sort-merge joins, which the engine may split but not broadcast.
+
+
 def taken_pieces(docs: DataFrame, block: int = BLOCK, weights=WEIGHTS, most: int = MOST) -> tuple[DataFrame, DataFrame]:
     """Documents placed in their streams, and the taken pieces of each with how
     many times the mix takes them."""
@@ -213,7 +217,7 @@ def taken_pieces(docs: DataFrame, block: int = BLOCK, weights=WEIGHTS, most: int
     plan = Plan(sized, block, weights, most)
     placed = stored(numbered(sized, plan), "streams")
     times = slots(docs.sparkSession, plan).groupBy("source_no", "block").agg(F.count("*").alias("times"))
-    return placed, pieces(placed, block).join(times, ["source_no", "block"])
+    return placed, pieces(placed, block).join(times.hint("merge"), ["source_no", "block"])
 
 
 def mix_sources(docs: DataFrame, block: int = BLOCK, weights=WEIGHTS, most: int = MOST) -> DataFrame:
@@ -223,7 +227,7 @@ def mix_sources(docs: DataFrame, block: int = BLOCK, weights=WEIGHTS, most: int
     # a place in a stream belongs to one document with words
     taken = used.groupBy("source_no", "begin").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
     empty = placed.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
-    return (placed.where("size > 0").join(taken, ["source_no", "begin"], "left")
+    return (placed.where("size > 0").join(taken.hint("merge"), ["source_no", "begin"], "left")
             .withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long")).unionByName(empty)
             .select("doc_id", "size", "source_size", "target", "taken"))
 
@@ -278,6 +282,6 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, weights=WEIGHTS, most:
             yield pa.RecordBatch.from_arrays([new.get(n, got.column(n)) for n in names], names=names)
 
     once = (docs.withColumn("__t", F.xxhash64("text")).dropDuplicates(["doc_id", "source", "__t"]))
-    return (once.join(cuts, F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
+    return (once.join(cuts.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
                       & F.col("source").eqNullSafe(F.col("__source")) & (F.col("__t") == F.col("__tie")))
             .select(*names, "__size", "__blocks").mapInArrow(run, schema))
