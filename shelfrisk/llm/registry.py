@@ -94,11 +94,11 @@ FROM turns GROUP BY conv_id""",
     "op4_decontamination": rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWER}, '{WORD}') AS w FROM documents),
 b AS (SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all({LOWER}, '{WORD}') AS w FROM benchmark),
-bw AS (SELECT item, len(w) AS n, unnest(CASE WHEN len(w) >= 13 THEN list_transform(range(1, len(w) - 11), i -> w[i:i + 12])
+bw AS (SELECT item, len(w) AS n, unnest(CASE WHEN len(w) >= 13 THEN list_transform(range(1, len(w) - 11), lambda i: w[i:i + 12])
                                              WHEN len(w) > 0 THEN [w] ELSE [] END) AS win FROM b),
 win AS (SELECT DISTINCT item, array_to_string(win, ' ') AS win, len(win) AS k FROM bw),
 ks AS (SELECT DISTINCT k FROM win),
-dw AS (SELECT r, k, unnest(list_transform(range(1, len(w) - k + 2), i -> {{'place': i, 'win': array_to_string(w[i:i + k - 1], ' ')}})) AS x
+dw AS (SELECT r, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: {{'place': i, 'win': array_to_string(w[i:i + k - 1], ' ')}})) AS x
        FROM d, ks WHERE len(w) >= k),
 hit AS (SELECT dw.r, dw.x.place AS place, dw.k, win.item FROM dw JOIN win ON dw.x.win = win.win AND dw.k = win.k),
 pos AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(place, place + k)) AS p FROM hit) GROUP BY r),
