@@ -22,7 +22,9 @@ def _col(c: ColumnOrName) -> Column:
 
 def tolerant_timestamp(c: ColumnOrName, formats: Sequence[str] = (P.ISO_DATE,)) -> Column:
     """C4: first format that parses wins; text that parses with none -> NULL.
-    Result is ``timestamp_ntz`` (wall clock, independent of the session zone)."""
+    Result is ``timestamp_ntz``, the wall clock of the text in a UTC session:
+    the parse goes through the session zone, so every public run sets UTC
+    (``session.tune``)."""
     parsed = [F.try_to_timestamp(_col(c), F.lit(f)) for f in formats]
     out = parsed[0] if len(parsed) == 1 else F.coalesce(*parsed)
     return out.cast("timestamp_ntz")
@@ -74,18 +76,12 @@ def split_hash(*key_cols: ColumnOrName, seed: int = P.SEED) -> Column:
     return F.substring(F.md5(F.concat(key, F.lit(f"-{seed}"))), 1, 8)
 
 
-def hex_threshold(fraction: float) -> str:
-    """Fraction of the 32-bit hash space as the 8-hex-char upper bound."""
-    value = min(max(int(fraction * (1 << 32)), 0), (1 << 32) - 1)
-    return f"{value:08x}"
-
-
 def round_half_up_ratio(numerator: ColumnOrName, denominator: ColumnOrName,
                         digits: int = 2) -> Column:
     """Exact decimal ROUND(n / d, digits) half away from zero for integral
     n >= 0, d > 0, done in integer arithmetic (no binary-float tie errors)."""
     scale = 10 ** digits
     n, d = _col(numerator).cast("long"), _col(denominator).cast("long")
-    # floor((2*scale*n + d) / (2*d)); operands stay far below 2**53, so the
-    # double quotient is never rounded across an integer.
-    return F.floor(F.try_divide(F.lit(2 * scale) * n + d, F.lit(2) * d)).cast("double") / F.lit(float(scale))
+    # floor((2*scale*n + d) / (2*d)) on longs
+    quotient = F.when(d != 0, F.call_function("div", F.lit(2 * scale).cast("long") * n + d, F.lit(2).cast("long") * d))
+    return quotient.cast("double") / F.lit(float(scale))

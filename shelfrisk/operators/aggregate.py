@@ -120,11 +120,6 @@ def group_mean(df: DataFrame, key: str, value: str, alias: str) -> DataFrame:
     return df.groupBy(key).agg(F.avg(F.col(value).cast("double")).alias(alias))
 
 
-def row_count(df: DataFrame, alias: str = "rows") -> DataFrame:
-    """A9."""
-    return df.agg(F.count(F.lit(1)).alias(alias))
-
-
 def having_duplicates(df: DataFrame, keys: Sequence[str], alias: str = "nb") -> DataFrame:
     """A10: keys occurring more than once, with their count."""
     return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias(alias))
@@ -136,11 +131,6 @@ def distinct_count(df: DataFrame, column: str, alias: str | None = None) -> Data
     return df.agg(F.count_distinct(column).alias(alias or f"nunique_{column}"))
 
 
-def distinct_values(df: DataFrame, column: str) -> DataFrame:
-    """Distinct values (NULL included, like unique())."""
-    return df.select(column).distinct()
-
-
 def minority_count(df: DataFrame, column: str) -> DataFrame:
     """Number of classes and the smallest class size."""
     counts = value_counts(df, column)

@@ -2,7 +2,7 @@
 
 Every function is DataFrame -> DataFrame and composes with ``df.transform``.
 Keep-first / keep-latest are grouped aggregates over a struct (partial
-aggregation map-side, no sort, no window), so a key holding a third of all
+aggregation map-side, no window; Spark sorts each map task's rows for it), so a key holding a third of all
 rows is pre-reduced in every map task before the shuffle.
 """
 
@@ -96,16 +96,6 @@ def filter_membership(df: DataFrame, column: str, values: Iterable) -> DataFrame
     return df.filter(F.col(column).isin(list(values)))
 
 
-def filter_equals(df: DataFrame, column: str, value) -> DataFrame:
-    """C18 (equality)."""
-    return df.filter(F.col(column) == F.lit(value))
-
-
-def filter_null(df: DataFrame, column: str) -> DataFrame:
-    """C18 (IS NULL)."""
-    return df.filter(F.col(column).isNull())
-
-
 # --- C10-C17: column operators ---------------------------------------------
 
 def normalize_text(df: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -124,43 +114,18 @@ def clip_columns(df: DataFrame, columns: Iterable[str], lower=0) -> DataFrame:
     return df.withColumns({c: clip_lower(c, lower) for c in columns})
 
 
-def project(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Fixed output order."""
-    return df.select(*columns)
-
-
-def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
-    """C14."""
-    return df.withColumnsRenamed(mapping)
-
-
-def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
-    """C15."""
-    return df.withColumns({c: F.col(c).cast(t) for c, t in types.items()})
-
-
-def drop_if_present(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """C16."""
-    return df.drop(*[c for c in columns if c in df.columns])
-
-
-def columns_of_type(df: DataFrame, kinds: tuple[type, ...] = (T.StringType,)) -> list[str]:
-    """C17: names of columns whose type is one of ``kinds`` (schema only)."""
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, kinds)]
-
-
 # --- CL1-CL6: ETL cleaners ---------------------------------------------------
 
 def clean_orders(df: DataFrame, formats: Sequence[str] = (P.ISO_DATE,)) -> DataFrame:
     """CL1: C1 -> C4 -> C5 x2 -> C6 -> C7.  ``formats=(ISO, day-first)``
-    repairs the day-first dates the default silently drops."""
-    out = (df.transform(dedupe_exact)
+    repairs the day-first dates the default silently drops.  The quantity keeps
+    its fraction; sums of it are cast."""
+    return (df.transform(dedupe_exact)
              .transform(parse_timestamps, "order_date", formats)
              .withColumns({"quantity": tolerant_double("quantity"),
                            "unit_price": tolerant_double("unit_price")})
              .transform(drop_null_keys, ["order_id", "product_id", "store_id", "order_date"])
              .transform(filter_positive, "quantity"))
-    return out.withColumn("quantity", F.col("quantity").try_cast("int"))
 
 
 def clean_products(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:

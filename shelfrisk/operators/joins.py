@@ -10,6 +10,8 @@ hint unless its size is bounded by construction (see ``bounded_broadcast``).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -99,3 +101,24 @@ def fk_summary(orphans: DataFrame) -> DataFrame:
     return orphans.groupBy("fk_name").agg(
         F.count(F.lit(1)).alias("orphan_keys"),
         F.sum("orphan_rows").cast("long").alias("orphan_rows"))
+
+
+def fk_report(tables: dict[str, DataFrame], warehouse: dict) -> DataFrame:
+    """J7 for every declared key at once: orphan keys and rows by constraint.
+    Each child is read once and reduced to (constraint, key, rows) before one
+    join with the parents' keys."""
+    def keys(df, refs):
+        refs = F.array(*(F.struct(F.lit(name).alias("fk_name"), F.lit(parent).alias("parent"),
+                                  F.col(column).cast("string").alias("key")) for name, parent, column in refs))
+        return df.select(F.inline(refs)).filter(F.col("key").isNotNull())
+
+    children = [keys(tables[t], [(f"{t}.{c}", parent, c) for c, (parent, _) in fks.items()])
+                for t, (_, _, fks) in warehouse.items() if fks]
+    parents = {ref for _, _, fks in warehouse.values() for ref in fks.values()}
+    known = [tables[t].select(F.lit(t).alias("parent"), F.col(c).cast("string").alias("key")) for t, c in sorted(parents)]
+    found = reduce(DataFrame.unionByName, children).groupBy("fk_name", "parent", "key").agg(F.count("*").alias("n"))
+    known = reduce(DataFrame.unionByName, known).distinct().withColumn("known", F.lit(True))
+    orphan = F.col("known").isNull()
+    return (found.join(known, ["parent", "key"], "left").groupBy("fk_name")
+            .agg(F.count_if(orphan).alias("orphan_keys"),
+                 F.sum(F.when(orphan, F.col("n")).otherwise(0)).cast("long").alias("orphan_rows")))

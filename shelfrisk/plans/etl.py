@@ -18,14 +18,17 @@ from .. import params as P
 from ..operators import clean as C
 from ..operators.aggregate import month_of
 from ..operators.quality import final_table_check, quality_report
-from ..session import scratch_path
+from ..session import scratch_path, tune
+from ..sources.files import SourceSpec, read_sources
+from ..sources.sinks import append_run_log, read_fact, write_fact, write_quality
 from .fact import build_fact_stock_risk
 
 
 def clean_sources(frames: dict[str, DataFrame],
                   date_formats: Sequence[str] = (P.ISO_DATE,),
                   valid_event_types: Sequence[str] = P.VALID_EVENT_TYPES) -> dict[str, DataFrame]:
-    """CL1-CL6 over the six sources."""
+    """CL1-CL6 over the six sources (dates are parsed in UTC, see ``tune``)."""
+    tune(frames["orders"].sparkSession)
     return {
         "orders": C.clean_orders(frames["orders"], date_formats),
         "products": C.clean_products(frames["products"]),
@@ -71,16 +74,29 @@ def run_etl(spark: SparkSession, frames: dict[str, DataFrame], output_root: str,
             date_formats: Sequence[str] = (P.ISO_DATE,),
             valid_event_types: Sequence[str] = P.VALID_EVENT_TYPES,
             partition_fact_by: str | None = None) -> dict[str, DataFrame]:
-    """D3.  Returns the written outputs re-read from ``output_root``."""
-    from ..sources.sinks import append_run_log, write_fact, write_quality
-
+    """D3 from ready frames.  Returns the outputs re-read from ``output_root``:
+    the fact, the quality report, the final check (E2) and the run log."""
+    tune(spark)
     cleaned = materialize(spark, clean_sources(frames, date_formats, valid_event_types), "clean")
     quality = quality_report(without_time_partitions(cleaned))
-    fact = fact_from_clean(cleaned)
-    fact_path = write_fact(fact, f"{output_root}/fact_stock_risk", partition_fact_by)
+    fact_path = write_fact(fact_from_clean(cleaned), f"{output_root}/fact_stock_risk", partition_fact_by)
     quality_path = write_quality(quality, f"{output_root}/quality_checks")
-    fact_back = spark.read.parquet(fact_path)
-    check = final_table_check(fact_back)
+    fact_back = read_fact(spark, fact_path)
+    check_path = write_quality(final_table_check(fact_back), f"{output_root}/final_check")
     append_run_log(spark, fact_back, f"{output_root}/run_log", step="etl")
     return {"fact_stock_risk": fact_back, "quality_checks": spark.read.parquet(quality_path),
-            "final_check": check, "cleaned": without_time_partitions(cleaned)}
+            "final_check": spark.read.parquet(check_path), "run_log": spark.read.parquet(f"{output_root}/run_log"),
+            "cleaned": without_time_partitions(cleaned)}
+
+
+def run_etl_files(spark: SparkSession, specs: Sequence[SourceSpec], output_root: str, **kw) -> dict[str, DataFrame]:
+    """D3 from source files: extract (S1-S4, landed and reported), then
+    ``run_etl``.  A source that can't be read is an error of the run, after all
+    others have been landed and the status is written."""
+    tune(spark)
+    frames, status = read_sources(spark, specs, f"{output_root}/landed")
+    write_quality(status, f"{output_root}/source_status")
+    failed = [f"{r['dataset']}: {r['error']}" for r in status.filter("status = 'error'").collect()]
+    if failed:
+        raise ValueError("; ".join(failed))
+    return {**run_etl(spark, frames, output_root, **kw), "source_status": spark.read.parquet(f"{output_root}/source_status")}

@@ -31,11 +31,14 @@ def preview(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
 
 
 def table_previews(tables: dict[str, tuple[DataFrame, Sequence[str]]], n: int = 5) -> DataFrame:
-    """Q3: ``n`` rows of each table, as (table_name, row_key)."""
+    """Q3: ``n`` rows of each table: (table_name, row_key, row as JSON, nulls kept)."""
     parts = []
     for name, (df, keys) in tables.items():
         key = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
-        parts.append(preview(df, n, keys).select(F.lit(name).alias("table_name"), key.alias("row_key")))
+        parts.append(preview(df, n, keys).select(
+            F.lit(name).alias("table_name"), key.alias("row_key"),
+            F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in df.columns]),
+                      {"ignoreNullFields": "false"}).alias("row")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 
 from .. import params as P
 from ..operators import ml as M
-from ..session import scratch_root
+from ..session import scratch_root, tune
 
 
 def run_training(spark: SparkSession, fact: DataFrame, model_path: str | None = None,
                  num_trees: int = P.NUM_TREES, seed: int = P.SEED,
                  log_path: str | None = None) -> dict[str, DataFrame]:
+    tune(spark)
     data, features, categorical = M.prepare_features(fact)
     # the split feeds fit, scoring and the distribution: cut its lineage once
     # (reliable checkpoint in the shared spark.checkpoint.dir)
@@ -23,7 +24,7 @@ def run_training(spark: SparkSession, fact: DataFrame, model_path: str | None =
     split = M.stratified_split(data, seed=seed).checkpoint()
     train = split.filter(~F.col("is_test")).drop("is_test")
     test = split.filter(F.col("is_test")).drop("is_test")
-    model = M.fit_forest(train, features, categorical, num_trees=num_trees, seed=seed)
+    model = M.fit_forest(train, features, M.fit_encoder(data, categorical), num_trees=num_trees, seed=seed)
     scored = M.predict(model, test)
     confusion = M.confusion_matrix(spark, scored)
     report = M.classification_report(confusion)
@@ -31,15 +32,21 @@ def run_training(spark: SparkSession, fact: DataFrame, model_path: str | None =
         M.save_model(model, model_path)
     if log_path:
         # K4: one row per metric of this run, appended to the run-log table
-        metrics_rows(report, uuid.uuid4().hex).coalesce(1).write.mode("append").parquet(log_path)
+        metrics_rows(report, confusion, uuid.uuid4().hex).coalesce(1).write.mode("append").parquet(log_path)
     return {"model": model, "split": split, "scored": scored, "confusion": confusion,
             "report": report, "accuracy": M.accuracy(scored),
             "distribution": M.class_distribution(split)}
 
 
-def metrics_rows(report: DataFrame, run_id: str) -> DataFrame:
-    """K4 for training: the report as (run_id, step, metric, value) rows."""
-    long = report.unpivot("class_label", ["precision", "recall", "f1_score"], "m", "value")
-    return long.filter(F.col("value").isNotNull()).select(
-        F.lit(run_id).alias("run_id"), F.lit("train").alias("step"),
-        F.concat_ws(":", "class_label", "m").alias("metric"), F.col("value").cast("double"))
+def metrics_rows(report: DataFrame, confusion: DataFrame, run_id: str) -> DataFrame:
+    """K4 for training as (run_id, step, metric, value) rows: the accuracy, the
+    classes' and means' figures with their support, and the matrix cells."""
+    one = report.filter(F.col("class_label") == "accuracy").select(F.lit("accuracy").alias("metric"),
+                                                                   F.col("f1_score").alias("value"))
+    figures = report.filter(F.col("class_label") != "accuracy").withColumn("support", F.col("support").cast("double"))
+    per = figures.unpivot("class_label", ["precision", "recall", "f1_score", "support"], "m", "value").select(
+        F.concat_ws(":", "class_label", "m").alias("metric"), "value")
+    cells = confusion.select(F.concat_ws(":", F.lit("matrix"), P.LABEL, "prediction").alias("metric"),
+                             F.col("n").cast("double").alias("value"))
+    return one.unionByName(per).unionByName(cells).select(
+        F.lit(run_id).alias("run_id"), F.lit("train").alias("step"), "metric", "value")

@@ -8,10 +8,10 @@ applies (variant ``clip=False``)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..functions import tolerant_double, tolerant_int
 from ..operators import clean as C
+from ..session import tune
 from ..sources.sinks import create_tables, overwrite_tables
 
 LOAD_TABLES = ("dim_product", "dim_store", "fact_orders", "fact_inventory", "fact_stock_risk")
@@ -36,17 +36,8 @@ def load_tables(raw: dict[str, DataFrame], fact: DataFrame) -> dict[str, DataFra
 def run_load(spark: SparkSession, raw: dict[str, DataFrame], fact: DataFrame, root: str,
              register: bool = False, prefix: str = "") -> dict[str, DataFrame]:
     """K5 (+ K6 when ``register``): overwrite the five tables, read back."""
+    tune(spark)
     paths = overwrite_tables(load_tables(raw, fact), root)
     if register:
         create_tables(spark, root, prefix, names=list(LOAD_TABLES))
     return {name: spark.read.parquet(path) for name, path in paths.items()}
-
-
-def row_counts_after_reload(tables: dict[str, DataFrame]) -> DataFrame:
-    """Q2 over the reloaded tables."""
-    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table_name"), "rows")
-             for n, df in tables.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out

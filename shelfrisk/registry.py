@@ -24,15 +24,15 @@ from .plans import marts as Q
 from .plans.etl import clean_sources, fact_from_clean
 from .plans.fact import add_stockout_flag
 from .plans.training import run_training
-from .plans.warehouse import load_tables, row_counts_after_reload, run_load
+from .plans.warehouse import load_tables, run_load
 from .schemas import RAW_EVENTS
 from .session import scratch_path, scratch_root, tune
 from .sources import adapters as AD
 from .sources import files as S
 from . import schemas as SCHEMAS
-from .plans.etl import run_etl
+from .plans.etl import run_etl_files
 from .plans.warehouse import LOAD_TABLES
-from .sources.sinks import create_tables, land, run_record, write_fact
+from .sources.sinks import create_tables, read_fact, run_record, write_fact
 from .streaming.landing import land_incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -259,25 +259,25 @@ def q_join_web(spark, sf):
     return J.join_web(A.sales_two_horizons(cl["orders"]), A.web_signal(cl["events"]))
 
 
+def _all_tables(spark, sf):
+    """The seven warehouse tables of one feed: the raw sources and what is cleaned from them."""
+    raw, cl = AD.raw_sources(spark, sf), raw_clean(spark, sf)
+    return {**load_tables(raw, fact_from_clean(cl)), "fact_events": cl["events"],
+            "agg_reviews": A.review_features(cl["reviews"])}
+
+
 def q_fk_orphans(spark, sf):
-    """J7 on the loaded warehouse tables: one summary row per declared FK."""
-    t = _warehouse(spark, sf)
-    checks = [
-        ("fact_orders.product_id", t["fact_orders"], "product_id", t["dim_product"], "product_id"),
-        ("fact_orders.store_id", t["fact_orders"], "store_id", t["dim_store"], "store_id"),
-        ("fact_inventory.product_id", t["fact_inventory"], "product_id", t["dim_product"], "product_id"),
-        ("fact_inventory.store_id", t["fact_inventory"], "store_id", t["dim_store"], "store_id"),
-        ("fact_stock_risk.product_id", t["fact_stock_risk"], "product_id", t["dim_product"], "product_id"),
-        ("fact_stock_risk.store_id", t["fact_stock_risk"], "store_id", t["dim_store"], "store_id"),
-    ]
-    parts = [J.fk_orphans(child, fk, parent, pk, name).agg(
-                 F.lit(name).alias("fk_name"), F.count(F.lit(1)).alias("orphan_keys"),
-                 F.coalesce(F.sum("orphan_rows"), F.lit(0)).cast("long").alias("orphan_rows"))
-             for name, child, fk, parent, pk in checks]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """All declared keys; in each child, every 31st product and every 7th
+    store is renamed to one that no dimension has."""
+    def renamed(df):
+        for c, every in (("product_id", 31), ("store_id", 7)):
+            if c in df.columns:
+                df = df.withColumn(c, F.when(F.col(c).try_cast("long") % every == 0, F.concat(F.lit("gone-"), c))
+                                   .otherwise(F.col(c)))
+        return df
+
+    tables = {n: df if n.startswith("dim_") else renamed(df) for n, df in _all_tables(spark, sf).items()}
+    return J.fk_report(tables, SCHEMAS.WAREHOUSE)
 
 
 def q_stockout_flag(spark, sf):
@@ -341,7 +341,7 @@ def q_order_duplicates(spark, sf):
 
 
 def q_order_null_counts(spark, sf):
-    return Q.order_null_counts(_warehouse(spark, sf)["fact_orders"])
+    return Q.order_null_counts(load_tables(AD.raw_sources(spark, sf), fact(spark, sf))["fact_orders"])
 
 
 def q_fact_preview(spark, sf):
@@ -390,10 +390,6 @@ def q_stratified_split(spark, sf):
     return split(spark, sf)
 
 
-def q_stratified_split_hashed(spark, sf):
-    return split(spark, sf, exact_max_rows=0)
-
-
 def q_class_weights(spark, sf):
     train = split(spark, sf).filter(~F.col("is_test"))
     return M.class_weights(train)
@@ -421,6 +417,13 @@ def q_train_forest(spark, sf):
     return out["report"]
 
 
+def q_train_forest_support(spark, sf):
+    """What any forest must report: the test rows of each class, and as many in the matrix."""
+    out = run_training(spark, fact(spark, sf))
+    per = out["report"].filter(F.col("class_label").isin("0", "1")).select("class_label", "support")
+    return per.unionByName(out["confusion"].agg(F.lit("matrix").alias("class_label"), F.sum("n").alias("support")))
+
+
 # --- S / K: sources and sinks ------------------------------------------------
 
 def q_csv_round_trip(spark, sf):
@@ -469,7 +472,7 @@ def q_overwrite_reload(spark, sf):
     raw, fct = AD.raw_sources(spark, sf), fact(spark, sf)
     root = scratch_path(spark, "warehouse")
     run_load(spark, raw, fct, root)
-    return row_counts_after_reload(run_load(spark, raw, fct, root))
+    return Q.table_row_counts(run_load(spark, raw, fct, root))
 
 
 def q_run_log(spark, sf):
@@ -487,10 +490,8 @@ def q_landing_stream(spark, sf):
     return spark.read.schema(RAW_EVENTS).parquet(f"{root}/out")
 
 
-def q_ingest_round_trip(spark, sf):
-    """Reference entry 4: the six sources exported in their native formats
-    (CSV; JSON array; JSONL), read back with the tolerant reader (S1-S4),
-    landed as Parquet (K1) and profiled (S5)."""
+def _exported(spark, sf):
+    """The six raw sources as files in their native formats (CSV, JSON array, JSONL)."""
     raw = AD.raw_sources(spark, sf)
     root = scratch_path(spark, "raw-files")
     for name in ("orders", "products", "stores"):
@@ -500,33 +501,73 @@ def q_ingest_round_trip(spark, sf):
     raw["reviews"].write.mode("overwrite").json(f"{root}/reviews")
     fmt = {"orders": "csv", "products": "csv", "stores": "csv",
            "inventory": "json", "events": "json", "reviews": "jsonl"}
-    specs = [S.SourceSpec(n, f"{root}/{n}", fmt[n], SCHEMAS.RAW[n],
-                          (("multi_line", True),) if fmt[n] == "csv" else ())
-             for n in ("orders", "products", "stores", "inventory", "reviews", "events")]
-    frames, _status = S.read_sources(spark, specs)
-    landed = land(frames, f"{root}/landed")
-    return S.read_profile({n: spark.read.parquet(p) for n, p in landed.items()})
+    return [S.SourceSpec(n, f"{root}/{n}", fmt[n], SCHEMAS.RAW[n],
+                         (("multi_line", True),) if fmt[n] == "csv" else ())
+            for n in ("orders", "products", "stores", "inventory", "reviews", "events")]
+
+
+def q_ingest_round_trip(spark, sf):
+    """Reference entry 4: the exported sources read with the tolerant reader
+    (S1-S4), landed as Parquet (K1) and profiled (S5)."""
+    frames, _status = S.read_sources(spark, _exported(spark, sf))
+    return S.read_profile(frames)
+
+
+def q_source_status(spark, sf):
+    """A good source, one with broken lines, a broken array, a file that is
+    no gzip, a missing one, and a good one after them, which is still landed."""
+    good = _exported(spark, sf)
+    root = scratch_path(spark, "broken")
+    line = F.to_json(F.struct("*"))
+    ev = AD.raw_events(spark, sf)
+    (ev.select(F.when(F.col("event_id").try_cast("long") % 53 == 0, F.expr("substr(to_json(struct(*)), 2)")).otherwise(line)
+               .alias("value")).write.text(f"{root}/lines"))
+    spark.range(1).select(F.lit('[{"event_id": "1", ').alias("value")).write.text(f"{root}/array")
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{root}/orders.csv.gz")
+    out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path)
+    out.write(bytearray(b"this is no gzip file"))
+    out.close()
+    raw = SCHEMAS.RAW
+    specs = [S.SourceSpec("good", good[0].path, "csv", raw["orders"], good[0].options),
+             S.SourceSpec("lines", f"{root}/lines", "jsonl", raw["events"]),
+             S.SourceSpec("array", f"{root}/array", "json", raw["events"]),
+             S.SourceSpec("gzip", f"{root}/orders.csv.gz", "csv", raw["orders"]),
+             S.SourceSpec("missing", f"{root}/nothing", "csv", raw["orders"]),
+             S.SourceSpec("after", good[4].path, "jsonl", raw["reviews"])]
+    _frames, status = S.read_sources(spark, specs)
+    return status.select("dataset", "format", "status", "parsed", "corrupt", F.col("error").isNotNull().alias("has_error"))
 
 
 def _etl(spark, sf):
-    return run_etl(spark, AD.raw_sources(spark, sf), scratch_path(spark, "etl"),
-                   valid_event_types=EV, partition_fact_by="region")
+    return run_etl_files(spark, _exported(spark, sf), scratch_path(spark, "etl"),
+                         valid_event_types=EV, partition_fact_by="region")
 
 
 def q_etl_run_fact(spark, sf):
-    """D3 end to end on the raw sources; the fact as written (K2)."""
+    """D3 end to end from files; the fact as written (K2)."""
     return _etl(spark, sf)["fact_stock_risk"]
 
 
 def q_etl_run_quality(spark, sf):
-    """D3 end to end on the raw sources; the quality report as written (K3)."""
+    """D3 end to end from files; the quality report as written (K3)."""
     return _etl(spark, sf)["quality_checks"]
 
 
+def q_etl_final_check(spark, sf):
+    """D3 end to end from files; the final check as written."""
+    return _etl(spark, sf)["final_check"]
+
+
+def q_required_columns(spark, sf):
+    """E3 on the fact and a column that it lacks."""
+    return E.required_columns(spark, fact(spark, sf), "fact_stock_risk", [*P.FACT_COLUMNS, "missing_column"])
+
+
 def q_fact_partitioned_round_trip(spark, sf):
-    """K2 with partitionBy(region), read back."""
-    path = write_fact(fact(spark, sf), scratch_path(spark, "fact-by-region"), "region")
-    return spark.read.parquet(path)
+    """K2 with partitionBy(region), read back; regions that look like numbers keep their text."""
+    df = fact(spark, sf).withColumn("region", F.expr("CASE region WHEN 'ASIA' THEN '01' WHEN 'EUROPE' THEN '7' ELSE region END"))
+    return read_fact(spark, write_fact(df, scratch_path(spark, "fact-by-region"), "region"))
 
 
 def q_warehouse_sql_row_counts(spark, sf):

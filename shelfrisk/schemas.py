@@ -38,7 +38,7 @@ RAW = {
 
 # --- cleaned tables ----------------------------------------------------------
 ORDERS = _struct(("order_id", S), ("order_date", TS), ("customer_id", S),
-                 ("product_id", S), ("store_id", S), ("quantity", I),
+                 ("product_id", S), ("store_id", S), ("quantity", D),
                  ("unit_price", D), ("channel", S))
 PRODUCTS = _struct(("product_id", S), ("product_name", S), ("category", S),
                    ("brand", S), ("cost_price", D), ("sale_price", D))

@@ -3,7 +3,6 @@ scratch location taken from ``spark.checkpoint.dir``."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -47,11 +46,14 @@ def tune(spark: SparkSession) -> None:
 
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the cluster's
-    ``spark.checkpoint.dir``.  Only when it is unset (tests) is a fresh local
-    folder created and registered."""
+    ``spark.checkpoint.dir``.  Only where that is unset and the session is
+    local (tests) is a fresh local folder made; a cluster without it is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
+    master = spark.sparkContext.master
+    if not root and (not master.startswith("local") or master.startswith("local-cluster")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", root)
@@ -65,12 +67,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared scratch root."""
     root = scratch_root(spark).rstrip("/")
     return f"{root}/shelfrisk/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_parent(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)

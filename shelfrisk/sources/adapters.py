@@ -42,17 +42,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table.  The (immutable) DataFrame is kept per session and
-    path, so its footer / schema job runs once, not once per query."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _s(c: str | Column) -> Column:
@@ -85,21 +77,16 @@ def _opening_date() -> Column:
 
 # --- typed ---------------------------------------------------------------
 
-def typed_orders(spark: SparkSession, sf_dir: str, with_customer: bool = False) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
-    if with_customer:
-        o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"),
-                                                  _s("o_custkey").alias("customer_id"))
-        li = li.join(o, "l_orderkey", "left")
-    else:
-        li = li.withColumn("customer_id", F.lit(None).cast("string"))
-    return li.select(
+def typed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"),
+                                              _s("o_custkey").alias("customer_id"))
+    return table(spark, sf_dir, "lineitem").join(o, "l_orderkey", "left").select(
         _order_id().alias("order_id"),
         F.col("l_shipdate").cast("timestamp_ntz").alias("order_date"),
         "customer_id",
         _s("l_partkey").alias("product_id"),
         _s("l_suppkey").alias("store_id"),
-        F.col("l_quantity").try_cast("int").alias("quantity"),
+        F.col("l_quantity").alias("quantity"),
         F.try_divide("l_extendedprice", "l_quantity").alias("unit_price"),
         F.col("l_returnflag").alias("channel"),
     )

@@ -98,24 +98,33 @@ class SourceSpec:
     options: tuple = ()    # extra reader keyword arguments as (name, value) pairs
 
 
-def read_sources(spark: SparkSession, specs: Sequence[SourceSpec],
+STATUS = "dataset string, path string, format string, status string, parsed long, corrupt long, error string"
+
+
+def read_sources(spark: SparkSession, specs: Sequence[SourceSpec], root: str | None = None,
                  **options) -> tuple[dict[str, DataFrame | None], DataFrame]:
-    """Read every source; a source that cannot be opened is reported
-    (status 'error' with the message) and the others go on."""
+    """S4 + K1: parse every source once, land its good records under ``root``
+    (the shared scratch folder by default) and its malformed ones, with their
+    raw text, beside them.  A source that fails, when it is opened or while it
+    is read, is reported with the whole message, and the others go on."""
+    from ..session import scratch_path
+
+    root = root or scratch_path(spark, "sources")
     frames: dict[str, DataFrame | None] = {}
     status = []
     for spec in specs:
+        frames[spec.name], parsed, corrupt, error = None, None, None, None
         try:
-            df = READERS[spec.format](spark, spec.path, spec.schema, **{**options, **dict(spec.options)})
-            df.schema  # resolves the path now, not at the first action
-            frames[spec.name] = df
-            status.append((spec.name, spec.path, spec.format, "ok", None))
+            df = READERS[spec.format](spark, spec.path, spec.schema,
+                                      **{**options, **dict(spec.options), "quarantine": True})
+            good, bad = quarantine(spark, df, f"{root}/parsed/{spec.name}")
+            good.write.mode("overwrite").parquet(f"{root}/{spec.name}")
+            parsed, corrupt = good.count(), bad.count()
+            frames[spec.name] = spark.read.schema(spec.schema).parquet(f"{root}/{spec.name}")
         except Exception as exc:  # noqa: BLE001 - reported, not swallowed
-            frames[spec.name] = None
-            status.append((spec.name, spec.path, spec.format, "error", str(exc).splitlines()[0][:500]))
-    report = spark.createDataFrame(status, "dataset string, path string, format string, "
-                                           "status string, error string")
-    return frames, report
+            error = str(exc)
+        status.append((spec.name, spec.path, spec.format, "error" if error else "ok", parsed, corrupt, error))
+    return frames, spark.createDataFrame(status, STATUS)
 
 
 def read_profile(frames: dict[str, DataFrame]) -> DataFrame:

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import WAREHOUSE
+from ..params import FACT_COLUMNS
+from ..schemas import FACT_STOCK_RISK, WAREHOUSE
 
 
 def land(frames: dict[str, DataFrame], root: str, fmt: str = "parquet",
@@ -32,14 +33,21 @@ def land(frames: dict[str, DataFrame], root: str, fmt: str = "parquet",
 
 
 def write_fact(fact: DataFrame, path: str, partition_by: str | None = None) -> str:
-    """K2: fact table as Parquet, optionally partitioned (e.g. by region)."""
-    w = fact.write.mode("overwrite")
+    """K2: fact table as Parquet, optionally partitioned (e.g. by region); rows
+    are then rebalanced by that column, so a value gets few, well-sized files."""
     if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
+        fact.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
+    else:
+        fact.write.mode("overwrite").parquet(path)
     return path
 
 
+def read_fact(spark: SparkSession, path: str) -> DataFrame:
+    """The written fact with its types and column order.  (An empty string in a
+    partition column comes back as NULL: a partition has no other name for it.)"""
+    return spark.read.schema(FACT_STOCK_RISK).parquet(path).select(*FACT_COLUMNS)
+
+
 def write_quality(report: DataFrame, path: str) -> str:
     """K3: the quality report is a few rows; one file."""
     report.coalesce(1).write.mode("overwrite").parquet(path)
@@ -63,11 +71,6 @@ def append_run_log(spark: SparkSession, df: DataFrame, path: str, step: str,
     return rec
 
 
-def append_metrics(spark: SparkSession, metrics: DataFrame, path: str) -> None:
-    """K4 for training metrics: rows (run_id, step, metric, value)."""
-    metrics.coalesce(1).write.mode("append").parquet(path)
-
-
 def overwrite_tables(tables: dict[str, DataFrame], root: str) -> dict[str, str]:
     """K5: replace each table's content (idempotent reload)."""
     paths = {}

@@ -50,7 +50,7 @@ def test_clean_orders_rules(spark):
     # duplicate collapsed; day-first, empty/zero/negative quantity, NULL key dropped
     assert ids == sorted(["O1", "O2", "O3", "O4", "O5", "O10", "O11", "O12", "O13"])
     assert dict(out.dtypes)["order_date"] == "timestamp_ntz"
-    assert dict(out.dtypes)["quantity"] == "int"
+    assert dict(out.dtypes)["quantity"] == "double"
     repaired = C.clean_orders(raw, BOTH)
     assert repaired.filter("order_id = 'O6'").first().order_date == dt.datetime(2024, 3, 15)
     # empty price is NULL, not a dropped row

@@ -81,7 +81,7 @@ def test_choose_test_size(spark):
     one = M.choose_test_size(_labels(spark, {0: 10})).first()
     assert (one.n_classes, one.stratified, one.test_size) == (1, False, 0.2)
     m1 = M.choose_test_size(_labels(spark, {0: 10, 1: 1})).first()
-    assert (m1.stratified, m1.test_size) == (False, 0.2)
+    assert (m1.stratified, m1.test_size) == (False, 0.5)
     m2 = M.choose_test_size(_labels(spark, {0: 113, 1: 2})).first()
     assert (m2.stratified, m2.test_size) == (True, 0.5)
     m5 = M.choose_test_size(_labels(spark, {0: 50, 1: 5})).first()
@@ -98,11 +98,28 @@ def test_stratified_split_keeps_a_minority_test_row(spark):
     assert sorted(map(tuple, s.collect())) == sorted(map(tuple, again.collect()))
 
 
-def test_hashed_split_fraction(spark):
-    df = _labels(spark, {0: 20000, 1: 5000})
-    s = M.stratified_split(df, exact_max_rows=0)
-    frac = s.agg(F.avg(F.col("is_test").cast("double"))).first()[0]
-    assert 0.18 < frac < 0.22
+def test_split_takes_exact_quotas_at_every_size(spark):
+    for counts, size, want in (({0: 11, 1: 11}, 0.2, {0: 3, 1: 2}), ({0: 1000, 1: 50}, 0.2, {0: 200, 1: 10}),
+                               ({0: 1001, 1: 50}, 0.2, {0: 201, 1: 10}), ({0: 10, 1: 1}, 0.2, None),
+                               ({0: 20000, 1: 5000}, 0.2, {0: 4000, 1: 1000}), ({0: 113, 1: 2}, 0.5, {0: 57, 1: 1})):
+        s = M.stratified_split(_labels(spark, counts))
+        got = {r.stockout_risk: r.n for r in s.filter("is_test").groupBy("stockout_risk").agg(F.count("*").alias("n")).collect()}
+        assert s.count() == sum(counts.values())
+        if want is None:      # one row of a class: no stratification, the default share of all rows
+            assert sum(got.values()) == 3
+        else:
+            assert got == want, (counts, got)
+
+
+def test_forest_takes_any_catalogue(spark):
+    rows = [(f"p{i}", "s", f"cat{i % 200:03d}", float(i % 7), int(i % 5 == 0)) for i in range(400)]
+    df = spark.createDataFrame(rows, "product_id string, store_id string, category string, x double, stockout_risk int")
+    encoder = M.fit_encoder(df, ["category"])
+    train = df.filter("category <> 'cat000'")
+    model = M.fit_forest(train, ["category", "x"], encoder, num_trees=2, partitions=2)
+    out = M.predict(model, df)
+    assert out.count() == 400 and out.filter("category = 'cat000'").first().category_idx == 0.0
+    assert model.stages[-1].getOrDefault("maxBins") == 201
 
 
 def test_weights_and_metrics(spark):
@@ -124,7 +141,7 @@ def test_forest_pipeline_round_trip(spark, tmpdir_fresh):
     data, feats, cats = M.prepare_features(fact)
     assert feats == ["sales_7d", "sales_30d", "avg_rating", "stock_qty", "category", "region", "web_signal"]
     assert cats == ["category", "region"]
-    model = M.fit_forest(data, feats, cats, num_trees=5)
+    model = M.fit_forest(data, feats, M.fit_encoder(data, cats), num_trees=5)
     path = M.save_model(model, f"{tmpdir_fresh}/model")
     again = M.predict(M.load_model(path), data)
     assert again.count() == 12 and set(again.columns) >= {"prediction", "probability"}
@@ -145,5 +162,6 @@ def test_run_training_logs_metrics(spark, tmpdir_fresh):
     rep = {r.class_label for r in out["report"].collect()}
     assert rep == {"0", "1", "accuracy", "macro avg", "weighted avg"}
     log = spark.read.parquet(f"{tmpdir_fresh}/log")
-    assert log.filter("metric = 'accuracy:f1_score'").count() == 1
+    got = {r.metric for r in log.collect()}
+    assert {"accuracy", "0:support", "1:recall", "matrix:0:0", "matrix:0:1", "matrix:1:0", "matrix:1:1"} <= got
     assert M.load_model(f"{tmpdir_fresh}/m") is not None

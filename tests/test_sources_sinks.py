@@ -42,6 +42,7 @@ def test_csv_json_jsonl_and_status(spark, tmpdir_fresh):
              S.SourceSpec("events", f"{tmpdir_fresh}/raw/missing.json", "json", schemas.RAW_EVENTS)]
     frames, status = S.read_sources(spark, specs)
     st = {r.dataset: r.status for r in status.collect()}
+    assert {r.dataset: (r.parsed, r.corrupt) for r in status.collect()}["reviews"] == (2, 1)
     assert st == {"orders": "ok", "inventory": "ok", "reviews": "ok", "events": "error"}
     assert frames["events"] is None
     assert frames["orders"].count() == len(ORDERS)
@@ -107,3 +108,46 @@ def test_run_etl_and_load(spark, tmpdir_fresh):
     assert spark.read.parquet(paths["orders"]).count() == len(ORDERS)
     assert spark.read.parquet(f"{tmpdir_fresh}/out/fact_stock_risk").filter(
         F.col("region").isNull()).count() == 1
+
+
+def test_partitioned_fact_keeps_types_and_order(spark, tmpdir_fresh):
+    from shelfrisk import params as P
+    from shelfrisk.schemas import FACT_STOCK_RISK
+    from shelfrisk.sources.sinks import read_fact, write_fact
+
+    rows = [("p1", "s1", 1, 2, 3.0, 4, "c", r, 5, 0) for r in ("01", "7", "north", None)]
+    df = spark.createDataFrame([dict(zip(["product_id", "store_id", "sales_7d", "sales_30d", "avg_rating", "stock_qty",
+                                          "category", "region", "web_signal", "stockout_risk"], r)) for r in rows], FACT_STOCK_RISK)
+    back = read_fact(spark, write_fact(df, f"{tmpdir_fresh}/fact", "region"))
+    assert back.columns == P.FACT_COLUMNS
+    assert sorted(str(r.region) for r in back.collect()) == ["01", "7", "None", "north"]
+
+
+def test_dates_do_not_depend_on_the_session_zone(spark):
+    from fixtures import raw_frames
+    from shelfrisk.plans.etl import clean_sources
+
+    want = sorted(str(r.order_date) for r in clean_sources(raw_frames(spark))["orders"].collect())
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = sorted(str(r.order_date) for r in clean_sources(raw_frames(spark))["orders"].collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == want
+
+
+def test_no_scratch_folder_on_a_cluster_is_an_error():
+    import pytest
+
+    from shelfrisk.session import scratch_root
+
+    class Spark:
+        class conf:
+            get = staticmethod(lambda *a: None)
+
+        class sparkContext:
+            master = "yarn"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(ValueError):
+        scratch_root(Spark)
