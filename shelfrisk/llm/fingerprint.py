@@ -159,7 +159,7 @@ def with_next(docs: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFram
                                                "ELSE array(struct(bucket AS b, false AS donor), "
                                                "struct(before AS b, true AS donor)) END")))
             .select(F.col("to.b").cast("long").alias("bucket"), "to.donor", "id", "tie", "doc_id", "text"))
-    return (rows.repartition("bucket").sortWithinPartitions("bucket", "donor", "id", "tie", "text")
+    return (rows.repartitionById(len(cuts) + 1, F.col("bucket").cast("int")).sortWithinPartitions("bucket", "donor", "id", "tie", "text")
             .select("bucket", "donor", "doc_id", "text"))
 
 
