@@ -32,6 +32,7 @@ U = np.uint64
 WINDOW = 13
 SLOP = 3                      # words by which a proximity match may be displaced
 RAREST = 5                    # words of a window that a proximity match needs
+SHARD_BYTES = 2 << 20         # text of a shard (a longer document is a shard of its own)
 GAP = 64                      # empty positions between documents: no match crosses them
 BLOCK_BYTES = 4 << 20         # benchmark text searched at once; more goes in further blocks
 CANDIDATES = 1 << 20          # candidate places intersected at once (all are, in turn)
@@ -46,7 +47,7 @@ def build_index(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in row_chunks(batch, "text", 4 << 20):
+            for part in row_chunks(batch, "text", SHARD_BYTES):
                 words, first = word_hashes(*text_buffer(part.column("text")))
                 n = np.diff(first)
                 place = np.arange(words.size) + np.repeat(np.arange(n.size) * GAP, n)

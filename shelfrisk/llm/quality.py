@@ -28,7 +28,7 @@ from .words import LOWER_BYTE, SPACE_BYTE, WORD_BYTE, hash_spans, mix, row_chunk
 
 U = np.uint64
 BITS = 18                    # features are hashed to 2^BITS weights; one more is the bias
-MAX_ROWS = 12_000            # bound of the training sample
+MAX_ROWS = 8_000             # bound of the training sample
 EPOCHS = 5
 ALPHA, BETA, L1, L2 = 4.0, 1.0, 0.1, 0.1
 ACCEPT = 0.7

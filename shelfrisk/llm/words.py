@@ -11,9 +11,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 U = np.uint64
-CHUNK_BYTES = 2 << 20        # text bytes handled at once (a longer text is a chunk of its own)
+CHUNK_BYTES = 1 << 20        # text bytes handled at once (a longer text is a chunk of its own)
 CHUNK_ROWS = 4000            # fits the 12 bits that `distinct_shingles` gives to the row number
 
 _code = np.arange(256)
@@ -47,12 +48,14 @@ def text_buffer(column) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and row offsets of a string array; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string()).fill_null("")
+    if column.null_count:
+        column = column.fill_null("")
     n = len(column)
     if n == 0:
         return np.empty(0, np.uint8), np.zeros(1, np.int64)
     _, off, data = column.buffers()
-    offsets = np.frombuffer(off, np.int64)[column.offset:column.offset + n + 1]
+    width = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    offsets = np.frombuffer(off, width)[column.offset:column.offset + n + 1].astype(np.int64)
     raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.empty(0, np.uint8)
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
@@ -64,9 +67,9 @@ def join_texts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def row_chunks(batch: pa.RecordBatch, text_col: str, max_bytes: int = CHUNK_BYTES,
                max_rows: int = CHUNK_ROWS) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with at most ``max_bytes`` of text each (one row at least)."""
-    size = np.diff(text_buffer(batch.column(text_col))[1])
+    size = pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_pylist()
     start, held = 0, 0
-    for i, s in enumerate(size.tolist()):
+    for i, s in enumerate(size):
         if i > start and (held + s > max_bytes or i - start >= max_rows):
             yield batch.slice(start, i - start)
             start, held = i, 0

@@ -42,7 +42,11 @@ def classes(texts, at_least=0.8):
         return i
 
     for (i, j), n in pairs.items():
-        if n >= 0.4 * min(len(sets[i]), len(sets[j])) and jp(sets[i], sets[j]) >= at_least:
+        plain = set(sets[i].values()) == set(sets[j].values()) == {1}     # then it is the Jaccard similarity
+        like = n / (len(sets[i]) + len(sets[j]) - n) if plain else 0
+        if not plain and n >= 0.4 * min(len(sets[i]), len(sets[j])):
+            like = jp(sets[i], sets[j])
+        if like >= at_least:
             a, b = sorted((find(i), find(j)))
             up[b] = a
     return [find(i) for i in range(len(texts))]
