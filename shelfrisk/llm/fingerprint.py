@@ -1,19 +1,20 @@
 """Document fingerprints (operator 10): threshold-scaled sketches.
 
-A sketch retains every five-word shingle hash below ``2^64 / scale``, whatever
+A sketch retains every five-word shingle hash below ``2^40 / scale``, whatever
 the text's length; equal texts have equal sketches, the sketch of a union is
 the union of sketches, and containment of a short text in a very long one is
-estimated without bias.  A fingerprint is the shingle count and the retained
-hashes (40 bits each, ascending, base64).
+estimated without bias.  A short text of which no hash is that low retains its
+least hash, so that equal short texts are still alike.  A fingerprint is the
+shingle count and the retained hashes (40 bits each, ascending, base64).
 
 ``with_next`` pairs each document with the next by id: rows are dealt into
 ranges of ids, each range also gets the first document of the one after it, and
 a range is read in order.  The whole text is shuffled once.
 
-Defined cases: null and empty texts have no shingles, and no text has a
-likeness with them but an equally empty one (1.0); two texts whose sketches are
-both empty have likeness 1.0 only if neither has shingles, else 0.0; fewer than
-five words, but not none, are one shingle; null ids come first; ties in id are
+Defined cases: null and empty texts have no shingles and an empty sketch, and no
+text has a likeness with them but an equally empty one (1.0); two texts that
+retain their least hash only are alike (1.0) if it is the same, else not (0.0);
+fewer than five words, but not none, are one shingle; null ids come first; ties in id are
 ordered by text hash and text; one document is its own next; other columns are
 ignored; an empty table gives no rows.
 """
@@ -42,13 +43,22 @@ CHUNK_CHARS = 1 << 20
 Sketch = tuple[int, np.ndarray]
 
 
+def low_hashes(scale: int) -> np.uint64:
+    """Hashes below this one are always retained."""
+    return U((1 << 40) // scale)
+
+
 def sketches(texts: list[str], scale: int = SCALE, k: int = SHINGLE) -> list[Sketch]:
     """(number of shingles, ascending retained hashes) of each text."""
     words, first = word_hashes(*join_texts(texts))
     h, row = shingles(words, first, k)
+    h = h >> U(24)
     total = np.bincount(row, minlength=len(texts))
-    keep = h < U((1 << 64) // scale)
-    h, row = h[keep] >> U(24), row[keep]
+    keep = h < low_hashes(scale)
+    bare = (total > 0) & (np.bincount(row[keep], minlength=len(texts)) == 0)
+    least = np.full(len(texts), np.iinfo(U).max)
+    np.minimum.at(least, row[bare[row]], h[bare[row]])
+    h, row = np.concatenate((h[keep], least[bare])), np.concatenate((row[keep], np.flatnonzero(bare)))
     order = np.lexsort((h, row))
     h, row = h[order], row[order]
     new = np.ones(h.size, bool)
@@ -88,9 +98,11 @@ def containment(a: Sketch, b: Sketch) -> float:
     return common(a, b) / a[1].size if a[1].size else float(a[0] == 0)
 
 
-def merge(a: Sketch, b: Sketch) -> Sketch:
+def merge(a: Sketch, b: Sketch, scale: int = SCALE) -> Sketch:
     """Sketch of the union (its count is an upper bound)."""
-    return a[0] + b[0], np.union1d(a[1], b[1])
+    both = np.union1d(a[1], b[1])
+    low = both[both < low_hashes(scale)]
+    return a[0] + b[0], low if low.size else both[:1]
 
 
 def fingerprints(docs: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -120,14 +132,15 @@ def text_chunks(rows) -> Iterator[tuple[list, list[str]]]:
         yield ids, texts
 
 
-def merged_sketches(prints: DataFrame, by: str) -> DataFrame:
-    """The union of the sketches of each group as rows (group, hash): as long
-    as its texts ask for, so it stays a table that any number of tasks share."""
+def merged_sketches(prints: DataFrame, by: str, scale: int = SCALE) -> DataFrame:
+    """The union of the sketches of each group as rows (group, hash) of all low
+    hashes: as long as its texts ask for, so it stays a table that any number
+    of tasks share.  A group of short texts without low hashes has no rows."""
     schema = type(prints.schema)([prints.schema[by]]).add("hash", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [decode(t)[1] for t in batch.column(1).to_pylist()]
+            got = [h[h < low_hashes(scale)] for _, h in map(decode, batch.column(1).to_pylist())]
             row = np.repeat(np.arange(len(got)), [h.size for h in got])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(row)), pa.array(np.concatenate([*got, np.empty(0, U)]).astype(np.int64))],
