@@ -381,13 +381,20 @@ def _preview() -> str:
                    one("dim_store", "l_stores", ["store_id"]),
                    one("fact_orders", "l_orders", ["order_id", "order_date", "product_id", "store_id"]),
                    one("fact_inventory", "l_inventory", ["product_id", "store_id"]),
-                   one("fact_stock_risk", "fact", ["product_id", "store_id"])])
+                   one("fact_stock_risk", RAW_FACT, ["product_id", "store_id"])])
 
 
-def _row_counts() -> str:
+RAW_FACT = "(" + fact("rc_orders", "rc_products", "rc_stores", "rc_inventory", "rc_reviews", "rc_events") + ")"
+
+
+def _row_counts(*more: tuple[str, str]) -> str:
     return _union([f"SELECT '{n}' AS table_name, COUNT(*) AS \"rows\" FROM {s}" for n, s in
                    [("dim_product", "l_products"), ("dim_store", "l_stores"), ("fact_orders", "l_orders"),
-                    ("fact_inventory", "l_inventory"), ("fact_stock_risk", "fact")]])
+                    ("fact_inventory", "l_inventory"), ("fact_stock_risk", RAW_FACT), *more]])
+
+
+def _spoiled(column: str, every: int, value: str) -> str:
+    return f"CASE WHEN TRY_CAST(product_id AS BIGINT) % {every} = 0 THEN {value} ELSE {column} END"
 
 
 def _profile() -> str:
@@ -488,9 +495,11 @@ FINAL: dict[str, str] = {
     "final_table_check": _final_check(),
     "pk_violations": "SELECT order_id, COUNT(*) AS nb FROM t_orders GROUP BY order_id HAVING COUNT(*) > 1",
     "domain_check": "SELECT 'stockout_risk' AS \"column\", "
-                    "CAST(COUNT_IF(stockout_risk NOT IN (0, 1) AND stockout_risk IS NOT NULL) AS BIGINT) AS invalid_rows FROM fact",
-    "non_negative_check": _union([f"SELECT '{c}' AS \"column\", CAST(COUNT_IF({c} < 0) AS BIGINT) AS negative_rows FROM fact"
-                                  for c in P.NON_NEGATIVE_COLUMNS]),
+                    f"CAST(COUNT_IF(v NOT IN (0, 1) AND v IS NOT NULL) AS BIGINT) AS invalid_rows FROM "
+                    f"(SELECT {_spoiled('stockout_risk', 31, '2')} AS v FROM fact)",
+    "non_negative_check": _union([f"SELECT '{c}' AS \"column\", CAST(COUNT_IF({_spoiled(c, every, f'-1 - {c}')} < 0) AS BIGINT) "
+                                  "AS negative_rows FROM fact"
+                                  for c, every in (("sales_7d", 7), ("sales_30d", 11), ("stock_qty", 13), ("web_signal", 17))]),
     "table_row_counts": _row_counts(),
     "table_preview": _preview(),
     "order_duplicates": "SELECT order_id, COUNT(*) AS nb FROM r_orders GROUP BY order_id HAVING COUNT(*) > 1",
@@ -499,8 +508,8 @@ FINAL: dict[str, str] = {
                          "CAST(COUNT_IF(order_date IS NULL) AS BIGINT) AS null_order_date FROM l_orders",
     "fact_preview": "SELECT * FROM fact ORDER BY product_id, store_id LIMIT 10",
     "risk_distribution": "SELECT stockout_risk, COUNT(*) AS nb FROM fact GROUP BY stockout_risk ORDER BY stockout_risk",
-    "fact_duplicates": "SELECT product_id, store_id, COUNT(*) AS nb FROM fact GROUP BY product_id, store_id "
-                       "HAVING COUNT(*) > 1",
+    "fact_duplicates": "SELECT product_id, store_id, COUNT(*) AS nb FROM (SELECT * FROM fact UNION ALL "
+                       "SELECT * FROM fact WHERE stockout_risk = 1) GROUP BY product_id, store_id HAVING COUNT(*) > 1",
     "region_avg_sales": "SELECT region, CAST((200 * SUM(sales_30d) + COUNT(sales_30d)) // (2 * COUNT(sales_30d)) "
                         "AS DOUBLE) / CAST(100 AS DOUBLE) AS avg_sales_30d FROM fact GROUP BY region "
                         "ORDER BY avg_sales_30d DESC",
@@ -558,7 +567,8 @@ FINAL: dict[str, str] = {
                                    "ELSE region END AS region) FROM fact",
     "required_columns": _union([f"SELECT 'fact_stock_risk' AS dataset, '{c}' AS \"column\", {c != 'missing_column'} AS present"
                                 for c in [*P.FACT_COLUMNS, "missing_column"]]),
-    "warehouse_sql_row_counts": _row_counts(),
+    "warehouse_sql_row_counts": _row_counts(("fact_events", "rc_events"),
+                                            ("agg_reviews", f"({reviews_agg('rc_reviews')})")),
     "time_anchors": "SELECT 'orders' AS clock, max(order_date) AS anchor FROM c_orders UNION ALL "
                     "SELECT 'events', max(event_ts) FROM c_events",
     "trailing_window": "SELECT * FROM c_orders WHERE order_date >= "
