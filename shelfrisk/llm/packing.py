@@ -15,6 +15,7 @@ columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,9 @@ from .words import packed
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the pattern that splits text before the merges of the vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Fixed value: the characters that the pattern's \\s stands for.
+SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_SPACE = 100_000         # white space from which a run is not given to the pattern (its stack is bounded)
 END_ID = 50256               # free in the vocabulary
 CAPACITY = 2048
 SHARD_TOKENS = 2_000_000
@@ -43,6 +47,20 @@ def load_encoding(path: str = VOCABULARY) -> tiktoken.Encoding:
     return tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def encode_text(encoding: tiktoken.Encoding, text: str) -> list[int]:
+    """Ids of a text of any length.  A very long run of white space is one piece
+    of the pattern, but for its last character where something follows."""
+    if len(text) < LONG_SPACE:
+        return encoding.encode_ordinary(text)
+    out, at = [], 0
+    for run in re.finditer(f"[{SPACE}]{{{LONG_SPACE},}}", text):
+        end = run.end() - (run.end() < len(text))
+        out += encoding.encode_ordinary(text[at:run.start()])
+        out += encoding._encode_single_piece(text[run.start():end])
+        at = end
+    return out + encoding.encode_ordinary(text[at:])
+
+
 def share_encoding(spark: SparkSession, path: str = VOCABULARY):
     """The vocabulary as a broadcast: of fixed size, built once per worker."""
     return spark.sparkContext.broadcast(load_encoding(path))
@@ -140,12 +158,12 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY, shard_tokens: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode = shared.value.encode_ordinary
+        encoding = shared.value
         shard = TaskContext.get().partitionId() << 32
         ids, tokens, held = [], [], 0
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                got = np.array([*encode(text.as_py() or ""), END_ID], ID_TYPE)
+                got = np.array([*encode_text(encoding, text.as_py() or ""), END_ID], ID_TYPE)
                 if held and held + got.size > shard_tokens:
                     yield from pack_shard(shard, ids, tokens, capacity)
                     shard, ids, tokens, held = shard + 1, [], [], 0

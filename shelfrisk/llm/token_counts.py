@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .packing import VOCABULARY, share_encoding
+from .packing import VOCABULARY, encode_text, share_encoding
 
 FIELDS = ("lang", "source", "text")
 RULES = ("start", "end", "largest", "split")
@@ -67,10 +67,10 @@ def count_tokens(docs: DataFrame, fields: tuple[str, ...] = FIELDS, text_field:
               f"section_tokens array<{kind}>, n_crossing long")
     place = fields.index(text_field)
 
-    def one(encode, length, parts):
+    def one(encoding, length, parts):
         raw = [(p or "").encode() + b"\n" for p in parts]
         whole = b"".join(raw)
-        ends = np.cumsum(length[encode(whole.decode())])
+        ends = np.cumsum(length[encode_text(encoding, whole.decode())])
         starts = np.concatenate(([0], ends[:-1]))
         edge = np.concatenate(([0], np.cumsum([len(r) for r in raw])))
         lines = np.flatnonzero(np.frombuffer(raw[place], np.uint8) == 10) + 1 + edge[place]
@@ -81,11 +81,11 @@ def count_tokens(docs: DataFrame, fields: tuple[str, ...] = FIELDS, text_field:
         return (ends.size, *per_field, lines.size, section, crossing)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, length = shared.value.encode_ordinary, token_lengths(shared.value)
+        encoding, length = shared.value, token_lengths(shared.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                rows = [one(encode, length, [c.as_py() for c in row]) for row in zip(*part.columns[1:])]
+                rows = [one(encoding, length, [c.as_py() for c in row]) for row in zip(*part.columns[1:])]
                 cols = list(zip(*rows))
                 kinds = [pa.int64(), *[arrow] * len(fields), pa.int64(), pa.list_(arrow), pa.int64()]
                 yield pa.RecordBatch.from_arrays([part.column(0), *map(pa.array, cols, kinds)], names=names)
@@ -97,7 +97,7 @@ def count_tokens(docs: DataFrame, fields: tuple[str, ...] = FIELDS, text_field:
 def token_spans(encoding, text: str) -> list[tuple[int, int, int]]:
     """(id, first character, end) of each token; a token that holds part of a
     character covers it."""
-    ids = encoding.encode_ordinary(text)
+    ids = encode_text(encoding, text)
     ends = np.cumsum(token_lengths(encoding)[ids]) if ids else np.empty(0, np.int64)
     data = np.frombuffer(text.encode(), np.uint8)
     upto = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))

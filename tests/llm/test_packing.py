@@ -1,13 +1,17 @@
 from __future__ import annotations
 
 import numpy as np
-from hypothesis import given
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from shelfrisk.llm.packing import (END_ID, ID_TYPE, best_fit_decreasing, load_encoding, pack_documents, position_ids,
-                                   write_packed)
+from shelfrisk.llm import packing
+from shelfrisk.llm.packing import (END_ID, ID_TYPE, best_fit_decreasing, encode_text, load_encoding, pack_documents,
+                                   position_ids, write_packed)
+from shelfrisk.llm.token_counts import count_tokens
 
-from .conftest import needs_data, rows
+from .conftest import frame, needs_data, rows
+
+ENC = load_encoding()
 
 
 def unpack(packed):
@@ -52,6 +56,21 @@ def test_best_fit_against_plain_search(sizes):
     assert sorted(sum(sizes[i] for i in r) for r in got) == sorted(sum(sizes[i] for i in r) for r in want)
 
 
+@settings(max_examples=300, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(text=st.text(alphabet="ab7!' \n\t\xa0\x1cé\u2003s", max_size=60))
+def test_long_runs_as_the_pattern_cuts_them(monkeypatch, text):
+    monkeypatch.setattr(packing, "LONG_SPACE", 3)
+    assert encode_text(ENC, text) == ENC.encode_ordinary(text)
+
+
+def test_very_long_white_space(spark):
+    texts = [" " * 1_500_000, "a" + "\n" * 1_500_000 + " b", "x" * 300_000]
+    docs = frame(spark, texts)
+    assert [t for _, t in restored(rows(pack_documents(docs)))] == texts
+    for r, t in zip(sorted(rows(count_tokens(docs)), key=lambda r: r["doc_id"]), texts):
+        assert r["n_sections"] == t.count("\n") + 1 == len(r["section_tokens"])
+
+
 def test_odd_rows(spark, odd):
     got = rows(pack_documents(odd.where("doc_id IS NOT NULL AND doc_id <> 7"), capacity=64))
     want = {(r["doc_id"], r["text"] or "") for r in rows(odd) if r["doc_id"] not in (None, 7)}
