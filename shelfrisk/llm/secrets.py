@@ -46,7 +46,7 @@ NAME_BUCKETS, PATH_BUCKETS = 32, 16
 #: Names that credentials are assigned to, and candidate strings.
 NAMES = r"pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth(?:orization)?|credentials?|private[_-]?key"
 CANDIDATE = re.compile(
-    rf"(?P<name>(?i:\b(?:{NAMES}))\b)[\"']?\s*(?::=|=>|[:=])\s*(?P<quote>[\"']?)(?P<value>[^\s\"'<>,;]{{6,200}})"
+    rf"(?P<name>(?i:\b(?:{NAMES}))\b)[\"']?\s*(?::=|=>|[:=])\s*(?P<quote>[\"']?)(?P<value>[^\s\"'<>,;]{{6,}})"
     r"|(?P<long>[A-Za-z0-9][A-Za-z0-9_/+=.-]{14,}[A-Za-z0-9=])", re.ASCII)
 #: Strict formats by which findings are labelled positive.
 STRICT = re.compile(r"(?:A(?:KIA|SIA)[A-Z2-7]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}"
