@@ -279,7 +279,7 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, weights=WEIGHTS, most:
                     keep.append(i)
             got = batch.select(names).take(pa.array(keep, pa.int64()))
             new = {"text": pa.array(texts, pa.string()), "n_chars": pa.array(map(len, texts), pa.int64())}
-            yield pa.RecordBatch.from_arrays([new.get(n, got.column(n)) for n in names], names=names)
+            yield pa.RecordBatch.from_arrays([new[n].cast(got.column(n).type) if n in new else got.column(n) for n in names], names=names)
 
     once = (docs.withColumn("__t", F.xxhash64("text")).dropDuplicates(["doc_id", "source", "__t"]))
     return (once.join(cuts.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
