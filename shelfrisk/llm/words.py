@@ -8,6 +8,7 @@ once; nothing here depends on Spark.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,7 @@ import pyarrow.compute as pc
 
 U = np.uint64
 CHUNK_BYTES = 1 << 20        # text bytes handled at once (a longer text is a chunk of its own)
+SEGMENT = 1 << 16            # text bytes hashed at once
 CHUNK_ROWS = 4000            # fits the 12 bits that `distinct_shingles` gives to the row number
 
 _code = np.arange(256)
@@ -93,11 +95,26 @@ def runs(member: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.flatnonzero(begins), np.flatnonzero(ends) + 1
 
 
+@lru_cache(8)
+def power_table(base: int, size: int) -> np.ndarray:
+    return powers(base, size)
+
+
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Position-independent 64-bit hash of ``data[start:end]`` for each span."""
-    total = np.zeros(data.size + 1, dtype=U)
-    np.cumsum(BYTE_CODE[data] * powers(BASE, data.size)[:-1], out=total[1:])
-    return mix((total[ends] - total[starts]) * powers(BASE_INVERSE, data.size)[starts])
+    """Position-independent 64-bit hash of ``data[start:end]`` for each span, in
+    segments: spans are ordered and do not overlap, so memory follows their
+    number and the longest one, not the text."""
+    out, i = np.empty(starts.size, U), 0
+    while i < starts.size:
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + SEGMENT, "right")))
+        first, n = int(starts[i]), int(ends[j - 1] - starts[i])
+        power, inverse = (power_table(b, SEGMENT) if n <= SEGMENT else powers(b, n) for b in (BASE, BASE_INVERSE))
+        total = np.zeros(n + 1, dtype=U)
+        np.cumsum(BYTE_CODE[data[first:first + n]] * power[:n], out=total[1:])
+        s, e = starts[i:j] - first, ends[i:j] - first
+        out[i:j] = mix((total[e] - total[s]) * inverse[s])
+        i = j
+    return out
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
