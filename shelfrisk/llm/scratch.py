@@ -6,8 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
 
+BATCH_BYTES = 4 << 20        # of a batch that a task passes to Python (a longer row is a batch of its own)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """An input table.  Batches are bounded by bytes too: a number of rows says
+    little of the memory that whole texts take."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
