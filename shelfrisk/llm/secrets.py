@@ -51,7 +51,7 @@ CANDIDATE = re.compile(
 #: Strict formats by which findings are labelled positive.
 STRICT = re.compile(r"(?:A(?:KIA|SIA)[A-Z2-7]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}"
                     r"|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|eyJ[\w-]+\.eyJ[\w-]+\.[\w-]+)\Z")
-HEX = re.compile(r"[0-9a-f]{16,}\Z")
+HEX = re.compile(r"[0-9A-Fa-f]{16,}\Z")
 
 FINDINGS = ("doc_id long, start long, end long, rule string, value string, length int, digits double, capitals double, "
             "marks double, transitions double, coverage double, path int, before int, after int, weak_label int")

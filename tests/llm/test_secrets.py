@@ -35,6 +35,21 @@ def test_forest_removes_false_positives(spark):
     assert not any(r["is_secret"] for r in got if r["rule"] == "long")
 
 
+def test_upper_case_secrets_stay(spark):
+    """Against the planted values, not the weak labels."""
+    rng = random.Random(5)
+    texts, planted = [], set()
+    for i in range(300):
+        value = "".join(rng.choices("0123456789abcdef", k=32))
+        text = f"the morning was token = {value} and then" if i % 2 else "the morning was thermentionandingther and then"
+        texts.append(text.upper() if i % 3 == 0 else text)
+        if i % 2:
+            planted.add(value.upper() if i % 3 == 0 else value)
+    got = rows(S.scan(frame(spark, texts)))
+    assert {r["value"] for r in got if r["is_secret"]} == planted
+    assert sum(v != v.lower() for v in planted) == 50
+
+
 def test_labelled_findings_are_used(spark):
     docs = corpus(spark)
     found = S.candidates(docs, S.bounded_statistics(S.corpus_statistics(docs)))
