@@ -1,7 +1,8 @@
 """Secret scans (operator 7): high-recall candidates, then a random forest that
 removes false positives.
 
-Candidates are values assigned to a credential's name and long unbroken
+Candidates are values assigned to a credential's name (which may follow other
+words and '_' or '-'; in quotes up to the closing quote) and long unbroken
 strings, from every whole text.  Features: length, character classes, character
 transitions (mean log-probability under the corpus's own letter pairs),
 dictionary coverage (share of four-letter pieces found in frequent corpus
@@ -12,8 +13,10 @@ there is none, ``weak_labels`` labels findings by strict provider formats.
 Corpus statistics count all texts: letter pairs in a fixed table, and words of a
 share of at least ``FREQUENT`` of all words, of which there can be 1/FREQUENT at
 most.  Defined cases: null and empty texts have no candidates; a null source is
-its own path; null and repeated ids give findings of their own; overlapping
-candidates count once, the leftmost longest; without findings, or labels of
+its own path; null and repeated ids give findings of their own; a long
+string in an assigned value counts once, with that value, but a quoted value with
+white space is a candidate beside those in it, and one over several lines also
+beside its unquoted start; without findings, or labels of
 both kinds, every score is the share of positive labels (0.5 without any);
 other columns are ignored.
 """
@@ -45,9 +48,12 @@ NAME_BUCKETS, PATH_BUCKETS = 32, 16
 
 #: Names that credentials are assigned to, and candidate strings.
 NAMES = r"pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth(?:orization)?|credentials?|private[_-]?key"
-CANDIDATE = re.compile(
-    rf"(?P<name>(?i:\b(?:{NAMES}))\b)[\"']?\s*(?::=|=>|[:=])\s*(?P<quote>[\"']?)(?P<value>[^\s\"'<>,;]{{6,}})"
-    r"|(?P<long>[A-Za-z0-9][A-Za-z0-9_/+=.-]{14,}[A-Za-z0-9=])", re.ASCII)
+ASSIGNED = re.compile(
+    rf"(?P<name>(?i:(?<![A-Za-z0-9])(?:{NAMES}))\b)[\"']?\s*(?::=|=>|[:=])\s*"
+    r"(?=(?P<quoted>\"(?:[^\"\\]++|\\.)*+\"|'(?:[^'\\]++|\\.)*+')?)[\"']?(?P<plain>[^\s\"'<>,;]{6,})?",
+    re.ASCII | re.DOTALL)
+LONG = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9_/+.-]{9,}+={1,6}(?![A-Za-z0-9_/+.=-])|[A-Za-z0-9_/+.-]{14,}[A-Za-z0-9])", re.ASCII)
+SHORTEST, SHORTEST_LONG = 6, 16
 #: Strict formats by which findings are labelled positive.
 STRICT = re.compile(r"(?:A(?:KIA|SIA)[A-Z2-7]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}"
                     r"|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|eyJ[\w-]+\.eyJ[\w-]+\.[\w-]+)\Z")
@@ -144,15 +150,44 @@ def bucket(word: str, n: int) -> int:
 
 
 def weak_label(name: str | None, value: str) -> int:
-    """1 for a provider's format or an assigned hexadecimal string."""
-    return int(bool(STRICT.match(value) or (name and HEX.match(value))))
+    """1 for a provider's format or an assigned hexadecimal string, also as one
+    of the words of a quoted value."""
+    return int(any(STRICT.match(v) or (name and HEX.match(v)) for v in value.split()))
+
+
+def assigned(text: str) -> Iterator[tuple[int, int, str, bool]]:
+    """(start, end, name, whole) of assigned values; what lies in a whole one is
+    not a candidate of its own."""
+    at = 0
+    while m := ASSIGNED.search(text, at):
+        at = m.end()
+        start, end = m.start("quoted") + 1, m.end("quoted") - 1
+        quoted = m["quoted"] is not None
+        blank = quoted and re.search(r"\s", text[start:end])
+        if quoted and end - start >= SHORTEST:
+            yield start, end, m["name"], not blank
+        # a quote that is closed on a later line may be a stray one
+        if m["plain"] and (not quoted or "\n" in text[start:end]):
+            yield *m.span("plain"), m["name"], True
+        elif quoted:
+            at = start if blank else end + 1
 
 
 def find(text: str) -> Iterator[tuple[int, int, str, str, str | None]]:
     """(start, end, rule, value, name) of the candidates of a text."""
-    for m in CANDIDATE.finditer(text):
-        part = "value" if m["value"] else "long"
-        yield *m.span(part), "assigned" if m["value"] else "long", m[part], m["name"]
+    whole = [(0, 0)]
+    for start, end, name, alone in assigned(text):
+        yield start, end, "assigned", text[start:end], name
+        if alone:
+            whole.append((start, end))
+    whole.sort()
+    k = 0
+    for m in LONG.finditer(text):
+        start, end = m.span()
+        while k + 1 < len(whole) and whole[k + 1][0] <= start:
+            k += 1
+        if end - start >= SHORTEST_LONG and start >= whole[k][1]:
+            yield start, end, "long", m[0], None
 
 
 def candidates(docs: DataFrame, statistics: tuple[np.ndarray, set[bytes]]) -> DataFrame:
