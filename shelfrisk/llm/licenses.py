@@ -38,7 +38,7 @@ NOTICE = (r"licensed\s+under\s+(?:the\s+)?(?:terms\s+of\s+(?:the\s+)?)?{n}",
           r"{n}")
 FAMILIES = (
     ("gpl", "general public", r"(?:gnu\s+)?general\s+public\s+licen[sc]e", ("1", "2", "3")),
-    ("lgpl", "lesser general", r"(?:gnu\s+)?(?:lesser|library)\s+general\s+public\s+licen[sc]e", ("2", r"2\.1", "3")),
+    ("lgpl", "general public", r"(?:gnu\s+)?(?:lesser|library)\s+general\s+public\s+licen[sc]e", ("2", r"2\.1", "3")),
     ("agpl", "affero", r"(?:gnu\s+)?affero\s+general\s+public\s+licen[sc]e", ("1", "3")),
     ("fdl", "free documentation", r"(?:gnu\s+)?free\s+documentation\s+licen[sc]e", (r"1\.1", r"1\.2", r"1\.3")),
     ("apache", "apache", r"apache(?:\s+software)?(?:\s+foundation)?\s+licen[sc]e", (r"1\.0", r"1\.1", "2")),

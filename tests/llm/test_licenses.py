@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import random
 import re
+from re import _constants as C
+from re import _parser
 
 from shelfrisk.llm import licenses as L
 
@@ -70,6 +73,61 @@ def test_against_plain_python(spark):
     check([{"text": t} for t in TEXTS], sorted(rows(L.scan(df)), key=lambda r: r["doc_id"]))
 
 
+def ungated(text):
+    """The same without keywords: every rule on every text."""
+    low = text.lower()
+    out = []
+    for s, e, i in sorted((m.start(), -m.end(), i) for i, r in enumerate(L.rules())
+                          for m in re.finditer(r.pattern, low, re.ASCII)):
+        if not out or s >= out[-1][1]:
+            out.append((s, -e, i))
+        elif -e > out[-1][1] and i < out[-1][2]:
+            out[-1] = (s, -e, i)
+    return [(s, e, L.rules()[i].label) for s, e, i in out]
+
+
+def sample(tree, rng):
+    """A text that an expression matches, its alternatives chosen at random."""
+    out = ""
+    for op, arg in tree:
+        if op is C.LITERAL:
+            out += chr(arg)
+        elif op is C.IN:
+            kind, x = rng.choice(arg)
+            out += ({C.CATEGORY_SPACE: " \n\t", C.CATEGORY_DIGIT: "0479"}[x][rng.randrange(3)] if kind is C.CATEGORY
+                    else chr(rng.randint(*x) if kind is C.RANGE else x))
+        elif op is C.BRANCH:
+            out += sample(rng.choice(arg[1]), rng)
+        elif op is C.MAX_REPEAT:
+            out += "".join(sample(arg[2], rng) for _ in range(rng.randint(arg[0], min(arg[1], arg[0] + 1))))
+        elif op is C.SUBPATTERN:
+            out += sample(arg[-1], rng)
+        else:
+            assert op is C.ASSERT_NOT, op
+    return out
+
+
+def samples(n):
+    rng = random.Random(9)
+    trees = [(r, _parser.parse(r.pattern, re.ASCII)) for r in L.rules()]
+    return [(r, sample(tree, rng)) for r, tree in trees for _ in range(n)]
+
+
+def test_no_keyword_hides_a_rule():
+    """What a rule matches holds its keyword and a hint, whichever alternative."""
+    for r, text in samples(40):
+        assert re.fullmatch(r.pattern, text, re.ASCII), (r, text)
+        assert r.keyword in re.sub(r"[\s-]+", " ", text, flags=re.ASCII) and any(h in text for h in L.HINTS), (r, text)
+
+
+def test_gated_scan_against_all_rules(spark):
+    texts = [f"See: {text}." for _, text in samples(1)] + ["under the GNU Library General Public License version 2"]
+    got = sorted(rows(L.scan(frame(spark, texts))), key=lambda r: r["doc_id"])
+    for text, g in zip(texts, got):
+        assert [(m["start"], m["end"], m["label"]) for m in g["matches"]] == ungated(text), text
+    assert [m["label"] for m in got[-1]["matches"]] == ["lgpl-2"]
+
+
 def test_containment_and_priority(spark):
     one, two = sorted(rows(L.scan(frame(spark, [TEXTS[0], TEXTS[1]]))), key=lambda r: r["doc_id"])
     assert "gpl-3" in one["labels"].split(",") and "gpl" in one["labels"].split(",")
