@@ -4,9 +4,12 @@ training words, searched with the windows of the benchmark items.
 ``build_index`` stores, per shard of consecutive documents, the postings of
 every word: its positions, in order.  ``search`` takes each benchmark window,
 orders its words by list length, starts from the rarest list and intersects the
-others with it, adjusted by offset: exactly (phrase) or within ``slop`` words
-for the five rarest (proximity).  Both steps are narrow: postings lie with their
-shard, so nothing is shuffled and no list is longer than a shard.
+others with it, adjusted by offset: exactly (phrase), or within ``SLOP`` words of
+the rarest for the five rarest (proximity).  For proximity the rarest are those
+of the whole corpus among the words that it has at all, so it does not depend on
+shards; a window with fewer than five of those (or than its words) has none.
+Both steps are narrow: postings lie with their shard, and no list is longer than
+a shard; only counts of the benchmark's words are added up over all shards.
 
 Words are compared by 64-bit hashes.  A window is ``window`` consecutive words
 of an item; an item of fewer, but not none, is one window.  Defined cases: null
@@ -110,6 +113,39 @@ def benchmark_blocks(benchmark: DataFrame, window: int) -> list:
     return blocks
 
 
+def corpus_counts(index: DataFrame, blocks: list) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes in order, occurrences in the whole corpus) of the benchmark's
+    words that the corpus has: no more than the benchmark has words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked = np.unique(np.concatenate([np.unique(b.value[0]) for b in blocks])) if blocks else np.empty(0, U)
+        for batch in batches:
+            for terms, lengths in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                terms, on = np.frombuffer(terms, U), np.frombuffer(lengths, np.int32).astype(np.int64)
+                some = np.isin(terms, asked, assume_unique=True)
+                yield pa.RecordBatch.from_arrays([pa.array(terms[some].view(np.int64)), pa.array(on[some])],
+                                                 names=["term", "n"])
+
+    got = (index.select("terms", "lengths").mapInArrow(run, "term long, n long")
+           .groupBy("term").agg(F.sum("n").alias("n")).toArrow())
+    terms, n = got["term"].to_numpy().view(U), got["n"].to_numpy()
+    order = np.argsort(terms)
+    return terms[order], n[order]
+
+
+def needed_words(w: Windows, counts: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Places in each window of the words that a proximity match needs, the
+    rarest first; -1 if the corpus has too few of its words."""
+    terms, n = counts
+    k = min(RAREST, w.words.shape[1])
+    if not terms.size:
+        return np.full((w.length.size, k), -1)
+    at = np.minimum(np.searchsorted(terms, w.words), terms.size - 1)
+    known = (terms[at] == w.words) & (np.arange(w.words.shape[1]) < w.length[:, None])
+    order = np.argsort(np.where(known, n[at], np.iinfo(np.int64).max), axis=1, kind="stable")[:, :k]
+    return np.where((known.sum(axis=1) >= np.minimum(k, w.length))[:, None], order, -1)
+
+
 class Shard:
     """Postings of one index row as sorted (term, place) keys."""
 
@@ -130,51 +166,78 @@ class Shard:
         found = self.keys[np.minimum(at, self.keys.size - 1)]
         return (at < self.keys.size) & (found <= term * self.span + place + slop)
 
-    def matches(self, w: Windows) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(window, place, exact) of all phrase and proximity matches."""
+    def places_of(self, pick: np.ndarray, off: np.ndarray, term: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(window, place) for all postings of the word at ``off`` of each
+        picked window; the place is that of the window's first word."""
+        size = self.lengths[term]
+        block = np.cumsum(size) // CANDIDATES
+        for b in np.unique(block):
+            on = block == b
+            n = size[on]
+            at = np.repeat(self.begin[term[on]] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            yield np.repeat(pick[on], n), self.places[at].astype(np.int64) - np.repeat(off[on], n)
+
+    def lookup(self, w: Windows) -> tuple[np.ndarray, np.ndarray]:
+        """The term of each word of the windows, and whether it is in the shard."""
+        term = np.minimum(np.searchsorted(self.terms, w.words), self.terms.size - 1)
+        return term, self.terms[term] == w.words
+
+    def phrases(self, w: Windows) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(window, place) of all phrase matches."""
         if not self.terms.size or not w.length.size:
             return
-        term = np.minimum(np.searchsorted(self.terms, w.words), self.terms.size - 1)
+        term, known = self.lookup(w)
         inside = np.arange(w.words.shape[1]) < w.length[:, None]
-        freq = np.where(inside, np.where(self.terms[term] == w.words, self.lengths[term], 0), np.iinfo(np.int64).max)
+        freq = np.where(inside, np.where(known, self.lengths[term], 0), np.iinfo(np.int64).max)
         order = np.argsort(freq, axis=1, kind="stable")
-        # a missing word among the rarest: no match of either kind
+        # a missing word: no phrase match
         live = np.flatnonzero(np.take_along_axis(freq, order[:, :1], 1)[:, 0] > 0)
-        lists = freq[live, order[live, 0]]
-        block = np.cumsum(lists) // CANDIDATES
-        for b in np.unique(block):
-            pick, size = live[block == b], lists[block == b]
-            off = order[pick, 0]
-            win = np.repeat(pick, size)
-            at = np.repeat(self.begin[term[pick, off]] - np.cumsum(size) + size, size) + np.arange(size.sum())
-            place = self.places[at].astype(np.int64) - np.repeat(off, size)
+        off = order[live, 0]
+        for win, place in self.places_of(live, off, term[live, off]):
             win, place = win[place >= 0], place[place >= 0]
-            for k in range(1, min(RAREST, w.words.shape[1])):
+            for k in range(1, w.words.shape[1]):
                 o = order[win, k]
+                ok = (k >= w.length[win]) | self.near(term[win, o], place + o, 0)
+                win, place = win[ok], place[ok]
+            yield win, place
+
+    def proximities(self, w: Windows, needed: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(window, place of its rarest word) of all proximity matches, phrase
+        matches among them; ``needed`` as of ``needed_words``."""
+        if not self.terms.size or not w.length.size:
+            return
+        term, known = self.lookup(w)
+        least = np.minimum(needed.shape[1], w.length)
+        has = np.take_along_axis(known, np.maximum(needed, 0), 1) | (np.arange(needed.shape[1]) >= least[:, None])
+        live = np.flatnonzero((needed[:, 0] >= 0) & has.all(axis=1))
+        off = needed[live, 0]
+        for win, place in self.places_of(live, off, term[live, off]):
+            for k in range(1, needed.shape[1]):
+                o = needed[win, k]
                 ok = (k >= w.length[win]) | self.near(term[win, o], place + o, SLOP)
                 win, place = win[ok], place[ok]
-            exact = np.ones(win.size, bool)
-            for k in range(1, w.words.shape[1]):
-                left = np.flatnonzero(exact & (k < w.length[win]))
-                o = order[win[left], k]
-                exact[left] = self.near(term[win[left], o], place[left] + o, 0)
-            yield win, place, exact
+            yield win, place + needed[win, 0]
 
-    def rows(self, blocks: Iterator[Windows]) -> list[tuple]:
+    def rows(self, blocks: Iterator[tuple[Windows, np.ndarray]]) -> list[tuple]:
         """A row of ``HITS`` for each document."""
         cover = np.zeros(self.span + 1, np.int32)
         found = [set() for _ in self.docs]
         close = [set() for _ in self.docs]
-        for w in blocks:
+        for w, needed in blocks:
             first = np.searchsorted(w.of_window, np.arange(w.length.size + 1))
-            for win, place, exact in self.matches(w):
-                np.add.at(cover, place[exact], 1)
-                np.add.at(cover, place[exact] + w.length[win[exact]], -1)
+
+            def note(seen, win, place):
                 doc = np.searchsorted(self.start, place, "right") - 1
-                for seen, which in ((found, exact), (close, ~exact)):
-                    for key in np.unique(np.maximum(doc[which], 0) * w.length.size + win[which]).tolist():
-                        d, at = divmod(key, w.length.size)
-                        seen[d].update(w.items[i] for i in w.of_item[first[at]:first[at + 1]].tolist())
+                for key in np.unique(doc * w.length.size + win).tolist():
+                    d, at = divmod(key, w.length.size)
+                    seen[d].update(w.items[i] for i in w.of_item[first[at]:first[at + 1]].tolist())
+
+            for win, place in self.phrases(w):
+                np.add.at(cover, place, 1)
+                np.add.at(cover, place + w.length[win], -1)
+                note(found, win, place)
+            for win, place in self.proximities(w, needed):
+                note(close, win, place)
         hit = np.concatenate(([0], np.cumsum(np.cumsum(cover) > 0)))
         n_hit = hit[self.start + self.n] - hit[self.start]
         return [(d, k, n, h, sorted(a), sorted(b - a)) for d, k, n, h, a, b in
@@ -185,12 +248,14 @@ def search(index: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Data
     """One row per document: words, words inside phrase matches, the items with
     phrase matches, and those with proximity matches only."""
     blocks = benchmark_blocks(benchmark, window)
+    counts = benchmark.sparkSession.sparkContext.broadcast(corpus_counts(index, blocks))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        needed = [needed_words(Windows(*b.value), counts.value) for b in blocks]
         for batch in batches:
             for i in range(batch.num_rows):
                 shard = Shard({k: v[0] for k, v in batch.slice(i, 1).to_pydict().items()})
-                rows = shard.rows(Windows(*b.value) for b in blocks)
+                rows = shard.rows((Windows(*b.value), k) for b, k in zip(blocks, needed))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64()] * 4 + [pa.list_(pa.string())] * 2)],
                     names=[c.split()[0] for c in HITS.split(", ")])

@@ -41,6 +41,12 @@ def op4_decontamination(spark: SparkSession, sf: str) -> DataFrame:
                         decontaminate.items_digest().alias("items_sha256"), "contaminated")
 
 
+def op4_proximity(spark: SparkSession, sf: str) -> DataFrame:
+    """The items near each document, without those that it holds exactly."""
+    found = decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select("doc_id", F.size("near_items").cast("long").alias("n_near_items"), "near_items")
+
+
 def op5_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf, "documents")).drop("node")
 
@@ -72,7 +78,7 @@ def pipeline(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_chat_format, op2_packing, op3_quality, op4_decontamination, op5_near_duplicates, op6_mixing, op7_secrets,
+    op1_chat_format, op2_packing, op3_quality, op4_decontamination, op4_proximity, op5_near_duplicates, op6_mixing, op7_secrets,
     op8_token_counts, op9_licenses, op10_fingerprints, pipeline)}
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"

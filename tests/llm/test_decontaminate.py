@@ -72,6 +72,29 @@ def test_proximity(spark):
     assert [r["near_items"] for r in got] == [[], ["5"], [], []]
 
 
+def test_proximity_does_not_depend_on_shards(spark):
+    """A passage with a replaced word is near, wherever the missing word is."""
+    item = " ".join(f"p{i}" for i in range(13))
+    other = item.replace("p6", "other")
+    bench = spark.createDataFrame([(5, item, 0), (6, "q1 the q2 q3 q4 q5", 0)], ITEMS)
+    cut = " ".join(item.split()[2:])              # starts before the document
+    texts = [other, "p6 " * 40, "nothing", cut, "the " * 9, f"x {other}"]
+    want = [["5"], [], [], ["5"], [], ["5"]]
+
+    def near(order, parts):
+        docs = frame(spark, [texts[i] for i in order], order).repartition(parts)
+        got = {r["doc_id"]: (r["near_items"], r["n_hit"]) for r in rows(D.contamination(docs, bench))}
+        return [got[i] for i in range(len(texts))]
+
+    texts[1] += " p0 p1 " * 30                    # the rarest are others than p0, p1 and p6
+    for parts in (1, 3, 6):
+        for order in (list(range(6)), list(range(6))[::-1]):
+            assert near(order, parts) == [(w, 0) for w in want]
+    # a word that the corpus has nowhere is not one that a match needs
+    gone = frame(spark, [other, "p0 p1"])
+    assert [r["near_items"] for r in sorted(rows(D.contamination(gone, bench)), key=lambda r: r["doc_id"])] == [["5"], []]
+
+
 def test_clean_documents(spark, odd):
     bench = spark.createDataFrame([(1, "same text here for all of us", 0)], ITEMS)
     kept = D.clean_documents(odd, bench)
@@ -88,3 +111,11 @@ def test_whole_table(spark, documents):
         g = got[r["doc_id"]]
         assert (g["n_words"], g["n_hit"], g["items"]) == (n, h, items)
         assert g["h"] == hashlib.sha256(",".join(items).encode()).hexdigest()
+
+
+@needs_data
+def test_near_items_are_a_result(spark, documents):
+    from shelfrisk.llm.registry import QUERIES
+
+    got = rows(QUERIES["op4_proximity"](spark, "/root/testdata/sf0.01"))
+    assert len(got) == documents.count() and all(r["n_near_items"] == len(r["near_items"]) for r in got)
