@@ -2,9 +2,10 @@
 
 A sketch retains every five-word shingle hash below ``2^40 / scale``, whatever
 the text's length; equal texts have equal sketches, the sketch of a union is
-the union of sketches, and containment of a short text in a very long one is
-estimated without bias.  A short text of which no hash is that low retains its
-least hash, so that equal short texts are still alike.  A fingerprint is the
+the union of sketches, and containment of a text in a very long one is estimated
+without bias, if the text has such a hash.  A short text of which no hash is that
+low retains its least hash, so that equal short texts are still alike; whether
+another text holds it is unknown (None) where that one retains lower hashes only.  A fingerprint is the
 shingle count and the retained hashes (40 bits each, ascending, base64).
 
 ``with_next`` pairs each document with the next by id: rows are dealt into
@@ -93,8 +94,11 @@ def likeness(a: Sketch, b: Sketch) -> float:
     return both / union if union else float(a[0] == b[0] == 0)
 
 
-def containment(a: Sketch, b: Sketch) -> float:
-    """Estimated share of a's shingles that b has."""
+def containment(a: Sketch, b: Sketch, scale: int = SCALE) -> float | None:
+    """Estimated share of a's shingles that b has; None (unknown) if a is a least
+    hash only and b has a lower one, as b then does not retain a's."""
+    if a[1].size and b[1].size and a[1][0] >= low_hashes(scale) and b[1][0] < a[1][0]:
+        return None
     return common(a, b) / a[1].size if a[1].size else float(a[0] == 0)
 
 

@@ -112,3 +112,18 @@ def test_merged_groups(spark):
 @needs_data
 def test_whole_table(spark, documents):
     check(documents, rows(P.compare_with_next(documents)))
+
+
+def test_containment_of_a_bare_sketch_is_unknown():
+    some = [" ".join(f"b{i}w{j}" for j in range(5)) for i in range(40)]
+    both = P.sketches(some + [""])
+    bare = [i for i in range(40) if both[i][1][0] >= P.low_hashes(P.SCALE)]
+    other = [i for i in range(40) if i not in bare]
+    assert len(bare) > 10 and len(other) > 3
+    whole = P.sketches([" ".join(some)])[0]
+    assert all(P.containment(both[i], whole) is None for i in bare)              # they lie in it whole
+    assert all(P.containment(both[i], whole) == 1.0 for i in other)
+    assert all(P.containment(both[i], both[i]) == 1.0 and P.containment(both[i], both[-1]) == 0.0 for i in bare)
+    assert all(P.containment(whole, both[i]) == 0.0 for i in bare)
+    high, low = sorted(bare[:2], key=lambda i: -int(both[i][1][0]))
+    assert P.containment(both[high], both[low]) is None and P.containment(both[low], both[high]) == 0.0
