@@ -554,7 +554,10 @@ FINAL: dict[str, str] = {
         "false AS has_error FROM r_orders",
         "SELECT 'lines', 'jsonl', 'ok', COUNT_IF(CAST(event_id AS BIGINT) % 53 <> 0), "
         "COUNT_IF(CAST(event_id AS BIGINT) % 53 = 0), false FROM r_events",
-        "SELECT 'array', 'json', 'ok', 0, 1, false", "SELECT 'gzip', 'csv', 'error', NULL, NULL, true",
+        # a broken array is a failed dataset: its records are not there to be counted
+        "SELECT 'array', 'json', 'error', 0, 1, true", "SELECT 'arrays', 'json', 'error', COUNT(*), 1, true FROM r_events",
+        "SELECT 'typed', 'json', 'ok', COUNT(*), 0, false FROM r_inventory", "SELECT 'blank', 'json', 'error', 0, 1, true",
+        "SELECT 'gzip', 'csv', 'error', NULL, NULL, true",
         "SELECT 'missing', 'csv', 'error', NULL, NULL, true",
         "SELECT 'after', 'jsonl', 'ok', COUNT(*), 0, false FROM r_reviews"]),
     "read_profile": _profile(),

@@ -517,8 +517,9 @@ def _exported(spark, sf):
     raw["reviews"].write.mode("overwrite").json(f"{root}/reviews")
     fmt = {"orders": "csv", "products": "csv", "stores": "csv",
            "inventory": "json", "events": "json", "reviews": "jsonl"}
+    # product categories hold line breaks; the other files can be split
     return [S.SourceSpec(n, f"{root}/{n}", fmt[n], SCHEMAS.RAW[n],
-                         (("multi_line", True),) if fmt[n] == "csv" else ())
+                         (("multi_line", True),) if n == "products" else ())
             for n in ("orders", "products", "stores", "inventory", "reviews", "events")]
 
 
@@ -530,24 +531,36 @@ def q_ingest_round_trip(spark, sf):
 
 
 def q_source_status(spark, sf):
-    """A good source, one with broken lines, a broken array, a file that is
-    no gzip, a missing one, and a good one after them, which is still landed."""
+    """A good source, one with broken lines, a broken array, good arrays with
+    a broken one among them, arrays with values of the wrong type, a file without
+    a byte, a file that is no gzip, a missing one, and a good one after them,
+    which is still landed."""
     good = _exported(spark, sf)
     root = scratch_path(spark, "broken")
     line = F.to_json(F.struct("*"))
     ev = AD.raw_events(spark, sf)
     (ev.select(F.when(F.col("event_id").try_cast("long") % 53 == 0, F.expr("substr(to_json(struct(*)), 2)")).otherwise(line)
                .alias("value")).write.text(f"{root}/lines"))
-    spark.range(1).select(F.lit('[{"event_id": "1", ').alias("value")).write.text(f"{root}/array")
+    cut = spark.range(1).coalesce(1).select(F.lit('[{"event_id": "1"}, {"event_id": "2"').alias("value"))
+    cut.write.text(f"{root}/array")
+    S.write_json_array(ev, f"{root}/arrays")
+    cut.write.mode("append").text(f"{root}/arrays")
+    stock = F.col("stock_qty").cast("string")
+    S.write_json_array(AD.raw_inventory(spark, sf).withColumn("stock_qty", F.when(F.col("stock_qty") % 5 == 0, "many").otherwise(stock)),
+                       f"{root}/typed")
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{root}/orders.csv.gz")
-    out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path)
-    out.write(bytearray(b"this is no gzip file"))
-    out.close()
+    for name, content in (("orders.csv.gz", b"this is no gzip file"), ("blank/events.json", b"")):
+        path = jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
+        out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path)
+        out.write(bytearray(content))
+        out.close()
     raw = SCHEMAS.RAW
     specs = [S.SourceSpec("good", good[0].path, "csv", raw["orders"], good[0].options),
              S.SourceSpec("lines", f"{root}/lines", "jsonl", raw["events"]),
              S.SourceSpec("array", f"{root}/array", "json", raw["events"]),
+             S.SourceSpec("arrays", f"{root}/arrays", "json", raw["events"]),
+             S.SourceSpec("typed", f"{root}/typed", "json", raw["inventory"]),
+             S.SourceSpec("blank", f"{root}/blank", "json", raw["events"]),
              S.SourceSpec("gzip", f"{root}/orders.csv.gz", "csv", raw["orders"]),
              S.SourceSpec("missing", f"{root}/nothing", "csv", raw["orders"]),
              S.SourceSpec("after", good[4].path, "jsonl", raw["reviews"])]

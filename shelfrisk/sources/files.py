@@ -1,12 +1,15 @@
 """File sources (S1-S5): explicit schemas, tolerant reads, quarantine of
-malformed records, per-dataset status and read profile."""
+malformed records, failed datasets told from failed records, per-dataset status
+and read profile."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,14 +102,81 @@ class SourceSpec:
 
 
 STATUS = "dataset string, path string, format string, status string, parsed long, corrupt long, error string"
+FILE, STATE = "_source_file", "_record_state"      # of a landed record: where it was read, and
+GOOD, PARTIAL, BROKEN = "good", "partial", "corrupt"   # whether it was read whole, in part, or not
+HEAD = 1000                                        # characters kept of a broken array (the file has the rest)
+NAMED = 10                                         # broken files that an error message names
+
+
+def _landed_schema(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, *(T.StructField(c, T.StringType()) for c in (CORRUPT, FILE, STATE))])
+
+
+def landed(spark: SparkSession, spec: SourceSpec, root: str) -> DataFrame:
+    """Every record of a source as ``land_source`` left it, malformed ones with
+    their raw text and file."""
+    return spark.read.schema(_landed_schema(spec.schema)).parquet(f"{root}/{spec.name}")
+
+
+def good_records(spark: SparkSession, spec: SourceSpec, root: str) -> DataFrame:
+    """The records that were read (the scan skips the others' files)."""
+    return landed(spark, spec, root).filter(F.col(STATE) != BROKEN).select(*spec.schema.fieldNames())
+
+
+def land_source(spark: SparkSession, spec: SourceSpec, root: str, **options) -> dict[str, int]:
+    """K1 + S4: parse a source and write it, once; the same job counts its
+    records by state.  A line that can't be read is a failed record.  An array
+    is one document: a value of the wrong type spoils its own field (the parser
+    marks every record of the file, all are kept), anything worse leaves no
+    record but a mark."""
+    df = READERS[spec.format](spark, spec.path, spec.schema,
+                              **{**options, **dict(spec.options), "quarantine": True})
+    names = spec.schema.fieldNames()
+    flagged, text = F.col(CORRUPT).isNotNull(), F.col(CORRUPT)
+    state = F.when(flagged, F.lit(BROKEN))
+    if spec.format == "json":
+        read = reduce(or_, [F.col(c).isNotNull() for c in names])
+        state, text = F.when(flagged & read, F.lit(PARTIAL)).when(flagged, F.lit(BROKEN)), F.left(text, F.lit(HEAD))
+    seen = Observation()
+    (df.select(*names, text.alias(CORRUPT), F.when(flagged, F.input_file_name()).alias(FILE),
+               state.otherwise(F.lit(GOOD)).alias(STATE))
+       .observe(seen, *(F.count_if(F.col(STATE) == s).alias(s) for s in (GOOD, PARTIAL, BROKEN)))
+       .write.mode("overwrite").partitionBy(STATE).parquet(f"{root}/{spec.name}"))
+    return seen.get
+
+
+def empty_files(spark: SparkSession, path: str) -> list[str]:
+    """Files without a byte under ``path`` (a scan skips them unseen), from the
+    listing that the driver makes for any scan."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = []
+    for top in fs.globStatus(where) or ():
+        files = fs.listFiles(top.getPath(), True)
+        while files.hasNext():
+            file = files.next()
+            if file.getLen() == 0 and file.getPath().getName()[0] not in "_.":
+                found.append(file.getPath().toString())
+    return found
+
+
+def broken_files(spark: SparkSession, spec: SourceSpec, root: str) -> DataFrame:
+    """(file): the array files of a landed source that hold no readable array:
+    marked files of which no record was read, and files without a byte."""
+    bad = landed(spark, spec, root).filter(F.col(STATE) == BROKEN).select(FILE)
+    part = landed(spark, spec, root).filter(F.col(STATE) == PARTIAL).select(FILE)
+    blank = spark.createDataFrame([(f,) for f in empty_files(spark, spec.path)], f"{FILE} string")
+    return bad.join(part, FILE, "left_anti").union(blank).distinct().withColumnRenamed(FILE, "file")
 
 
 def read_sources(spark: SparkSession, specs: Sequence[SourceSpec], root: str | None = None,
                  **options) -> tuple[dict[str, DataFrame | None], DataFrame]:
-    """S4 + K1: parse every source once, land its good records under ``root``
-    (the shared scratch folder by default) and its malformed ones, with their
-    raw text, beside them.  A source that fails, when it is opened or while it
-    is read, is reported with the whole message, and the others go on."""
+    """S4 + K1: land every source under ``root`` (the shared scratch folder by
+    default).  A dataset fails if it can't be opened, if reading it fails, or if
+    one of its array files holds no array (its records would be lost unseen): it
+    is reported with the whole message and set aside, the others go on.  Lines
+    that fail are counted and kept beside the good ones."""
     from ..session import scratch_path
 
     root = root or scratch_path(spark, "sources")
@@ -115,12 +185,16 @@ def read_sources(spark: SparkSession, specs: Sequence[SourceSpec], root: str | N
     for spec in specs:
         frames[spec.name], parsed, corrupt, error = None, None, None, None
         try:
-            df = READERS[spec.format](spark, spec.path, spec.schema,
-                                      **{**options, **dict(spec.options), "quarantine": True})
-            good, bad = quarantine(spark, df, f"{root}/parsed/{spec.name}")
-            good.write.mode("overwrite").parquet(f"{root}/{spec.name}")
-            parsed, corrupt = good.count(), bad.count()
-            frames[spec.name] = spark.read.schema(spec.schema).parquet(f"{root}/{spec.name}")
+            seen = land_source(spark, spec, root, **options)
+            parsed, corrupt = seen[GOOD] + seen[PARTIAL], seen[BROKEN]
+            if spec.format == "json":
+                files = broken_files(spark, spec, root)
+                names = sorted(r["file"] for r in files.limit(NAMED).collect())
+                if names:
+                    corrupt = files.count()
+                    error = f"{corrupt} files hold no JSON array, such as {', '.join(names)}"
+            if not error:
+                frames[spec.name] = good_records(spark, spec, root)
         except Exception as exc:  # noqa: BLE001 - reported, not swallowed
             error = str(exc)
         status.append((spec.name, spec.path, spec.format, "error" if error else "ok", parsed, corrupt, error))

@@ -57,6 +57,71 @@ def test_csv_json_jsonl_and_status(spark, tmpdir_fresh):
     assert bad.count() == 1 and bad.first()[S.CORRUPT].startswith('{"review_id": "R2"')
 
 
+def _events(n, bad=""):
+    return [{"event_id": str(i), "product_id": "P1", "event_type": "view", "event_ts": f"2024-01-01T00:00:{i % 60:02d}",
+             "source": bad or "web"} for i in range(n)]
+
+
+def test_broken_arrays_are_failed_datasets(spark, tmpdir_fresh):
+    """A truncated array is an error whose files are named; good lines around
+    broken ones are kept; each dataset is written once."""
+    text = json.dumps(_events(1000))
+    files = {"whole/a.json": text, "cut/a.json": text, "cut/b.json": text[:-20], "blank/a.json": "", "none/a.json": "[]",
+             "words/a.json": "no array at all", "inner/a.json": '["x", {"event_id": "1"}]'}
+    for name, content in files.items():
+        os.makedirs(os.path.dirname(f"{tmpdir_fresh}/{name}"), exist_ok=True)
+        with open(f"{tmpdir_fresh}/{name}", "w") as f:
+            f.write(content)
+    names = sorted({f.split("/")[0] for f in files})
+    specs = [S.SourceSpec(n, f"{tmpdir_fresh}/{n}", "json", schemas.RAW_EVENTS) for n in names]
+    root = f"{tmpdir_fresh}/landed"
+    frames, status = S.read_sources(spark, specs, root)
+    got = {r.dataset: (r.status, r.parsed, r.corrupt) for r in status.collect()}
+    assert got == {"whole": ("ok", 1000, 0), "cut": ("error", 1000, 1), "blank": ("error", 0, 1), "none": ("ok", 0, 0),
+                   "words": ("error", 0, 1), "inner": ("error", 0, 1)}
+    assert frames["whole"].count() == 1000 and frames["none"].count() == 0 and frames["cut"] is None
+    errors = {r.dataset: r.error for r in status.collect()}
+    assert "cut/b.json" in errors["cut"] and "a.json" not in errors["cut"]
+    cut = next(s for s in specs if s.name == "cut")
+    assert [r.file.split("/")[-1] for r in S.broken_files(spark, cut, root).collect()] == ["b.json"]
+    assert S.landed(spark, cut, root).filter(f"{S.CORRUPT} IS NOT NULL").first()[S.CORRUPT] == text[:S.HEAD]
+
+
+def test_wrong_types_spoil_their_own_field(spark, tmpdir_fresh):
+    rows = [{"product_id": "P1", "store_id": "S1", "stock_qty": "many", "last_update": "x"}, {"stock_qty": "few"},
+            {"product_id": "P2", "store_id": "S1", "stock_qty": 4, "last_update": "y"}]
+    for kind, text in (("json", json.dumps(rows)), ("jsonl", "\n".join(map(json.dumps, rows)))):
+        with open(f"{tmpdir_fresh}/{kind}", "w") as f:
+            f.write(text)
+    specs = [S.SourceSpec(k, f"{tmpdir_fresh}/{k}", k, schemas.RAW_INVENTORY) for k in ("json", "jsonl")]
+    frames, status = S.read_sources(spark, specs, f"{tmpdir_fresh}/landed")
+    got = {r.dataset: (r.status, r.parsed, r.corrupt) for r in status.collect()}
+    assert got == {"json": ("ok", 2, 1), "jsonl": ("ok", 1, 2)}      # a record without any field is not kept
+    assert sorted((r.product_id, r.stock_qty) for r in frames["json"].collect()) == [("P1", None), ("P2", 4)]
+    assert [r.product_id for r in frames["jsonl"].collect()] == ["P2"]
+
+
+def test_a_broken_array_stops_the_etl(spark, tmpdir_fresh):
+    import pytest
+
+    from shelfrisk.plans.etl import run_etl_files
+
+    raw = raw_frames(spark)
+    specs = []
+    for name, df in raw.items():
+        path = S.write_json_array(df.coalesce(1), f"{tmpdir_fresh}/{name}")
+        specs.append(S.SourceSpec(name, path, "json", schemas.RAW[name]))
+    out = run_etl_files(spark, specs, f"{tmpdir_fresh}/good")
+    assert out["fact_stock_risk"].count() == 6
+    with open(f"{tmpdir_fresh}/events/extra.json", "w") as f:
+        f.write(json.dumps(_events(50))[:-9])
+    with pytest.raises(ValueError, match="extra.json"):
+        run_etl_files(spark, specs, f"{tmpdir_fresh}/bad")
+    status = {r.dataset: r.status for r in spark.read.parquet(f"{tmpdir_fresh}/bad/source_status").collect()}
+    assert status == {**dict.fromkeys(raw, "ok"), "events": "error"}
+    assert not os.path.exists(f"{tmpdir_fresh}/bad/fact_stock_risk")
+
+
 def test_na_tokens(spark, tmpdir_fresh):
     p = f"{tmpdir_fresh}/na.csv"
     _write_csv(p, ["a", "b"], [("NA", "1"), ("x", "n/a"), ("", "null")])
