@@ -562,8 +562,9 @@ FINAL: dict[str, str] = {
         "SELECT 'after', 'jsonl', 'ok', COUNT(*), 0, false FROM r_reviews"]),
     "read_profile": _profile(),
     "overwrite_reload": _row_counts(),
-    "run_log": "SELECT 'etl' AS step, 'rows_written' AS metric, CAST(COUNT(*) AS DOUBLE) AS \"value\" FROM fact",
-    "landing_stream": "SELECT * FROM r_events",
+    "run_log": "SELECT '0042' AS run_id, 'etl' AS step, 'rows_written' AS metric, CAST(COUNT(*) AS DOUBLE) AS \"value\" FROM fact",
+    "landing_stream": "SELECT *, (SELECT COUNT_IF(CAST(event_id AS BIGINT) % 53 = 0) FROM r_events) AS n_malformed "
+                      "FROM r_events WHERE CAST(event_id AS BIGINT) % 53 <> 0",
     "ingest_round_trip": _profile(),
     "etl_run_fact": fact("rc_orders", "rc_products", "rc_stores", "rc_inventory", "rc_reviews", "rc_events"),
     "fact_partitioned_round_trip": "SELECT * REPLACE (CASE region WHEN 'ASIA' THEN '01' WHEN 'EUROPE' THEN '7' "

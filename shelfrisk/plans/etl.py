@@ -20,7 +20,7 @@ from ..operators.aggregate import month_of
 from ..operators.quality import final_table_check, quality_report
 from ..session import scratch_path, tune
 from ..sources.files import SourceSpec, read_sources
-from ..sources.sinks import append_run_log, read_fact, write_fact, write_quality
+from ..sources.sinks import append_run_log, read_fact, read_run_log, write_fact, write_quality
 from .fact import build_fact_stock_risk
 
 
@@ -73,8 +73,9 @@ def without_time_partitions(frames: dict[str, DataFrame]) -> dict[str, DataFrame
 def run_etl(spark: SparkSession, frames: dict[str, DataFrame], output_root: str,
             date_formats: Sequence[str] = (P.ISO_DATE,),
             valid_event_types: Sequence[str] = P.VALID_EVENT_TYPES,
-            partition_fact_by: str | None = None) -> dict[str, DataFrame]:
-    """D3 from ready frames.  Returns the outputs re-read from ``output_root``:
+            partition_fact_by: str | None = None, run_id: str | None = None) -> dict[str, DataFrame]:
+    """D3 from ready frames; a run that is retried under its ``run_id`` replaces
+    its record in the log.  Returns the outputs re-read from ``output_root``:
     the fact, the quality report, the final check (E2) and the run log."""
     tune(spark)
     cleaned = materialize(spark, clean_sources(frames, date_formats, valid_event_types), "clean")
@@ -83,9 +84,9 @@ def run_etl(spark: SparkSession, frames: dict[str, DataFrame], output_root: str,
     quality_path = write_quality(quality, f"{output_root}/quality_checks")
     fact_back = read_fact(spark, fact_path)
     check_path = write_quality(final_table_check(fact_back), f"{output_root}/final_check")
-    append_run_log(spark, fact_back, f"{output_root}/run_log", step="etl")
+    append_run_log(spark, fact_back, f"{output_root}/run_log", step="etl", run_id=run_id)
     return {"fact_stock_risk": fact_back, "quality_checks": spark.read.parquet(quality_path),
-            "final_check": spark.read.parquet(check_path), "run_log": spark.read.parquet(f"{output_root}/run_log"),
+            "final_check": spark.read.parquet(check_path), "run_log": read_run_log(spark, f"{output_root}/run_log"),
             "cleaned": without_time_partitions(cleaned)}
 
 

@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from .. import params as P
 from ..operators import ml as M
 from ..session import scratch_root, tune
+from ..sources.sinks import write_run_log
 
 
 def run_training(spark: SparkSession, fact: DataFrame, model_path: str | None = None,
                  num_trees: int = P.NUM_TREES, seed: int = P.SEED,
-                 log_path: str | None = None) -> dict[str, DataFrame]:
+                 log_path: str | None = None, run_id: str | None = None) -> dict[str, DataFrame]:
     tune(spark)
     data, features, categorical = M.prepare_features(fact)
     # the split feeds fit, scoring and the distribution: cut its lineage once
@@ -31,8 +32,8 @@ def run_training(spark: SparkSession, fact: DataFrame, model_path: str | None =
     if model_path:
         M.save_model(model, model_path)
     if log_path:
-        # K4: one row per metric of this run, appended to the run-log table
-        metrics_rows(report, confusion, uuid.uuid4().hex).coalesce(1).write.mode("append").parquet(log_path)
+        # K4: one row per metric of this run
+        write_run_log(metrics_rows(report, confusion, run_id or uuid.uuid4().hex), log_path)
     return {"model": model, "split": split, "scored": scored, "confusion": confusion,
             "report": report, "accuracy": M.accuracy(scored),
             "distribution": M.class_distribution(split)}

@@ -1,5 +1,5 @@
 """Warehouse load (reference entry 3): minimal cleaning (CL7-CL9), then an
-idempotent overwrite of the five tables (K5) into typed tables (K6).
+idempotent reload of the five tables as one step (K5), declared as typed tables (K6).
 
 As in the reference, the load keeps dimension text as it came (no
 normalisation) and loads inventory without the clip / zero-fill the fact
@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions import tolerant_double, tolerant_int
 from ..operators import clean as C
 from ..session import tune
-from ..sources.sinks import create_tables, overwrite_tables
+from ..sources.reload import current_paths, reload_tables
+from ..sources.sinks import create_tables
 
 LOAD_TABLES = ("dim_product", "dim_store", "fact_orders", "fact_inventory", "fact_stock_risk")
 
@@ -35,9 +36,10 @@ def load_tables(raw: dict[str, DataFrame], fact: DataFrame) -> dict[str, DataFra
 
 def run_load(spark: SparkSession, raw: dict[str, DataFrame], fact: DataFrame, root: str,
              register: bool = False, prefix: str = "") -> dict[str, DataFrame]:
-    """K5 (+ K6 when ``register``): overwrite the five tables, read back."""
+    """K5 (+ K6 when ``register``): reload the five tables, read back what is
+    current.  Declared tables follow once the whole reload is published."""
     tune(spark)
-    paths = overwrite_tables(load_tables(raw, fact), root)
+    tables = reload_tables(load_tables(raw, fact), root)
     if register:
-        create_tables(spark, root, prefix, names=list(LOAD_TABLES))
-    return {name: spark.read.parquet(path) for name, path in paths.items()}
+        create_tables(spark, root, prefix, names=list(LOAD_TABLES), paths=current_paths(spark, root))
+    return tables

@@ -31,8 +31,9 @@ from .sources import adapters as AD
 from .sources import files as S
 from . import schemas as SCHEMAS
 from .plans.etl import run_etl_files
-from .sources.sinks import create_tables, overwrite_tables, read_fact, run_record, write_fact
-from .streaming.landing import land_incremental
+from .sources.reload import current_paths, read_current, reload_tables, stage
+from .sources.sinks import append_run_log, create_tables, drop_tables, read_fact, read_run_log, write_fact
+from .streaming.landing import land_incremental, read_landed, read_malformed
 
 Query = Callable[[SparkSession, str], DataFrame]
 EV = P.DRIVER_EVENT_TYPES
@@ -485,25 +486,40 @@ def q_read_profile(spark, sf):
 
 
 def q_overwrite_reload(spark, sf):
+    """K5: a load, a second one that is killed before it is published (its
+    tables hold one row too many each), and what a reader then sees."""
     raw, fct = AD.raw_sources(spark, sf), raw_fact(spark, sf)
     root = scratch_path(spark, "warehouse")
-    run_load(spark, raw, fct, root)
-    return Q.table_row_counts(run_load(spark, raw, fct, root))
+    tables = run_load(spark, raw, fct, root)
+    stage({n: df.unionByName(df.limit(1)) for n, df in tables.items()}, root)
+    return Q.table_row_counts(read_current(spark, root))
 
 
 def q_run_log(spark, sf):
+    """K4: the record of a run that was tried twice."""
     root = scratch_path(spark, "etl-out")
     path = write_fact(fact(spark, sf), f"{root}/fact_stock_risk")
-    rec = run_record(spark.read.parquet(path), "etl", "rows_written")
-    rec.write.mode("append").parquet(f"{root}/run_log")
-    return spark.read.parquet(f"{root}/run_log").select("step", "metric", "value")
+    for df in (spark.read.parquet(path).limit(3), spark.read.parquet(path)):
+        append_run_log(spark, df, f"{root}/run_log", "etl", run_id="0042")
+    return read_run_log(spark, f"{root}/run_log").select("run_id", "step", "metric", "value")
+
+
+def _event_lines(spark, sf):
+    """Raw events as JSON lines, every 53rd without its first character."""
+    return AD.raw_events(spark, sf).select(F.when(F.col("event_id").try_cast("long") % 53 == 0, F.expr("substr(to_json(struct(*)), 2)"))
+                                           .otherwise(F.to_json(F.struct("*"))).alias("value"))
 
 
 def q_landing_stream(spark, sf):
+    """K1: new files land batch by batch, malformed lines beside the good ones;
+    a run with nothing new adds nothing."""
     root = scratch_path(spark, "landing")
-    AD.raw_events(spark, sf).write.mode("overwrite").json(f"{root}/in")
-    land_incremental(spark, f"{root}/in", RAW_EVENTS, "jsonl", f"{root}/out", f"{root}/chk")
-    return spark.read.schema(RAW_EVENTS).parquet(f"{root}/out")
+    lines = _event_lines(spark, sf).repartition(5, "value")
+    lines.write.mode("overwrite").text(f"{root}/in")
+    for _ in range(2):
+        land_incremental(spark, f"{root}/in", RAW_EVENTS, "jsonl", f"{root}/out", f"{root}/chk", max_files_per_trigger=2)
+    bad = read_malformed(spark, f"{root}/out", RAW_EVENTS).agg(F.count("*")).scalar()
+    return read_landed(spark, f"{root}/out", RAW_EVENTS).withColumn("n_malformed", bad)
 
 
 def _exported(spark, sf):
@@ -537,10 +553,8 @@ def q_source_status(spark, sf):
     which is still landed."""
     good = _exported(spark, sf)
     root = scratch_path(spark, "broken")
-    line = F.to_json(F.struct("*"))
     ev = AD.raw_events(spark, sf)
-    (ev.select(F.when(F.col("event_id").try_cast("long") % 53 == 0, F.expr("substr(to_json(struct(*)), 2)")).otherwise(line)
-               .alias("value")).write.text(f"{root}/lines"))
+    _event_lines(spark, sf).write.text(f"{root}/lines")
     cut = spark.range(1).coalesce(1).select(F.lit('[{"event_id": "1"}, {"event_id": "2"').alias("value"))
     cut.write.text(f"{root}/array")
     S.write_json_array(ev, f"{root}/arrays")
@@ -600,14 +614,17 @@ def q_fact_partitioned_round_trip(spark, sf):
 
 
 def q_warehouse_sql_row_counts(spark, sf):
-    """K6 + SQL: all seven typed tables declared over the written warehouse,
-    counted with Spark SQL."""
+    """K6 + SQL: all seven typed tables declared over the loaded warehouse,
+    counted with Spark SQL, and forgotten again."""
     root = scratch_path(spark, "warehouse")
-    overwrite_tables(_all_tables(spark, sf), root)
+    reload_tables(_all_tables(spark, sf), root)
     prefix = f"wh_{uuid.uuid4().hex[:10]}_"
-    create_tables(spark, root, prefix)
-    return spark.sql(" UNION ALL ".join(
-        f"SELECT '{n}' AS table_name, COUNT(*) AS rows FROM {prefix}{n}" for n in SCHEMAS.WAREHOUSE))
+    tables = create_tables(spark, root, prefix, paths=current_paths(spark, root))
+    try:
+        return spark.sql(" UNION ALL ".join(
+            f"SELECT '{n}' AS table_name, COUNT(*) AS rows FROM {prefix}{n}" for n in SCHEMAS.WAREHOUSE)).checkpoint()
+    finally:
+        drop_tables(spark, tables)
 
 
 def q_time_anchors(spark, sf):

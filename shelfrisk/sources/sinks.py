@@ -1,6 +1,6 @@
-"""Sinks and table load (K1-K7).  Every write is a distributed Spark write;
-overwrite is atomic per table (job commit), as in the reference's
-truncate-then-append per table."""
+"""Sinks and typed tables (K1-K4, K6).  Every write is a distributed Spark write.
+An overwrite removes the old files before the new ones are committed, so a job
+that fails leaves neither; where readers must never see that, use ``reload`` (K5)."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..params import FACT_COLUMNS
-from ..schemas import FACT_STOCK_RISK, WAREHOUSE
+from ..schemas import FACT_STOCK_RISK, RUN_LOG, WAREHOUSE
 
 
 def land(frames: dict[str, DataFrame], root: str, fmt: str = "parquet",
@@ -63,37 +63,51 @@ def run_record(df: DataFrame, step: str, metric: str = "rows_written",
         "value")
 
 
+def write_run_log(records: DataFrame, path: str) -> str:
+    """K4: put (run_id, step, metric, value) records into the run-log table.  The
+    log is partitioned by run and step and only the partitions written are
+    replaced, so a retried run replaces its own records and no others."""
+    (records.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("run_id", "step").parquet(path))
+    return path
+
+
+def read_run_log(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(RUN_LOG).parquet(path).select(*RUN_LOG.fieldNames())
+
+
 def append_run_log(spark: SparkSession, df: DataFrame, path: str, step: str,
                    metric: str = "rows_written", run_id: str | None = None) -> DataFrame:
-    """K4: append one run record to the run-log table; returns the record."""
+    """K4: put the record of one run into the run log; returns the record."""
     rec = run_record(df, step, metric, run_id)
-    rec.coalesce(1).write.mode("append").parquet(path)
+    write_run_log(rec, path)
     return rec
 
 
-def overwrite_tables(tables: dict[str, DataFrame], root: str) -> dict[str, str]:
-    """K5: replace each table's content (idempotent reload)."""
-    paths = {}
-    for name, df in tables.items():
-        path = f"{root.rstrip('/')}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        paths[name] = path
-    return paths
-
-
 def _ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
-def create_tables(spark: SparkSession, root: str, prefix: str = "",
-                  names: Sequence[str] | None = None) -> list[str]:
+def create_tables(spark: SparkSession, root: str, prefix: str = "", names: Sequence[str] | None = None,
+                  paths: dict[str, str] | None = None) -> list[str]:
     """K6: CREATE TABLE IF NOT EXISTS for the warehouse tables, typed from
-    the same StructTypes the jobs use.  Keys are enforced by E4 / J7 jobs."""
+    the same StructTypes the jobs use, over ``paths`` (the current version of a
+    reload) or ``root/<table>``; a table that exists is pointed there.  Keys are
+    enforced by E4 / J7 jobs."""
     created = []
     for name in names or WAREHOUSE:
         schema = WAREHOUSE[name][0]
-        table = f"{prefix}{name}"
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({_ddl(schema)}) USING parquet "
-                  f"LOCATION '{root.rstrip('/')}/{name}'")
+        table, location = f"{prefix}{name}", (paths or {}).get(name, f"{root.rstrip('/')}/{name}")
+        known = spark.catalog.tableExists(table)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({_ddl(schema)}) USING parquet LOCATION '{location}'")
+        if known:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+            spark.catalog.refreshTable(table)
         created.append(table)
     return created
+
+
+def drop_tables(spark: SparkSession, tables: Sequence[str]) -> None:
+    """Forget the tables; their files stay."""
+    for table in tables:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")

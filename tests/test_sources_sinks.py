@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from fixtures import ORDERS, raw_frames
@@ -10,8 +11,9 @@ from shelfrisk import schemas
 from shelfrisk.plans.etl import clean_sources, fact_from_clean, run_etl
 from shelfrisk.plans.warehouse import run_load
 from shelfrisk.sources import files as S
-from shelfrisk.sources.sinks import create_tables, land
-from shelfrisk.streaming.landing import land_incremental
+from shelfrisk.sources import reload as R
+from shelfrisk.sources.sinks import append_run_log, create_tables, drop_tables, land, read_run_log
+from shelfrisk.streaming.landing import land_incremental, read_landed, read_malformed, write_batch
 
 
 def _write_csv(path, header, rows):
@@ -102,8 +104,6 @@ def test_wrong_types_spoil_their_own_field(spark, tmpdir_fresh):
 
 
 def test_a_broken_array_stops_the_etl(spark, tmpdir_fresh):
-    import pytest
-
     from shelfrisk.plans.etl import run_etl_files
 
     raw = raw_frames(spark)
@@ -142,14 +142,105 @@ def test_json_array_writer_round_trip(spark, tmpdir_fresh):
 def test_streaming_landing_is_incremental(spark, tmpdir_fresh):
     ev = raw_frames(spark)["events"]
     src, out, chk = (f"{tmpdir_fresh}/{x}" for x in ("in", "out", "chk"))
+
+    def land():
+        land_incremental(spark, f"{src}/*", schemas.RAW_EVENTS, "jsonl", out, chk)
+        return read_landed(spark, out, schemas.RAW_EVENTS).count()
+
     ev.limit(3).write.json(f"{src}/b1")
-    land_incremental(spark, f"{src}/*", schemas.RAW_EVENTS, "jsonl", out, chk)
-    assert spark.read.parquet(out).count() == 3
-    land_incremental(spark, f"{src}/*", schemas.RAW_EVENTS, "jsonl", out, chk)   # nothing new
-    assert spark.read.parquet(out).count() == 3
+    assert land() == 3
+    assert land() == 3                                                # nothing new
     ev.write.json(f"{src}/b2")
-    land_incremental(spark, f"{src}/*", schemas.RAW_EVENTS, "jsonl", out, chk)
-    assert spark.read.parquet(out).count() == 3 + ev.count()
+    with open(f"{src}/b2/bad.json", "w") as f:
+        f.write('{"event_id": "E1", \n')
+    assert land() == 3 + ev.count()
+    assert [tuple(r) for r in read_malformed(spark, out, schemas.RAW_EVENTS).collect()] == [(1, '{"event_id": "E1", ')]
+
+
+def test_replayed_batch_changes_nothing(spark, tmpdir_fresh):
+    """A batch written by a run that died before its commit is written again
+    under the same id."""
+    ev = raw_frames(spark)["events"].withColumn(S.CORRUPT, F.lit(None).cast("string"))
+    bad = ev.limit(1).withColumn(S.CORRUPT, F.lit("{"))
+    write_batch(ev, 0, f"{tmpdir_fresh}/out")
+    want = sorted(map(str, read_landed(spark, f"{tmpdir_fresh}/out", schemas.RAW_EVENTS).collect()))
+    for _ in range(2):
+        write_batch(bad, 1, f"{tmpdir_fresh}/out")
+        write_batch(ev, 0, f"{tmpdir_fresh}/out")
+    assert sorted(map(str, read_landed(spark, f"{tmpdir_fresh}/out", schemas.RAW_EVENTS).collect())) == want
+    assert read_malformed(spark, f"{tmpdir_fresh}/out", schemas.RAW_EVENTS).count() == 1
+
+
+def _five(spark, value, rows=3, fail=None):
+    """Five tables whose rows say which load they come from; one may fail while it is written."""
+    def table(n):
+        v = F.raise_error(F.lit("the job was killed")) if n == fail else F.lit(value)
+        return spark.range(rows).select("id", v.cast("string").alias("load"))
+
+    return {n: table(n) for n in ("dim_product", "dim_store", "fact_orders", "fact_inventory", "fact_stock_risk")}
+
+
+def _loads(spark, root):
+    return {n: (df.count(), [r.load for r in df.select("load").distinct().collect()]) for n, df in R.read_current(spark, root).items()}
+
+
+@pytest.mark.parametrize("fail", ["dim_product", "fact_orders", "fact_stock_risk"])
+def test_a_failed_reload_leaves_the_old_tables(spark, tmpdir_fresh, fail):
+    root = f"{tmpdir_fresh}/wh"
+    R.reload_tables(_five(spark, "old"), root)
+    with pytest.raises(Exception, match="killed"):
+        R.reload_tables(_five(spark, "new", 5, fail), root)
+    assert _loads(spark, root) == dict.fromkeys(_five(spark, ""), (3, ["old"]))
+    R.reload_tables(_five(spark, "new", 5), root)
+    assert _loads(spark, root) == dict.fromkeys(_five(spark, ""), (5, ["new"]))
+
+
+def test_a_reload_killed_between_its_steps(spark, tmpdir_fresh):
+    """Staged but not published: the old content; published but not cleaned: the
+    new; a half-written manifest is none."""
+    root = f"{tmpdir_fresh}/wh"
+    with pytest.raises(FileNotFoundError):
+        R.current_paths(spark, root)
+    R.reload_tables(_five(spark, "a"), root)
+    name = R.stage(_five(spark, "b"), root)
+    with open(f"{root}/manifests/000000000009-{name}.json.part", "w") as f:
+        f.write('{"ver')
+    assert _loads(spark, root)["fact_orders"] == (3, ["a"])
+    R.publish(spark, root, name, list(_five(spark, "")))
+    assert _loads(spark, root) == dict.fromkeys(_five(spark, ""), (3, ["b"]))
+
+
+def test_old_versions_go_and_readers_go_on(spark, tmpdir_fresh):
+    root = f"{tmpdir_fresh}/wh"
+    first = R.reload_tables(_five(spark, "1"), root)["dim_store"]
+    R.reload_tables(_five(spark, "2"), root)
+    assert first.count() == 3                                         # still there for its reader
+    dead = R.stage(_five(spark, "dead"), root)
+    R.reload_tables(_five(spark, "3"), root)
+    assert len(R.versions(spark, root)) == 2 and len(os.listdir(f"{root}/data")) == 3
+    assert R.drop_old(spark, root, stale_seconds=-60) == [dead]
+    assert _loads(spark, root)["dim_store"] == (3, ["3"])
+
+
+def test_registered_tables_follow_a_reload(spark, tmpdir_fresh):
+    raw = raw_frames(spark)
+    fact = fact_from_clean(clean_sources(raw))
+    root = f"{tmpdir_fresh}/wh"
+    run_load(spark, raw, fact, root, register=True, prefix="f_")
+    run_load(spark, raw, fact.limit(2), root, register=True, prefix="f_")
+    assert spark.sql("SELECT count(*) AS n FROM f_fact_stock_risk").first().n == 2
+    drop_tables(spark, [f"f_{n}" for n in ("dim_product", "dim_store", "fact_orders", "fact_inventory", "fact_stock_risk")])
+    assert not spark.catalog.tableExists("f_dim_store")
+    assert R.read_current(spark, root)["fact_stock_risk"].count() == 2
+
+
+def test_run_log_is_keyed_by_run(spark, tmpdir_fresh):
+    """A retried run replaces its own records, also where its id looks like a number."""
+    path = f"{tmpdir_fresh}/log"
+    for run_id, step, rows in (("007", "etl", 3), ("1e5", "etl", 4), ("007", "etl", 9), ("007", "train", 2)):
+        append_run_log(spark, spark.range(rows), path, step, run_id=run_id)
+    got = sorted((r.run_id, r.step, r.metric, r.value) for r in read_run_log(spark, path).collect())
+    assert got == [("007", "etl", "rows_written", 9.0), ("007", "train", "rows_written", 2.0), ("1e5", "etl", "rows_written", 4.0)]
 
 
 def test_run_etl_and_load(spark, tmpdir_fresh):
@@ -202,8 +293,6 @@ def test_dates_do_not_depend_on_the_session_zone(spark):
 
 
 def test_no_scratch_folder_on_a_cluster_is_an_error():
-    import pytest
-
     from shelfrisk.session import scratch_root
 
     class Spark:
