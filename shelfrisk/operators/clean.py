@@ -8,21 +8,22 @@ rows is pre-reduced in every map task before the shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import params as P
-from ..functions import (clip_lower, fill_default, strip_lower, tolerant_double,
-                         tolerant_int, tolerant_timestamp)
+from ..functions import clip_lower, fill_default, strip_lower, tolerant_double, tolerant_timestamp
 
 
 # --- C1 / C2 / C3: dedupe ----------------------------------------------------
 
 def dedupe_exact(df: DataFrame) -> DataFrame:
-    """Drop exact duplicate rows."""
+    """Drop exact duplicate rows, lazily, so that filters and column pruning
+    reach below it.  Where the whole table is written, ``dedupe_exact_by_hash``
+    shuffles less."""
     return df.distinct()
 
 
@@ -69,11 +70,6 @@ def parse_doubles(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.withColumns({c: tolerant_double(c) for c in columns})
 
 
-def parse_ints(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """C5 then C15 (integral)."""
-    return df.withColumns({c: tolerant_int(c) for c in columns})
-
-
 # --- C6-C9: row filters ------------------------------------------------------
 
 def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -116,11 +112,12 @@ def clip_columns(df: DataFrame, columns: Iterable[str], lower=0) -> DataFrame:
 
 # --- CL1-CL6: ETL cleaners ---------------------------------------------------
 
-def clean_orders(df: DataFrame, formats: Sequence[str] = (P.ISO_DATE,)) -> DataFrame:
-    """CL1: C1 -> C4 -> C5 x2 -> C6 -> C7.  ``formats=(ISO, day-first)``
+def clean_orders(df: DataFrame, formats: Sequence[str] = (P.ISO_DATE,),
+                 dedupe: Callable[[DataFrame], DataFrame] = dedupe_exact) -> DataFrame:
+    """CL1: C1 (``dedupe``) -> C4 -> C5 x2 -> C6 -> C7.  ``formats=(ISO, day-first)``
     repairs the day-first dates the default silently drops.  The quantity keeps
     its fraction; sums of it are cast."""
-    return (df.transform(dedupe_exact)
+    return (df.transform(dedupe)
              .transform(parse_timestamps, "order_date", formats)
              .withColumns({"quantity": tolerant_double("quantity"),
                            "unit_price": tolerant_double("unit_price")})
@@ -191,8 +188,9 @@ def clean_events(df: DataFrame, valid_types: Iterable[str] = P.VALID_EVENT_TYPES
 # --- CL7-CL9: warehouse-load cleaners ---------------------------------------
 
 def load_orders(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
-    """CL7: C1 -> C2(order_id); dates stay text, no filter."""
-    return df.transform(dedupe_exact).transform(dedupe_by_key_first, ["order_id"], order_by)
+    """CL7: C1 -> C2(order_id); dates stay text, no filter.  C1 is subsumed by
+    C2 (exact copies share the key and are the same pick): one shuffle."""
+    return df.transform(dedupe_by_key_first, ["order_id"], order_by)
 
 
 def load_inventory(df: DataFrame, formats: Sequence[str] = INVENTORY_TS_FORMATS) -> DataFrame:

@@ -5,7 +5,7 @@ with AQE on, a side whose *materialised* shuffle output is under
 ``spark.sql.adaptive.autoBroadcastJoinThreshold`` is broadcast at run time,
 anything larger stays a sort-merge join, and a hot key on the preserved side
 of a left join is split by AQE's skew-join handling.  No side is broadcast by
-hint unless its size is bounded by construction (see ``bounded_broadcast``).
+hint unless its size is bounded by construction.
 """
 
 from __future__ import annotations
@@ -20,13 +20,6 @@ from pyspark.sql import functions as F
 from .aggregate import sales_outer_merge  # noqa: F401  (J1 lives with A4)
 
 
-def bounded_broadcast(df: DataFrame, bounded: bool) -> DataFrame:
-    """Broadcast hint only for a side whose row count has a proven bound
-    independent of the data volume (e.g. one row per class label, one row per
-    grid cell).  Everything else is left to AQE's runtime size check."""
-    return F.broadcast(df) if bounded else df
-
-
 def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str] | str,
               columns: Sequence[str]) -> DataFrame:
     """Left join that brings ``columns`` of ``right`` (unique per key)

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from .. import params as P
 from ..functions import split_hash
+from ..session import scratch_path
 
 
 def _all() -> Window:
@@ -49,15 +50,24 @@ def label_encoder(columns: Sequence[str]) -> StringIndexer:
 def encoding_dictionary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """M2 as a table (column, value, index): the alphabetical rank of each
     distinct non-NULL value, the same indices the fitted encoder assigns.
-    Values are reduced to their distinct set (partial aggregation) before the
-    per-column rank, so a rank window only ever holds one column's distinct
-    values."""
+    Distinct values are dealt into ranges of (column, value) and stored with
+    their range; a value's index is its rank within its range and column, plus
+    the column's values in the ranges before, so no task holds a whole column."""
+    spark = df.sparkSession
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns
     ])).alias("kv")).select("kv.column", "kv.value")
-    distinct = long.filter(F.col("value").isNotNull()).distinct()
-    rank = F.dense_rank().over(Window.partitionBy("column").orderBy("value")) - 1
-    return distinct.withColumn("index", rank.cast("int"))
+    ranged = (long.filter(F.col("value").isNotNull()).distinct().repartitionByRange("column", "value")
+              .withColumn("range", F.spark_partition_id()))
+    path = scratch_path(spark, "dictionary")
+    ranged.write.parquet(path)                      # a range's bounds are drawn once
+    ranged = spark.read.schema(ranged.schema).parquet(path)
+    counts = ranged.groupBy("column", "range").agg(F.count(F.lit(1)).alias("n"))       # one row per range and column
+    before = Window.partitionBy("column").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("column", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    rank = F.row_number().over(Window.partitionBy("range", "column").orderBy("value")) - 1
+    return (ranged.withColumn("rank", rank).join(offsets, ["column", "range"])
+            .select("column", "value", (F.col("offset") + F.col("rank")).cast("int").alias("index")))
 
 
 # --- M3 / M4 / M5 ----------------------------------------------------------

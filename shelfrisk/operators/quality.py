@@ -1,7 +1,8 @@
 """Quality and integrity checks as Spark jobs.
 
 Each check is an aggregate over the whole table that returns a small
-DataFrame; nothing is collected to decide anything.
+DataFrame.  The quality report runs as it is built: its counts come with the job
+that finds the duplicates.
 """
 
 from __future__ import annotations
@@ -13,25 +14,18 @@ from pyspark.sql import functions as F
 
 from .. import params as P
 from ..schemas import QUALITY_CHECKS
-from .aggregate import duplicate_row_count, having_duplicates, value_counts
+from .aggregate import having_duplicates
+from .duplicates import duplicate_profile
 
 
 def quality_summary(df: DataFrame, dataset: str, keys: Sequence[str]) -> DataFrame:
-    """Rows, columns, whole-row duplicates and NULLs of each key column,
-    from a single grouped pass (duplicates collapse map-side)."""
-    grouped = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    aggs = [F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("rows"),
-            F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicates")]
-    for k in keys:
-        if k in df.columns:
-            aggs.append(F.coalesce(F.sum(F.when(F.col(k).isNull(), F.col("_n")).otherwise(0)),
-                                   F.lit(0)).cast("long").alias(f"null_{k}"))
-        else:
-            aggs.append(F.lit(None).cast("long").alias(f"null_{k}"))
-    out = grouped.agg(*aggs)
-    return out.select(F.lit(dataset).alias("dataset"), "rows",
-                      F.lit(len(df.columns)).cast("long").alias("columns"),
-                      "duplicates", *[f"null_{k}" for k in keys])
+    """Rows, columns, whole-row duplicates and NULLs of each key column (NULL
+    for a column that the dataset lacks), from one pass over hashes of the rows;
+    only rows that share a hash are compared whole."""
+    found = duplicate_profile(df, [k for k in keys if k in df.columns])
+    schema = ", ".join(f"`{c}` long" for c in ("rows", "columns", "duplicates", *(f"null_{k}" for k in keys)))
+    row = (dataset, found["rows"], len(df.columns), found["duplicates"], *(found.get(f"null_{k}") for k in keys))
+    return df.sparkSession.createDataFrame([row], f"dataset string, {schema}")
 
 
 def union_ragged(frames: Iterable[DataFrame]) -> DataFrame:
@@ -58,23 +52,28 @@ def quality_report(cleaned: dict[str, DataFrame],
 def final_table_check(df: DataFrame, keys: Sequence[str] = tuple(P.ID_COLUMNS),
                       label: str = P.LABEL) -> DataFrame:
     """E2 as rows (check, column, value): row count, column count, NULLs per
-    column, duplicate keys, label distribution (NULL label kept)."""
-    counts = df.agg(F.count(F.lit(1)).alias("rows"),
-                    *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
-    shape = counts.select(F.lit("rows").alias("check"), F.lit(None).cast("string").alias("column"),
-                          F.col("rows").cast("long").alias("value")).unionByName(
-        counts.select(F.lit("columns").alias("check"), F.lit(None).cast("string").alias("column"),
-                      F.lit(len(df.columns)).cast("long").alias("value")))
-    nulls = (counts.drop("rows")
-             .unpivot([], df.columns, "column", "value")
-             .select(F.lit("nulls").alias("check"), "column", F.col("value").cast("long")))
-    dups = duplicate_row_count(df, keys).select(
-        F.lit("duplicate_keys").alias("check"), F.lit(",".join(keys)).alias("column"),
-        F.col("duplicates").cast("long").alias("value"))
-    dist = value_counts(df, label, dropna=False).select(
-        F.lit("label_distribution").alias("check"), F.col(label).cast("string").alias("column"),
-        F.col("count").cast("long").alias("value"))
-    return shape.unionByName(nulls).unionByName(dups).unionByName(dist)
+    column, duplicate keys, label distribution (NULL label kept).  One pass: the
+    table is grouped by key and by label at once (grouping sets), the groups are
+    summed to one row and one per label, and these are laid out as checks."""
+    nulls = [f"_null_{c}" for c in df.columns]
+    sets = df.groupingSets([[F.col(k) for k in keys], [F.col(label)]], *keys, label).agg(
+        F.grouping(label).cast("int").alias("_by_key"), F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(F.col(c).isNull()).alias(n) for c, n in zip(df.columns, nulls)])
+    none = df.sparkSession.range(1).select(                       # so that an empty table has its checks too
+        F.lit(None).cast(df.schema[label].dataType).alias(label), F.lit(1).alias("_by_key"), F.lit(0).cast("long").alias("_n"),
+        *[F.lit(0).cast("long").alias(n) for n in nulls])
+    total = sets.select(label, "_by_key", "_n", *nulls).unionByName(none).groupBy("_by_key", label).agg(
+        F.sum("_n").alias("_n"), F.sum(F.greatest(F.col("_n") - 1, F.lit(0))).alias("_repeats"),
+        *[F.sum(n).alias(n) for n in nulls])
+
+    def line(check, column, value):
+        return F.struct(F.lit(check).alias("check"), column.cast("string").alias("column"), value.cast("long").alias("value"))
+
+    whole = [line("rows", F.lit(None), F.col("_n")), line("columns", F.lit(None), F.lit(len(df.columns))),
+             *(line("nulls", F.lit(c), F.col(n)) for c, n in zip(df.columns, nulls)),
+             line("duplicate_keys", F.lit(",".join(keys)), F.col("_repeats"))]
+    per_label = F.array(line("label_distribution", F.col(label), F.col("_n")))
+    return total.select(F.inline(F.when(F.col("_by_key") == 1, F.array(*whole)).otherwise(per_label)))
 
 
 def required_columns(spark: SparkSession, df: DataFrame, dataset: str,

@@ -418,6 +418,7 @@ _LI_COLS = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discou
 FINAL: dict[str, str] = {
     # C
     "dedupe_exact": "SELECT DISTINCT * FROM r_orders",
+    "dedupe_exact_by_hash": "SELECT DISTINCT * FROM r_orders",
     "dedupe_by_key_first": first_by("lineitem", "l_orderkey, l_linenumber", _LI_COLS),
     "latest_per_key": first_by("t_inventory", "product_id, store_id", ["last_update", "stock_qty"], latest=True),
     "parse_dates_iso": f"SELECT order_id, {parse_ts('order_date', ISO, False)} AS order_date FROM r_orders",

@@ -60,9 +60,6 @@ NON_NEGATIVE_COLUMNS = ["sales_7d", "sales_30d", "stock_qty", "web_signal"]
 # the reference's web-demand events (view / add-to-cart / wishlist).
 DRIVER_EVENT_TYPES = ("view", "click", "purchase")
 
-# Classes whose size is at most this many rows get an exact per-class rank in
-# the stratified split; larger classes use a hash threshold (no big sort).
-
 # Month partition column the ETL adds when it lands a cleaned time-series
 # table: dataset -> (partition column, timestamp column).  Trailing-window
 # filters repeat themselves on that column so the scan prunes partitions

@@ -10,13 +10,14 @@ back, so the quality report and the fact table start from the same files
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import params as P
 from ..operators import clean as C
 from ..operators.aggregate import month_of
+from ..operators.duplicates import dedupe_exact_by_hash
 from ..operators.quality import final_table_check, quality_report
 from ..session import scratch_path, tune
 from ..sources.files import SourceSpec, read_sources
@@ -26,11 +27,12 @@ from .fact import build_fact_stock_risk
 
 def clean_sources(frames: dict[str, DataFrame],
                   date_formats: Sequence[str] = (P.ISO_DATE,),
-                  valid_event_types: Sequence[str] = P.VALID_EVENT_TYPES) -> dict[str, DataFrame]:
+                  valid_event_types: Sequence[str] = P.VALID_EVENT_TYPES,
+                  dedupe: Callable[[DataFrame], DataFrame] = C.dedupe_exact) -> dict[str, DataFrame]:
     """CL1-CL6 over the six sources (dates are parsed in UTC, see ``tune``)."""
     tune(frames["orders"].sparkSession)
     return {
-        "orders": C.clean_orders(frames["orders"], date_formats),
+        "orders": C.clean_orders(frames["orders"], date_formats, dedupe),
         "products": C.clean_products(frames["products"]),
         "stores": C.clean_stores(frames["stores"], date_formats),
         "inventory": C.clean_inventory(frames["inventory"]),
@@ -78,7 +80,7 @@ def run_etl(spark: SparkSession, frames: dict[str, DataFrame], output_root: str,
     its record in the log.  Returns the outputs re-read from ``output_root``:
     the fact, the quality report, the final check (E2) and the run log."""
     tune(spark)
-    cleaned = materialize(spark, clean_sources(frames, date_formats, valid_event_types), "clean")
+    cleaned = materialize(spark, clean_sources(frames, date_formats, valid_event_types, dedupe_exact_by_hash), "clean")
     quality = quality_report(without_time_partitions(cleaned))
     fact_path = write_fact(fact_from_clean(cleaned), f"{output_root}/fact_stock_risk", partition_fact_by)
     quality_path = write_quality(quality, f"{output_root}/quality_checks")

@@ -17,11 +17,12 @@ from pyspark.sql import functions as F
 from . import params as P
 from .operators import aggregate as A
 from .operators import clean as C
+from .operators import duplicates as D
 from .operators import joins as J
 from .operators import ml as M
 from .operators import quality as E
 from .plans import marts as Q
-from .plans.etl import clean_sources, fact_from_clean
+from .plans.etl import clean_sources, fact_from_clean, materialize, without_time_partitions
 from .plans.fact import add_stockout_flag
 from .plans.training import run_training
 from .plans.warehouse import load_tables, run_load
@@ -85,6 +86,11 @@ def q_dedupe_exact(spark, sf):
     return C.dedupe_exact(AD.raw_orders(spark, sf))
 
 
+def q_dedupe_exact_by_hash(spark, sf):
+    """C1 by row hash: whole rows are shuffled only where a hash repeats."""
+    return D.dedupe_exact_by_hash(AD.raw_orders(spark, sf))
+
+
 def q_dedupe_by_key_first(spark, sf):
     return C.dedupe_by_key_first(AD.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
@@ -233,7 +239,8 @@ def q_minority_count(spark, sf):
 
 
 def q_duplicate_row_count(spark, sf):
-    return A.duplicate_row_count(AD.raw_orders(spark, sf))
+    found = D.duplicate_profile(AD.raw_orders(spark, sf))
+    return spark.createDataFrame([(found["duplicates"],)], "duplicates long")
 
 
 def q_null_counts(spark, sf):
@@ -265,10 +272,11 @@ def q_join_web(spark, sf):
 
 
 def _all_tables(spark, sf):
-    """The seven warehouse tables of one feed: the raw sources and what is cleaned from them."""
-    cl = raw_clean(spark, sf)
-    return {**_load(spark, sf), "fact_events": cl["events"],
-            "agg_reviews": A.review_features(cl["reviews"])}
+    """The seven warehouse tables of one feed: the raw sources and what is cleaned
+    from them, once, into a landed layer that the fact, events and reviews share."""
+    cl = materialize(spark, raw_clean(spark, sf), "clean")
+    return {**load_tables(AD.raw_sources(spark, sf), fact_from_clean(cl)),
+            "fact_events": without_time_partitions(cl)["events"], "agg_reviews": A.review_features(cl["reviews"])}
 
 
 def q_fk_orphans(spark, sf):
