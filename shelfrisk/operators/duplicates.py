@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -46,8 +47,12 @@ def suspects(df: DataFrame, nulls: Sequence[str] = (), key: RowKey = row_key) ->
                 .filter("_n > 1").select(*KEY).observe(found, F.count(F.lit(1)).alias("suspects")))
     path = scratch_path(spark, "row-hashes")
     repeated.write.parquet(path)
-    # a plan that turns out empty is cut off, and its counters with it
-    counts = dict.fromkeys(["rows", "suspects", *(f"null_{c}" for c in nulls)], 0) if df.isEmpty() else {**seen.get, **found.get}
+    try:
+        counts = {**seen.get, **found.get}
+    except Py4JJavaError:                # a plan that turns out empty is cut off, and its counters with it
+        if not df.isEmpty():
+            raise
+        counts = dict.fromkeys(["rows", "suspects", *(f"null_{c}" for c in nulls)], 0)
     return spark.read.schema(repeated.schema).parquet(path), counts
 
 

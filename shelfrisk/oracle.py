@@ -591,6 +591,10 @@ FINAL: dict[str, str] = {
 }
 FINAL["etl_final_check"] = _final_check().replace("FROM fact", "FROM (" + FINAL["etl_run_fact"] + ")")
 FINAL["etl_run_quality"] = FINAL["quality_summary"]
+# other ways to the same tables
+FINAL["sales_from_daily"] = FINAL["sales_two_horizons"]
+FINAL["web_signal_from_daily"] = FINAL["web_signal"]
+FINAL["fact_colocated"] = FINAL["fact_stock_risk"]
 
 
 def oracle_sql() -> dict[str, str]:

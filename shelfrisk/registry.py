@@ -21,7 +21,9 @@ from .operators import duplicates as D
 from .operators import joins as J
 from .operators import ml as M
 from .operators import quality as E
+from .operators import rollup as R
 from .plans import marts as Q
+from .plans.colocated import fact_from_pairs, forget, store_pairs
 from .plans.etl import clean_sources, fact_from_clean, materialize, without_time_partitions
 from .plans.fact import add_stockout_flag
 from .plans.training import run_training
@@ -210,6 +212,28 @@ def q_sales_outer_merge(spark, sf):
     return A.sales_outer_merge(typed_clean(spark, sf)["orders"])
 
 
+def _daily(spark, df, ts, keys, value=None):
+    """Daily sums of a table that came in two batches, the second one twice."""
+    daily = R.DailySums(spark, scratch_path(spark, "daily"), [df.schema[k] for k in keys], ts, value, "month")
+    since = df.agg((F.max(ts) - F.make_dt_interval(F.lit(12))).alias("t")).first()["t"]
+    daily.add(df.filter(F.col(ts) < F.lit(since)), "first")
+    for _ in range(2):
+        daily.add(df.filter(F.col(ts) >= F.lit(since)), "second")
+    return daily
+
+
+def q_sales_from_daily(spark, sf):
+    """A2 + A4 from daily sums that two batches maintained."""
+    daily = _daily(spark, typed_clean(spark, sf)["orders"], "order_date", P.ID_COLUMNS, "quantity")
+    return daily.windows({"sales_30d": P.LONG_WINDOW_DAYS, "sales_7d": P.SHORT_WINDOW_DAYS}).drop("n_rows")
+
+
+def q_web_signal_from_daily(spark, sf):
+    """A6 from daily counts that two batches maintained."""
+    daily = _daily(spark, typed_clean(spark, sf)["events"], "event_ts", ["product_id"])
+    return daily.windows({"web_signal": P.LONG_WINDOW_DAYS}).drop("n_rows")
+
+
 def q_review_features(spark, sf):
     return A.review_features(typed_clean(spark, sf)["reviews"])
 
@@ -304,6 +328,17 @@ def q_fact_stock_risk(spark, sf):
     return fact(spark, sf)
 
 
+def q_fact_colocated(spark, sf):
+    """D2 from sales and stock that are stored bucketed by their pair (J2 without an exchange)."""
+    cl = typed_clean(spark, sf)
+    prefix = f"pairs_{uuid.uuid4().hex[:10]}_"
+    sides = store_pairs(A.sales_two_horizons(cl["orders"]), cl["inventory"], scratch_path(spark, "pairs"), prefix)
+    try:
+        return fact_from_pairs(*sides, cl["products"], cl["stores"], cl["reviews"], cl["events"]).checkpoint()
+    finally:
+        forget(spark, prefix)
+
+
 def q_fact_stock_risk_raw(spark, sf):
     return fact_from_clean(raw_clean(spark, sf))
 
