@@ -96,8 +96,10 @@ def ftrl(examples, bits: int, alpha: float = ALPHA, beta: float = BETA, l1: floa
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
-    """(key, text, label) of the labelled rows, at most about ``max_rows``.
-    The sample of ids is broadcast: its size is bounded by that parameter."""
+    """(key, text, label) of labelled documents, at most about ``max_rows``: one
+    text for each id, the one of the least hash, so that an id however often
+    repeated is one row.  The sample of ids is broadcast: its size is bounded by
+    that parameter."""
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("label"))
              .where("doc_id IS NOT NULL AND label IS NOT NULL")
              .groupBy("doc_id").agg(F.min("label").alias("label")))
@@ -105,8 +107,10 @@ def training_sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFr
     share = min(1.0, max_rows / max(n, 1))
     key = F.xxhash64("doc_id", F.lit("sample"))
     chosen = known.withColumn("key", key).where(F.pmod("key", F.lit(1 << 20)) < int(share * (1 << 20)))
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-            .join(F.broadcast(chosen), "doc_id").select("key", "text", "label"))
+    found = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+             .join(F.broadcast(chosen), "doc_id"))
+    return (found.groupBy("doc_id", "key", "label").agg(F.min(F.struct(F.xxhash64("text").alias("order"), "text")).alias("one"))
+            .select("key", "one.text", "label"))
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, epochs: int = EPOCHS,

@@ -7,7 +7,7 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from shelfrisk.llm.quality import BITS, features, ftrl, score, tokens, train
+from shelfrisk.llm.quality import BITS, features, ftrl, score, tokens, train, training_sample
 from shelfrisk.llm.registry import op3_quality
 from shelfrisk.llm.words import text_buffer
 
@@ -37,6 +37,18 @@ def test_features_do_not_cross_rows(texts):
         assert (i[r == n] == one).all() and np.allclose(x[r == n], value)
 
 
+def test_one_text_for_each_id(spark):
+    """A labelled id that a third of the rows share is one training row, and null ids are none."""
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(50)] + [(None, "x")] * 20 + [(i, None if i == 7 else f"own {i}")
+                                 for i in range(2, 60)], "doc_id long, text string").repartition(7)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 60)] * 2 + [(None, 1)], "doc_id long, quality int")
+    sample = training_sample(docs, labels, 1000)
+    got = rows(sample)
+    assert len(got) == 59 and len({r["key"] for r in got}) == 59
+    assert sorted(map(str, got)) == sorted(map(str, rows(training_sample(docs.repartition(3), labels, 1000))))
+    assert len(rows(training_sample(docs, labels, 10))) < 30
+
+
 def test_ftrl_is_the_plain_update():
     rng = np.random.default_rng(0)
     data = [(np.sort(rng.choice(16, 3, replace=False)), rng.random(3), float(rng.integers(2))) for _ in range(50)]
