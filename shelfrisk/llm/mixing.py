@@ -20,6 +20,7 @@ driver (weights are per-source parameters); nothing else is.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -38,6 +39,7 @@ MOST = 3
 SHARD_SLOTS = 4096
 STREAM_ROWS = 1000            # rows of a source that are numbered in one task, about
 SEED = 20240601
+LARGE = 10**6                 # factorials of greater numbers by Stirling's series, to 10^-20
 
 SIZES = "doc_id long, source string, size long, tie long"
 
@@ -102,14 +104,41 @@ def split(rng, counts: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def log_factorial_ratio(a: int, b: int) -> tuple[float, int]:
+    """(r, b) with log(a! / b!) = r + (a - b) log b for large numbers, (r, 1) for
+    others.  The part that grows is left to the caller, who can cancel it."""
+    if min(a, b) < LARGE:
+        return math.lgamma(a + 1) - math.lgamma(b + 1), 1
+    d = a - b
+    return (a + 0.5) * math.log1p(d / b) - d + (1 / a - 1 / b) / 12, b
+
+
 def hypergeometric(rng, good: int, bad: int, n: int) -> int:
-    """NumPy's draw is limited to 10^9 of each kind; larger ones are drawn by
-    the normal approximation, rounded and held in range."""
-    if max(good, bad) < 10**9:
-        return int(rng.hypergeometric(good, bad, n))
-    p, total = good / (good + bad), good + bad
-    spread = (n * p * (1 - p) * (total - n) / max(1, total - 1)) ** 0.5
-    return int(min(good, n, max(0, n - bad, round(n * p + spread * rng.standard_normal()))))
+    """How many of ``n`` draws without replacement are good, at every count that
+    64 bits hold: ratio-of-uniforms rejection under a hat of the distribution's
+    width (constants of the table mountain hat: sqrt(8/e) and 3 - sqrt(12/e)).
+    Log-probabilities are taken relative to the mode; what grows with the counts
+    cancels in integers, so they are as exact for 10^15 as for 10."""
+    low, high = max(0, n - bad), min(n, good)
+    if low == high:
+        return low
+    total = good + bad
+    mode = (n + 1) * (good + 1) // (total + 2)
+    mean = n * (good / total)
+    width = math.sqrt(8 / math.e) * math.sqrt(mean * (bad / total) * ((total - n) / max(1, total - 1)) + 0.5) + 3 - math.sqrt(12 / math.e)
+    while True:
+        u, v = 1.0 - rng.random(), rng.random()
+        k = mode + math.floor(mean - mode + 0.5 + width * (v - 0.5) / u)
+        if not low <= k <= high:
+            continue
+        d, rest, above, below = k - mode, 0.0, 1, 1
+        for new, old, up in ((k, mode, True), (bad - n + k, bad - n + mode, True), (good - k, good - mode, False), (n - k, n - mode, False)):
+            ratio, base = log_factorial_ratio(new, old)
+            rest += ratio
+            above, below = (above * base, below) if up else (above, below * base)
+        slope = (math.log1p((above - below) / below) if 2 * above > below else math.log(above) - math.log(below)) * d
+        if 2 * math.log(u) <= -rest - slope:
+            return k
 
 
 def permuted(index: np.ndarray, n: int, key: int) -> np.ndarray:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -50,6 +51,42 @@ def check(docs, got, near):
         assert abs(n - target[s]) <= near, (s, n, target[s])
 
 
+@pytest.mark.parametrize("good,bad,n", [(5, 7, 6), (40, 3, 30), (3, 400, 200), (1, 1, 1), (60, 50, 100), (2, 900, 880)])
+def test_draws_follow_the_distribution(good, bad, n):
+    """Against the exact probabilities of small counts (chi-square)."""
+    rng = np.random.default_rng(good)
+    got = Counter(M.hypergeometric(rng, good, bad, n) for _ in range(20_000))
+    chance = {k: math.comb(good, k) * math.comb(bad, n - k) / math.comb(good + bad, n) for k in range(max(0, n - bad), min(n, good) + 1)}
+    assert set(got) <= set(chance)
+    cells = [(got[k], 20_000 * p) for k, p in chance.items() if 20_000 * p >= 5]
+    assert sum((o - e) ** 2 / e for o, e in cells) < len(cells) + 5 * (2 * len(cells)) ** 0.5 + 5
+
+
+@pytest.mark.parametrize("good", [10**4, 999_999, 10**6, 10**9 - 1, 10**9, 10**12, 2**61])
+@pytest.mark.parametrize("share", [0.5, 0.003])
+def test_draws_at_every_count(good, share):
+    """One method at every size: mean, spread, skewness and tails as they should be."""
+    bad, n = int(good * 1.7), int(good * 2.7 * share)
+    rng, total = np.random.default_rng(3), good + bad
+    p = good / total
+    spread = math.sqrt(n * p * (1 - p) * ((total - n) / (total - 1)))
+    z = np.array([(M.hypergeometric(rng, good, bad, n) * total - n * good) / total / spread for _ in range(6000)])
+    assert abs(z.mean()) < 0.06 and abs(z.std() - 1) < 0.05
+    skew = (1 - 2 * p) * (1 - 2 * n / total) / spread
+    assert abs((z**3).mean() - skew) < 0.2 and abs((z**4).mean() - 3) < 0.5
+    for edge in (-1, 0, 0.5, 2):
+        assert abs((z <= edge).mean() - (1 + math.erf(edge / 2**0.5)) / 2) < 0.03 + 0.5 / spread
+
+
+def test_draws_at_the_ends():
+    rng = np.random.default_rng(1)
+    for good, bad, n, want in ((0, 5, 3, 0), (5, 0, 3, 3), (10**12, 10**12, 0, 0), (10**12, 7, 10**12 + 7, 10**12)):
+        assert M.hypergeometric(rng, good, bad, n) == want
+    counts = np.array([10**12, 0, 3, 10**9, 10**15])
+    out = M.split(rng, counts, 10**14)
+    assert out.sum() == 10**14 and (out <= counts).all() and out[1] == 0
+
+
 def test_targets():
     for sizes in ({"a": 10, "b": 0, "c": 1000, None: 3}, {"a": 0}, {"a": 5}, {f"s{i}": i * i for i in range(40)},
                   {"é": 7, "z": 1, "a": 90, "": 4}):
