@@ -8,7 +8,8 @@ transitions (mean log-probability under the corpus's own letter pairs),
 dictionary coverage (share of four-letter pieces found in frequent corpus
 words), the path (hashed ``source``), and the neighbouring words (hashed).  The
 forest is trained from labelled findings, any table of (findings, label); where
-there is none, ``weak_labels`` labels findings by strict provider formats.
+there is none, ``weak_label`` labels those of which simple rules are sure (others
+train nothing), and findings of many forms are made up beside them.
 
 Corpus statistics count all texts: letter pairs in a fixed table, and words of a
 share of at least ``FREQUENT`` of all words, of which there can be 1/FREQUENT at
@@ -16,15 +17,17 @@ most.  Defined cases: null and empty texts have no candidates; a null source is
 its own path; null and repeated ids give findings of their own; a long
 string in an assigned value counts once, with that value, but a quoted value with
 white space is a candidate beside those in it, and one over several lines also
-beside its unquoted start; without findings, or labels of
-both kinds, every score is the share of positive labels (0.5 without any);
+beside its unquoted start; where a table of labelled findings lacks one of the
+kinds, every score is the share of positive labels (0.5 without any);
 other columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
+import random
 import re
+import string
 import zlib
 from collections.abc import Iterator
 
@@ -32,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .scratch import stored
@@ -42,7 +45,8 @@ U = np.uint64
 FREQUENT = 2e-5               # share of all words: at most 50,000 words can reach it
 HELD_WORDS = 200_000          # distinct words a task holds before it passes their counts on
 MAX_TRAINING = 50_000         # bound of the labelled findings used for training, chosen by hash
-TREES, DEPTH, SEED = 30, 8, 17
+TREES, DEPTH, SEED = 60, 12, 17
+EXAMPLES = 6_000              # made-up findings
 CUT = 0.5
 NAME_BUCKETS, PATH_BUCKETS = 32, 16
 
@@ -58,6 +62,8 @@ SHORTEST, SHORTEST_LONG = 6, 16
 STRICT = re.compile(r"(?:A(?:KIA|SIA)[A-Z2-7]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}"
                     r"|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|eyJ[\w-]+\.eyJ[\w-]+\.[\w-]+)\Z")
 HEX = re.compile(r"[0-9A-Fa-f]{16,}\Z")
+#: Forms by which findings are labelled negative.
+HARMLESS = re.compile(r"(?:[^\W\d_]+|[0-9]+)(?:[\s_/.:+-]+(?:[^\W\d_]+|[0-9]+))*[\s_/.:+-]*\Z|[/.~][\w./+-]*\Z|[<$%{*].*\Z", re.DOTALL)
 
 FINDINGS = ("doc_id long, start long, end long, rule string, value string, length int, digits double, capitals double, "
             "marks double, transitions double, coverage double, path int, before int, after int, weak_label int")
@@ -149,10 +155,17 @@ def bucket(word: str, n: int) -> int:
     return zlib.crc32(word.lower().encode()) % n
 
 
-def weak_label(name: str | None, value: str) -> int:
-    """1 for a provider's format or an assigned hexadecimal string, also as one
-    of the words of a quoted value."""
-    return int(any(STRICT.match(v) or (name and HEX.match(v)) for v in value.split()))
+def weak_label(name: str | None, value: str) -> int | None:
+    """A label where rules are sure of one.  1: a provider's format or an
+    assigned hexadecimal string, also as one of the words of a quoted value.
+    0: words, identifiers, paths and versions (pieces of letters or of digits), a
+    bare hexadecimal string (a hash of something), a placeholder, a repeated
+    character.  Else None: a finding that trains nothing."""
+    if any(STRICT.match(v) or (name and HEX.match(v)) for v in value.split()):
+        return 1
+    if HARMLESS.match(value) or len(set(value)) < 3 or (not name and HEX.match(value)):
+        return 0
+    return None
 
 
 def assigned(text: str) -> Iterator[tuple[int, int, str, bool]]:
@@ -225,16 +238,73 @@ def candidates(docs: DataFrame, statistics: tuple[np.ndarray, set[bytes]]) -> Da
                        F.col("source").cast("string")).mapInArrow(run, FINDINGS)
 
 
-def train(labelled: DataFrame, max_rows: int = MAX_TRAINING):
-    """A forest from findings with ``label``; None if they lack a kind, with the
-    share of positives."""
+def example_texts(n: int = EXAMPLES, seed: int = SEED) -> list[tuple[int, str, str, int]]:
+    """(doc_id, text, value, label): made-up findings of many forms, so that the
+    forest knows more of them than a corpus happens to hold.  Secrets are
+    assigned; harmless values are assigned or stand alone."""
+    rng = random.Random(seed)
+    lower, digit, marks = string.ascii_lowercase, string.digits, "!@#$%^&*?-_+."
+    parts = ["con", "ther", "ing", "ment", "ra", "lo", "ster", "pre", "ble", "an", "horse", "key", "light", "wa", "ter", "su", "di", "ex"]
+
+    def some(letters, low, high):
+        return "".join(rng.choices(letters, k=rng.randint(low, high)))
+
+    def word(k=3):
+        return "".join(rng.choices(parts, k=rng.randint(1, k)))
+
+    def mixed(letters, low, high):
+        return some(letters, low, high) + rng.choice(digit) + rng.choice(lower) + rng.choice(digit + string.ascii_uppercase)
+
+    def leet():
+        return (word().capitalize() + word()).translate(str.maketrans("aeo", "430")) + rng.choice(marks) + some(digit + lower, 1, 3)
+
+    def joined(sep):
+        return sep.join(word() for _ in range(rng.randint(2, 4)))
+
+    secrets = [lambda: some("0123456789abcdef", 16, 64), lambda: some("0123456789ABCDEF", 16, 40),
+               lambda: mixed(string.ascii_letters + digit, 9, 40), lambda: mixed(string.ascii_letters + digit + "-_", 14, 40),
+               lambda: mixed(string.ascii_letters + digit + marks, 6, 16), leet,
+               lambda: word() + word() + some(digit, 2, 4), lambda: word().capitalize() + rng.choice(marks) + some(digit, 2, 5),
+               lambda: "AKIA" + some(string.ascii_uppercase + "234567", 16, 16), lambda: "ghp_" + some(string.ascii_letters + digit, 36, 36)]
+    harmless = [lambda: word(4) + "ed", lambda: joined("_"), lambda: joined("-"), lambda: joined("."), lambda: "/" + joined("/"),
+                lambda: joined("/") + ".txt", lambda: f"{word()}{rng.randint(1, 9)}.{word()}.com", lambda: joined("_").upper(),
+                lambda: ".".join(some(digit, 1, 3) for _ in range(4)), lambda: f"20{some(digit, 2, 2)}-0{rng.randint(1, 9)}-1{rng.randint(0, 9)}",
+                lambda: f"<{joined('-')}>", lambda: "${" + joined("_") + "}", lambda: "your-" + joined("-"), lambda: "xxxxxxxx" + "x" * rng.randint(0, 9),
+                lambda: joined("_") + "()", lambda: "".join(word().capitalize() for _ in range(4))]
+    bare = [*harmless, lambda: some("0123456789abcdef", 32, 64), lambda: f"{joined('_')}_{some(digit, 1, 3)}",
+            lambda: "-".join(some("0123456789abcdef", k, k) for k in (8, 4, 4, 4, 12))]
+    names = ["password", "pwd", "secret", "token", "api_key", "access_key", "client_secret", "db_password", "auth", "passphrase"]
+    out = []
+    for i in range(n):
+        label, alone = i % 2, i % 4 == 2
+        value = rng.choice(secrets if label else bare if alone else harmless)()
+        quote, sep = rng.choice(["", "", '"', "'"]), rng.choice([" = ", "=", ": ", ":"])
+        before, after = (" ".join(word() for _ in range(rng.randint(0, 5))) for _ in range(2))
+        name = "" if alone else rng.choice(names) + sep
+        out.append((i, f"{before} {name}{quote}{value}{quote} {after}", value, label))
+    return out
+
+
+def example_findings(spark: SparkSession, statistics: tuple[np.ndarray, set[bytes]]) -> DataFrame:
+    """The made-up findings with ``label``, their features by the corpus's statistics."""
+    made = spark.createDataFrame(example_texts(), "doc_id long, text string, made string, label int")
+    found = candidates(made.withColumn("source", F.lit(None).cast("string")), statistics)
+    return found.join(made.select("doc_id", F.col("made").alias("value"), "label"), ["doc_id", "value"])
+
+
+def train(labelled: DataFrame, max_rows: int = MAX_TRAINING, made: DataFrame | None = None):
+    """A forest from findings with ``label``, at most about ``max_rows`` of them,
+    and all of ``made``; None if they lack a kind, with the share of positives."""
     known = labelled.where("label IS NOT NULL").withColumn("label", F.col("label").cast("double"))
-    counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    share = min(1.0, max_rows / max(1, known.count()))
+    rows = known.where(F.pmod(F.xxhash64("doc_id", "start", "value"), F.lit(1 << 20)) < int(share * (1 << 20))).select("label", *FEATURES)
+    if made is not None:
+        rows = rows.unionByName(made.withColumn("label", F.col("label").cast("double")).select("label", *FEATURES))
+    rows = stored(rows, "training")
+    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n = sum(counts.values())
     if len(counts) < 2:
         return None, counts.get(1.0, 0) / n if n else 0.5
-    share = min(1.0, max_rows / n)
-    rows = known.where(F.pmod(F.xxhash64("doc_id", "start", "value"), F.lit(1 << 20)) < int(share * (1 << 20)))
     # both kinds weigh the same
     rows = rows.withColumn("weight", F.when(F.col("label") == 1, n / (2 * counts[1.0])).otherwise(n / (2 * counts[0.0])))
     data = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows)
@@ -260,9 +330,11 @@ def in_training(doc_id: str = "doc_id") -> Column:
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     """All candidates of all documents, scored.  ``labelled`` are findings with
-    ``label``; without them the weak labels of three quarters of the documents."""
+    ``label``; without them the weak labels of three quarters of the documents
+    and the made-up findings, each half of the weight of its kind."""
     statistics = bounded_statistics(corpus_statistics(docs))
     found = stored(candidates(docs, statistics), "findings")
+    made = None
     if labelled is None:
-        labelled = found.where(in_training()).withColumn("label", F.col("weak_label"))
-    return judge(found, *train(labelled))
+        labelled, made = found.where(in_training()).withColumn("label", F.col("weak_label")), example_findings(docs.sparkSession, statistics)
+    return judge(found, *train(labelled, made=made))
