@@ -2,25 +2,30 @@
 training words, searched with the windows of the benchmark items.
 
 ``build_index`` stores, per shard of consecutive documents, the postings of
-every word: its positions, in order.  ``search`` takes each benchmark window,
-orders its words by list length, starts from the rarest list and intersects the
-others with it, adjusted by offset: exactly (phrase), or within ``SLOP`` words of
-the rarest for the five rarest (proximity).  For proximity the rarest are those
-of the whole corpus among the words that it has at all, so it does not depend on
-shards; a window with fewer than five of those (or than its words) has none.
-Both steps are narrow: postings lie with their shard, and no list is longer than
-a shard; only counts of the benchmark's words are added up over all shards.
+every word: its positions, in order.  The benchmark is stored too, as blocks of
+hashed words.  ``search`` meets every shard with every block (a stated query set
+against all rows, in blocks: neither is broadcast or held by the driver), takes
+each window, orders its words by list length, starts from the rarest and
+intersects the others with it, adjusted by offset.
+
+A phrase match has all words at their places.  A proximity match is a place for
+the window such that all its words but ``MISSING`` of 13 (in proportion for
+shorter windows, rounded down) stand within ``SLOP`` words of where they belong.
+One of the ``MISSING + 1`` rarest is always among those, so their lists give all
+candidates; all other words are then compared.  Which lists are rarest in a
+shard only orders the work: the matches are the same for any shards and blocks.
 
 Words are compared by 64-bit hashes.  A window is ``window`` consecutive words
 of an item; an item of fewer, but not none, is one window.  Defined cases: null
 and empty texts have no words; a null item id is listed as ''; equal item ids
-count once; repeated documents are independent rows; other columns are ignored;
-an empty benchmark gives zeros and an empty table no rows.
+count once; repeated documents are independent rows; other columns are ignored,
+whatever their names; an empty benchmark gives zeros and an empty table no rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -28,25 +33,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import stored
+from .scratch import stored, unused
 from .words import packed, row_chunks, text_buffer, word_hashes
 
 U = np.uint64
 WINDOW = 13
-SLOP = 3                      # words by which a proximity match may be displaced
-RAREST = 5                    # words of a window that a proximity match needs
+SLOP = 3                      # words by which a word of a proximity match may be displaced
+MISSING = 2                   # words of a whole window that a proximity match may lack
 SHARD_BYTES = 2 << 20         # text of a shard (a longer document is a shard of its own)
 GAP = 64                      # empty positions between documents: no match crosses them
-BLOCK_BYTES = 4 << 20         # benchmark text searched at once; more goes in further blocks
-CANDIDATES = 1 << 20          # candidate places intersected at once (all are, in turn)
+BLOCK_BYTES = 1 << 20         # benchmark text of a block (a longer item is a block of its own)
+CANDIDATES = 1 << 18          # candidate places intersected at once (all are, in turn)
 
-INDEX = ("doc_ids array<long>, text_keys array<long>, doc_words binary, terms binary, lengths binary, postings binary")
-HITS = ("doc_id long, text_key long, n_words long, n_hit long, items array<string>, near_items array<string>")
+INDEX = ("doc_ids array<long>, text_keys array<long>, word_counts array<long>, terms binary, lengths binary, postings binary")
+BLOCKS = "items array<string>, item_words binary, words binary"
+HITS = ("shard long, at int, spans array<struct<first:int,after:int>>, items array<string>, near_items array<string>")
 
 
 def build_index(docs: DataFrame) -> DataFrame:
     """One row per shard: ids and word counts of its documents, the hashes of
-    its words in order, the length of each list, and the lists themselves."""
+    its words in order, the length of each list, and the lists themselves.  It is
+    to be stored before it is searched, as ``shard`` numbers its rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -59,18 +66,18 @@ def build_index(docs: DataFrame) -> DataFrame:
                 begin = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1]))) if words.size else order
                 lengths = np.diff(np.append(begin, words.size))
                 yield pa.RecordBatch.from_arrays([
-                    *(pa.array([part.column(c).to_pylist()], pa.list_(pa.int64())) for c in ("doc_id", "key")),
-                    *(packed(v, [v.size]) for v in (n.astype(np.int32), ranked[begin], lengths.astype(np.int32),
-                                                    place[order].astype(np.int32))),
+                    *(pa.array([v], pa.list_(pa.int64())) for v in (part.column("doc_id").to_pylist(),
+                                                                    part.column("key").to_pylist(), n)),
+                    *(packed(v, [v.size]) for v in (ranked[begin], lengths.astype(np.int32), place[order].astype(np.int32))),
                 ], names=[c.split()[0] for c in INDEX.split(", ")])
 
     return (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64("text").alias("key"))
-            .mapInArrow(run, INDEX))
+            .mapInArrow(run, INDEX).withColumn("shard", F.monotonically_increasing_id()))
 
 
 class Windows(NamedTuple):
     """Distinct windows of a block of items: word hashes (rows padded with 0),
-    lengths, and (window, item) pairs."""
+    lengths, and (window, item) pairs in order."""
 
     words: np.ndarray
     length: np.ndarray
@@ -79,79 +86,45 @@ class Windows(NamedTuple):
     items: list[str]
 
 
-def windows_of(rows: list[tuple], window: int) -> Windows:
-    words, first = word_hashes(*text_buffer(pa.array([t for _, t in rows], pa.large_string())))
-    found: dict[bytes, int] = {}
-    table, length, pairs = [], [], set()
-    for r in range(len(rows)):
-        w = words[first[r]:first[r + 1]]
-        for s in range(max(1, w.size - window + 1) if w.size else 0):
-            part = w[s:s + window]
-            at = found.setdefault(part.tobytes(), len(found))
-            if at == len(table):
-                table.append(np.pad(part, (0, window - part.size)))
-                length.append(part.size)
-            pairs.add((at, r))
-    pairs = sorted(pairs)
-    return Windows(np.array(table, U).reshape(-1, window), np.array(length, int), np.array([w for w, _ in pairs], int),
-                   np.array([r for _, r in pairs], int), ["" if i is None else str(i) for i, _ in rows])
-
-
-def benchmark_blocks(benchmark: DataFrame, window: int) -> list:
-    """The benchmark as broadcasts of at most ``BLOCK_BYTES`` of text each; a
-    larger one passes through the driver block by block."""
-    sc = benchmark.sparkSession.sparkContext
-    blocks, rows, held = [], [], 0
-    for item, text in benchmark.select(F.col("item_id").cast("string"), "text").toLocalIterator():
-        if rows and held + len(text or "") > BLOCK_BYTES:
-            blocks.append(sc.broadcast(tuple(windows_of(rows, window))))
-            rows, held = [], 0
-        rows.append((item, text))
-        held += len(text or "")
-    if rows:
-        blocks.append(sc.broadcast(tuple(windows_of(rows, window))))
-    return blocks
-
-
-def corpus_counts(index: DataFrame, blocks: list) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes in order, occurrences in the whole corpus) of the benchmark's
-    words that the corpus has: no more than the benchmark has words."""
+def benchmark_blocks(benchmark: DataFrame) -> DataFrame:
+    """One row per block of items: their ids, numbers of words and word hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked = np.unique(np.concatenate([np.unique(b.value[0]) for b in blocks])) if blocks else np.empty(0, U)
         for batch in batches:
-            for terms, lengths in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                terms, on = np.frombuffer(terms, U), np.frombuffer(lengths, np.int32).astype(np.int64)
-                some = np.isin(terms, asked, assume_unique=True)
-                yield pa.RecordBatch.from_arrays([pa.array(terms[some].view(np.int64)), pa.array(on[some])],
-                                                 names=["term", "n"])
-
-    got = (index.select("terms", "lengths").mapInArrow(run, "term long, n long")
-           .groupBy("term").agg(F.sum("n").alias("n")).toArrow())
-    terms, n = got["term"].to_numpy().view(U), got["n"].to_numpy()
-    order = np.argsort(terms)
-    return terms[order], n[order]
-
-
-def needed_words(w: Windows, counts: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """Places in each window of the words that a proximity match needs, the
-    rarest first; -1 if the corpus has too few of its words."""
-    terms, n = counts
-    k = min(RAREST, w.words.shape[1])
-    if not terms.size:
-        return np.full((w.length.size, k), -1)
-    at = np.minimum(np.searchsorted(terms, w.words), terms.size - 1)
-    known = (terms[at] == w.words) & (np.arange(w.words.shape[1]) < w.length[:, None])
-    order = np.argsort(np.where(known, n[at], np.iinfo(np.int64).max), axis=1, kind="stable")[:, :k]
-    return np.where((known.sum(axis=1) >= np.minimum(k, w.length))[:, None], order, -1)
+            for part in row_chunks(batch, "text", BLOCK_BYTES):
+                words, first = word_hashes(*text_buffer(part.column("text")))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([part.column("item").to_pylist()], pa.list_(pa.string())),
+                    *(packed(v, [v.size]) for v in (np.diff(first).astype(np.int32), words)),
+                ], names=[c.split()[0] for c in BLOCKS.split(", ")])
+
+    return (benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
+                             F.col("text").cast("string").alias("text")).mapInArrow(run, BLOCKS))
+
+
+def windows_of(items: list[str], item_words: bytes, words: bytes, window: int) -> Windows:
+    n, words = np.frombuffer(item_words, np.int32).astype(np.int64), np.frombuffer(words, U)
+    first = np.cumsum(n) - n
+    count = np.where(n > 0, np.maximum(1, n - window + 1), 0)
+    item = np.repeat(np.arange(n.size), count)
+    place = np.arange(item.size) - np.repeat(np.cumsum(count) - count, count) + first[item]
+    length = np.minimum(n[item], window)
+    each = np.arange(window)
+    inside = each < length[:, None]
+    table = np.zeros((item.size, window + 1), U)
+    table[:, :window][inside] = words[(place[:, None] + each)[inside]]
+    table[:, window] = length
+    rows = np.ascontiguousarray(table).view(np.dtype((np.void, table.itemsize * (window + 1)))).reshape(-1)
+    _, one, of = np.unique(rows, return_index=True, return_inverse=True)
+    pairs = np.unique(np.stack([of.reshape(-1), item], axis=1), axis=0)
+    return Windows(table[one, :window], length[one], pairs[:, 0], pairs[:, 1], items)
 
 
 class Shard:
     """Postings of one index row as sorted (term, place) keys."""
 
     def __init__(self, row: dict):
-        self.docs, self.text_keys = row["doc_ids"], row["text_keys"]
-        self.n = np.frombuffer(row["doc_words"], np.int32).astype(np.int64)
+        self.n = np.array(row["word_counts"], np.int64)
         self.start = np.cumsum(self.n) - self.n + np.arange(self.n.size) * GAP
         self.terms = np.frombuffer(row["terms"], U)
         self.lengths = np.frombuffer(row["lengths"], np.int32).astype(np.int64)
@@ -201,66 +174,111 @@ class Shard:
                 win, place = win[ok], place[ok]
             yield win, place
 
-    def proximities(self, w: Windows, needed: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(window, place of its rarest word) of all proximity matches, phrase
-        matches among them; ``needed`` as of ``needed_words``."""
+    def proximities(self, w: Windows) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(window, place of one of its words) of all proximity matches, phrase
+        matches among them."""
         if not self.terms.size or not w.length.size:
             return
         term, known = self.lookup(w)
-        least = np.minimum(needed.shape[1], w.length)
-        has = np.take_along_axis(known, np.maximum(needed, 0), 1) | (np.arange(needed.shape[1]) >= least[:, None])
-        live = np.flatnonzero((needed[:, 0] >= 0) & has.all(axis=1))
-        off = needed[live, 0]
-        for win, place in self.places_of(live, off, term[live, off]):
-            for k in range(1, needed.shape[1]):
-                o = needed[win, k]
-                ok = (k >= w.length[win]) | self.near(term[win, o], place + o, SLOP)
-                win, place = win[ok], place[ok]
-            yield win, place + needed[win, 0]
+        size = w.words.shape[1]
+        inside = np.arange(size) < w.length[:, None]
+        spare = w.length * MISSING // size
+        freq = np.where(inside, np.where(known, self.lengths[term], 0), np.iinfo(np.int64).max)
+        order = np.argsort(freq, axis=1, kind="stable")
+        live = (inside & ~known).sum(axis=1) <= spare
 
-    def rows(self, blocks: Iterator[tuple[Windows, np.ndarray]]) -> list[tuple]:
-        """A row of ``HITS`` for each document."""
+        def enough(win: np.ndarray, start: np.ndarray, slop: int, *also: np.ndarray) -> tuple[np.ndarray, ...]:
+            """Those of which no more than the spare words are missing, the rarest looked up first."""
+            lacks = np.zeros(win.size, np.int64)
+            for k in range(size):
+                o = order[win, k]
+                there = known[win, o] & self.near(term[win, o], start + o, slop)
+                lacks += (k < w.length[win]) & ~there
+                ok = lacks <= spare[win]
+                win, start, lacks, *also = (x[ok] for x in (win, start, lacks, *also))
+            return win, start, *also
+
+        shifts = np.arange(-SLOP, SLOP + 1)
+        for k in range(int(spare.max()) + 1):
+            off = order[:, k]
+            pick = np.flatnonzero(live & (k <= spare) & (k < w.length) & known[np.arange(off.size), off])
+            for win, start in self.places_of(pick, off[pick], term[pick, off[pick]]):
+                # two words of a match are displaced by twice the slop at most, seen from one another
+                win, start = enough(win, start, 2 * SLOP)
+                seen = np.repeat(start + off[win], shifts.size)
+                win, start = np.repeat(win, shifts.size), (start[:, None] + shifts).reshape(-1)
+                win, _, seen = enough(win, start, SLOP, seen)
+                yield win, seen
+
+    def rows(self, shard: int, w: Windows) -> Iterator[tuple]:
+        """A row of ``HITS`` for each document with matches."""
         cover = np.zeros(self.span + 1, np.int32)
-        found = [set() for _ in self.docs]
-        close = [set() for _ in self.docs]
-        for w, needed in blocks:
-            first = np.searchsorted(w.of_window, np.arange(w.length.size + 1))
-
-            def note(seen, win, place):
-                doc = np.searchsorted(self.start, place, "right") - 1
-                for key in np.unique(doc * w.length.size + win).tolist():
-                    d, at = divmod(key, w.length.size)
-                    seen[d].update(w.items[i] for i in w.of_item[first[at]:first[at + 1]].tolist())
-
-            for win, place in self.phrases(w):
-                np.add.at(cover, place, 1)
-                np.add.at(cover, place + w.length[win], -1)
-                note(found, win, place)
-            for win, place in self.proximities(w, needed):
-                note(close, win, place)
-        hit = np.concatenate(([0], np.cumsum(np.cumsum(cover) > 0)))
-        n_hit = hit[self.start + self.n] - hit[self.start]
-        return [(d, k, n, h, sorted(a), sorted(b - a)) for d, k, n, h, a, b in
-                zip(self.docs, self.text_keys, self.n.tolist(), n_hit.tolist(), found, close)]
+        found, close = {}, {}
+        first = np.searchsorted(w.of_window, np.arange(w.length.size + 1))
+
+        def note(seen: dict, win: np.ndarray, place: np.ndarray) -> None:
+            doc = np.searchsorted(self.start, place, "right") - 1
+            for key in np.unique(doc * w.length.size + win).tolist():
+                d, at = divmod(key, w.length.size)
+                seen.setdefault(d, set()).update(w.items[i] for i in w.of_item[first[at]:first[at + 1]].tolist())
+
+        for win, place in self.phrases(w):
+            np.add.at(cover, place, 1)
+            np.add.at(cover, place + w.length[win], -1)
+            note(found, win, place)
+        for win, place in self.proximities(w):
+            note(close, win, place)
+        hit = np.concatenate(([False], np.cumsum(cover) > 0, [False]))
+        begin, end = np.flatnonzero(hit[1:] & ~hit[:-1]), np.flatnonzero(~hit[1:] & hit[:-1])
+        for d in sorted(found.keys() | close.keys()):
+            own = slice(*np.searchsorted(begin, [self.start[d], self.start[d] + self.n[d]]))
+            yield (shard, d, [{"first": a, "after": b} for a, b in zip((begin[own] - self.start[d]).tolist(), (end[own] - self.start[d]).tolist())],
+                   sorted(found.get(d, ())), sorted(close.get(d, ())))
+
+
+#: Words of a document inside any of its spans, which may overlap.
+COVERED = """aggregate(array_sort(flatten(collect_list(spans))), struct(0L AS n, 0 AS till),
+    (s, x) -> struct(s.n + greatest(0, x.after - greatest(x.first, s.till)) AS n, greatest(s.till, x.after) AS till), s -> s.n)"""
 
 
 def search(index: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """One row per document: words, words inside phrase matches, the items with
-    phrase matches, and those with proximity matches only."""
-    blocks = benchmark_blocks(benchmark, window)
-    counts = benchmark.sparkSession.sparkContext.broadcast(corpus_counts(index, blocks))
+    """One row per document of the stored ``index``: words, words inside phrase
+    matches, the items with phrase matches, and those with proximity matches only."""
+    if window + 2 * SLOP > GAP:
+        raise ValueError(f"a window has at most {GAP - 2 * SLOP} words")
+    blocks = stored(benchmark_blocks(benchmark).withColumn("block", F.monotonically_increasing_id()), "benchmark")
+    arrow = pa.schema([("shard", pa.int64()), ("at", pa.int32()),
+                       ("spans", pa.list_(pa.struct([("first", pa.int32()), ("after", pa.int32())]))),
+                       ("items", pa.list_(pa.string())), ("near_items", pa.list_(pa.string()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        needed = [needed_words(Windows(*b.value), counts.value) for b in blocks]
+        held = None
+
+        @lru_cache(4)
+        def opened(_, items: tuple, item_words: bytes, words: bytes) -> Windows:
+            return windows_of(list(items), item_words, words, window)
+
         for batch in batches:
             for i in range(batch.num_rows):
-                shard = Shard({k: v[0] for k, v in batch.slice(i, 1).to_pydict().items()})
-                rows = shard.rows((Windows(*b.value), k) for b, k in zip(blocks, needed))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64()] * 4 + [pa.list_(pa.string())] * 2)],
-                    names=[c.split()[0] for c in HITS.split(", ")])
-
-    return index.mapInArrow(run, HITS)
+                row = {k: v[0] for k, v in batch.slice(i, 1).to_pydict().items()}
+                if held is None or held[0] != row["shard"]:
+                    held = row["shard"], Shard(row)
+                got = list(held[1].rows(row["shard"], opened(row["block"], tuple(row["items"]), row["item_words"], row["words"])))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*got), arrow)] if got else
+                                                 [pa.array([], t.type) for t in arrow], schema=arrow)
+
+    pairs = index.select("shard", "word_counts", "terms", "lengths", "postings").crossJoin(blocks.hint("shuffle_replicate_nl"))
+    hits = (pairs.mapInArrow(run, HITS).groupBy("shard", "at")
+            .agg(F.expr(COVERED).alias("n_hit"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
+                 F.array_distinct(F.flatten(F.collect_list("near_items"))).alias("near_items")))
+    none = F.array().cast("array<string>")
+    docs = (index.select("shard", F.posexplode(F.arrays_zip("doc_ids", "text_keys", "word_counts")).alias("at", "doc"))
+            .select("shard", "at", F.col("doc.doc_ids").alias("doc_id"), F.col("doc.text_keys").alias("text_key"),
+                    F.col("doc.word_counts").alias("n_words")))
+    return (docs.join(hits, ["shard", "at"], "left")
+            .select("doc_id", "text_key", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+                    F.array_sort(F.coalesce("items", none)).alias("items"),
+                    F.array_sort(F.array_except(F.coalesce("near_items", none), F.coalesce("items", none))).alias("near_items")))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -272,11 +290,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` that are not contaminated."""
-    bad = (contamination(docs, benchmark, window).where("contaminated")
-           .select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__bad")).distinct())
-    return (docs.withColumn("__key", F.xxhash64("text"))
-            .join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__bad")),
-                  "left_anti").drop("__key"))
+    i, bad, key = unused(docs, "__id", "__bad", "__key")
+    found = (contamination(docs, benchmark, window).where("contaminated")
+             .select(F.col("doc_id").alias(i), F.col("text_key").alias(bad)).distinct())
+    return (docs.withColumn(key, F.xxhash64("text"))
+            .join(found, F.col("doc_id").cast("long").eqNullSafe(F.col(i)) & (F.col(key) == F.col(bad)), "left_anti").drop(key))
 
 
 def items_digest(items: str = "items"):

@@ -69,7 +69,7 @@ def test_proximity(spark):
     item = " ".join(f"p{i}" for i in range(13))
     moved = item.replace("p6", "between p6")      # one word more: no phrase, but near
     got = check(spark, [item, moved, item.replace("p6", "other"), "p0 p1"], [(5, item)])
-    assert [r["near_items"] for r in got] == [[], ["5"], [], []]
+    assert [r["near_items"] for r in got] == [[], ["5"], ["5"], []]
 
 
 def test_proximity_does_not_depend_on_shards(spark):
@@ -90,7 +90,7 @@ def test_proximity_does_not_depend_on_shards(spark):
     for parts in (1, 3, 6):
         for order in (list(range(6)), list(range(6))[::-1]):
             assert near(order, parts) == [(w, 0) for w in want]
-    # a word that the corpus has nowhere is not one that a match needs
+    # a word that the corpus has nowhere is a missing one like any other
     gone = frame(spark, [other, "p0 p1"])
     assert [r["near_items"] for r in sorted(rows(D.contamination(gone, bench)), key=lambda r: r["doc_id"])] == [["5"], []]
 
@@ -119,3 +119,75 @@ def test_near_items_are_a_result(spark, documents):
 
     got = rows(QUERIES["op4_proximity"](spark, "/root/testdata/sf0.01"))
     assert len(got) == documents.count() and all(r["n_near_items"] == len(r["near_items"]) for r in got)
+
+
+def near_brute(text, query):
+    """Whether a place exists at which enough words stand close to where they belong."""
+    w, q = words(text), words(query)
+    for s in range(max(1, len(q) - 12) if q else 0):
+        win = q[s:s + 13]
+        least = len(win) - len(win) * 2 // 13
+        for p in range(-16, len(w) + 4):
+            if sum(v in w[max(0, p + j - 3):max(0, p + j + 4)] for j, v in enumerate(win)) >= least:
+                return True
+    return False
+
+
+def exact_brute_ids(text, items):
+    return {i for i, t in items if str(i) in brute([text], [(i, t)])[0][2]}
+
+
+def test_proximity_against_brute_force(spark, monkeypatch):
+    rng = random.Random(8)
+    pool = [f"v{i}" for i in range(30)]
+    items = [(i, " ".join(rng.choices(pool, k=rng.choice([2, 6, 7, 13, 14, 20])))) for i in range(12)]
+    docs = [""]
+    for i, t in items * 4:
+        q = t.split()
+        for _ in range(rng.randint(0, 4)):               # replace, remove, insert, swap
+            at = rng.randrange(len(q))
+            kind = rng.randrange(4)
+            q[at:at + 2 - (kind < 3)] = ([rng.choice(pool)], q[at:at + 1][:len(q) < 2], [rng.choice(pool), q[at]], q[at:at + 2][::-1])[kind]
+        docs.append(" ".join(rng.choices(pool, k=rng.randint(0, 20)) + q + rng.choices(pool, k=rng.randint(0, 9))))
+    docs += [" ".join(rng.choices(pool, k=200)) for _ in range(5)]
+    want = [sorted(str(i) for i, t in items if near_brute(d, t) and i not in exact_brute_ids(d, items)) for d in docs]
+    assert sum(map(bool, want)) > 10 and not all(want)
+    bench = spark.createDataFrame([(i, t, 0) for i, t in items], ITEMS)
+
+    def near(parts):
+        got = rows(D.contamination(frame(spark, docs).repartition(parts), bench))
+        return [r["near_items"] for r in sorted(got, key=lambda r: r["doc_id"])]
+
+    assert near(1) == want
+    monkeypatch.setattr(D, "CANDIDATES", 7)
+    monkeypatch.setattr(D, "BLOCK_BYTES", 60)
+    monkeypatch.setattr(D, "SHARD_BYTES", 300)
+    assert near(4) == want
+
+
+def test_all_words_are_compared(spark):
+    """Shared rare words are not enough, and any two words may be missing."""
+    item = " ".join(f"p{i}" for i in range(13))
+    p = item.split()
+    rare = " ".join(p[:5] + ["totally", "different", "words", "go", "on", "here", "and", "there"])
+    two = [" ".join("new" if j in (a, b) else v for j, v in enumerate(p)) for a, b in ((0, 1), (0, 12), (5, 7), (11, 12))]
+    three = " ".join("new" if j in (1, 5, 9) else v for j, v in enumerate(p))
+    docs = [rare, three, *two, " ".join(f"p{i} filler" for i in range(5, 13)) * 9]
+    bench = spark.createDataFrame([(5, item, 0)], ITEMS)
+    got = sorted(rows(D.contamination(frame(spark, docs), bench)), key=lambda r: r["doc_id"])
+    assert [r["near_items"] for r in got] == [[], []] + [["5"]] * 4 + [[]]
+
+
+def test_benchmark_stays_in_tasks(spark, odd):
+    """The plan of the search neither broadcasts nor collects the benchmark."""
+    bench = spark.createDataFrame([(1, "same text here for all of us", 0)], ITEMS)
+    plan = D.contamination(odd, bench)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "BroadcastNestedLoop" not in plan
+
+
+def test_clashing_names(spark):
+    docs = frame(spark, ["same text here for all of us", "another text"])
+    for c in ("__id", "__bad", "__key", "shard", "AT", "items"):
+        docs = docs.withColumn(c, docs["node"] + 41)
+    kept = D.clean_documents(docs, spark.createDataFrame([(1, "same text here for all of us", 0)], ITEMS))
+    assert kept.columns == docs.columns and rows(kept) == rows(docs.where("doc_id = 1"))
