@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import stored
+from .scratch import stored, unused
 from .words import distinct_shingles, mix, packed, row_chunks, shingles, text_buffer, word_hashes
 
 U = np.uint64
@@ -89,9 +89,14 @@ def fixed_binary(keys: np.ndarray) -> pa.Array:
     return packed(flat, np.arange(1, keys.shape[0] + 1) * keys.shape[1])
 
 
+def keyed_texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                       F.xxhash64(F.col("text").cast("string")).alias("text_key"))
+
+
 def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, k: int = SHINGLE) -> DataFrame:
-    """(doc_id, node, n_words, bands): node identifies the word sequence; texts
-    without words have no node."""
+    """(doc_id, text_key, node, n_words, bands): node identifies the word
+    sequence; texts without words have no node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -103,15 +108,14 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, k: int = S
                 some = n > 0
                 ends = np.concatenate(([0], np.cumsum(some * bands)))
                 yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id"),
+                    part.column("doc_id"), part.column("text_key"),
                     pc.if_else(pa.array(some), fixed_binary(text_keys(words, first)),
                                        pa.scalar(None, pa.binary())),
                     pa.array(n, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(found[some].reshape(-1)))],
-                    names=["doc_id", "node", "n_words", "bands"])
+                    names=["doc_id", "text_key", "node", "n_words", "bands"])
 
-    return (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-            .mapInArrow(run, "doc_id long, node binary, n_words long, bands array<long>"))
+    return keyed_texts(docs).mapInArrow(run, "doc_id long, text_key long, node binary, n_words long, bands array<long>")
 
 
 def probability_jaccard(x: tuple, y: tuple) -> float:
@@ -134,10 +138,10 @@ def probability_jaccard(x: tuple, y: tuple) -> float:
 
 
 def shingle_sets(docs: DataFrame, nodes: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """(node, elements, weights) of the given (doc_id, node) pairs, from the
-    whole text of one document of each node."""
-    asked = nodes.select(F.col("doc_id").alias("asked_id"), F.col("node").alias("asked"))
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    """(node, elements, weights) of the given (doc_id, text_key, node) rows, from
+    the whole text of one document of each node.  Texts meet them by id and text
+    hash, so an id that many texts share pairs each text with its own node."""
+    asked = nodes.select(F.col("doc_id").alias("asked_id"), F.col("text_key").alias("asked_key"), F.col("node").alias("asked"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -151,8 +155,9 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame, k: int = SHINGLE) -> DataFra
                      pc.equal(own, part.column("asked"))],
                     names=["node", "elements", "weights", "same"])
 
-    # an id may belong to several texts: only the asked one is kept, once
-    return (read.join(asked, F.col("doc_id").eqNullSafe(F.col("asked_id"))).select("text", "asked")
+    # equal hashes of different texts, and repeated rows: only the asked text is kept, once
+    return (keyed_texts(docs).join(asked, F.col("doc_id").eqNullSafe(F.col("asked_id")) & (F.col("text_key") == F.col("asked_key")))
+            .select("text", "asked")
             .mapInArrow(run, "node binary, elements binary, weights binary, same boolean")
             .where("same").drop("same").dropDuplicates(["node"]))
 
@@ -275,7 +280,7 @@ def similar_nodes(docs: DataFrame, nodes: DataFrame, threshold: float = THRESHOL
             .agg(F.max(F.struct("n", "node")).alias("hub")).select("bucket", F.col("hub.node").alias("hub")))
     met = stored(shared.drop("n").join(hubs.hint("merge"), "bucket").select("hub", "node").distinct(), "met")
     # every node of a shared bucket met a hub, or is one
-    asked = nodes.select("doc_id", "node").join(met.select("node").distinct().hint("merge"), "node", "left_semi")
+    asked = nodes.select("doc_id", "text_key", "node").join(met.select("node").distinct().hint("merge"), "node", "left_semi")
     sets = stored(shingle_sets(docs, asked), "shingles")
     pairs = met.where("hub <> node").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
     links = stored(verify(pairs, sets).where(F.col("similarity") >= threshold), "links")
@@ -289,15 +294,16 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     stand for its class."""
     found = stored(signatures(docs, bands, rows), "signatures")
     nodes = stored(found.where("node IS NOT NULL").groupBy("node")
-                   .agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n_copies"), F.first("bands").alias("bands")),
-                   "nodes")
+                   .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("least"),
+                        F.count("*").alias("n_copies"), F.first("bands").alias("bands"))
+                   .select("node", "least.doc_id", "least.text_key", "n_copies", "bands"), "nodes")
     member = connect(nodes, similar_nodes(docs, nodes, threshold))
     # (id, node) that stands for a class: the least id, then the least node
     heads = (member.join(nodes.select("node", "doc_id").hint("merge"), "node").groupBy("class")
              .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "node")).alias("head")))
     about = (member.join(heads.hint("merge"), "class").join(nodes.select("node", "n_copies").hint("merge"), "node")
              .select("node", F.col("head.doc_id").alias("class_id"), F.col("head.node").alias("head_node"), "n_copies"))
-    return (found.drop("bands").join(about.hint("merge"), "node", "left")
+    return (found.drop("bands", "text_key").join(about.hint("merge"), "node", "left")
             .select("doc_id", F.expr("CASE WHEN node IS NULL THEN doc_id ELSE class_id END").alias("class_id"),
                     F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"), "n_words",
                     F.expr("node IS NULL OR (doc_id <=> class_id AND node = head_node)").alias("is_head"), "node"))
@@ -306,7 +312,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
 def keep_one(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """The documents without near-duplicates, and one of each class: the whole
     rows of ``docs``, matched by id and word sequence."""
-    heads = (classes.where("is_head").select(F.col("doc_id").alias("__id"), F.col("node").alias("__head")).distinct())
+    node, i, head = unused(docs, "__node", "__id", "__head")
+    heads = classes.where("is_head").select(F.col("doc_id").alias(i), F.col("node").alias(head)).distinct()
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -315,10 +322,10 @@ def keep_one(docs: DataFrame, classes: DataFrame) -> DataFrame:
                 words, first = word_hashes(*text_buffer(part.column("text")))
                 own = pc.if_else(pa.array(np.diff(first) > 0), fixed_binary(text_keys(words, first)),
                                  pa.scalar(None, pa.binary()))
-                yield pa.RecordBatch.from_arrays([*part.columns, own], names=[*part.schema.names, "__node"])
+                yield pa.RecordBatch.from_arrays([*part.columns, own], names=[*part.schema.names, node])
 
-    keyed = docs.mapInArrow(run, type(schema)([*schema.fields]).add("__node", "binary"))
-    kept = keyed.join(heads, keyed["doc_id"].cast("long").eqNullSafe(heads["__id"])
-                      & keyed["__node"].eqNullSafe(heads["__head"]), "left_semi")
-    wordless = kept.where("__node IS NULL")
-    return kept.where("__node IS NOT NULL").dropDuplicates(["doc_id", "__node"]).union(wordless).drop("__node")
+    keyed = docs.mapInArrow(run, type(schema)([*schema.fields]).add(node, "binary"))
+    kept = keyed.join(heads, keyed["doc_id"].cast("long").eqNullSafe(heads[i])
+                      & keyed[node].eqNullSafe(heads[head]), "left_semi")
+    wordless = kept.where(F.col(node).isNull())
+    return kept.where(F.col(node).isNotNull()).dropDuplicates(["doc_id", node]).union(wordless).drop(node)

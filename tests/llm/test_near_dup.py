@@ -170,6 +170,21 @@ def test_odd_rows(spark, odd):
     assert len(rows(N.keep_one(twice, N.near_duplicates(twice)))) == 2
 
 
+def test_a_hot_null_id(spark):
+    """Many texts under a null id: each is read once, not paired with all others."""
+    rng = random.Random(5)
+    base = [[f"w{rng.randrange(500)}" for _ in range(30)] for _ in range(120)]
+    texts = [" ".join(b) for b in base] + [" ".join(b + ["more"]) for b in base]
+    ids = [None if i % 2 else i for i in range(len(texts))]
+    docs = frame(spark, texts, ids)
+    got = rows(N.near_duplicates(docs))
+    least = {c: min((ids[j] for j, d in enumerate(classes(texts)) if d == c and ids[j] is not None), default=None) for c in classes(texts)}
+    assert sorted(str(r["class_id"]) for r in got) == sorted(str(least[c]) for c in classes(texts))
+    nodes = N.signatures(docs).where("node IS NOT NULL")
+    plan = N.shingle_sets(docs, nodes)._jdf.queryExecution().optimizedPlan().toString()
+    assert "text_key" in next(line for line in plan.split("\n") if "Join Inner" in line)
+
+
 @needs_data
 def test_whole_table(spark, documents):
     data = sorted(rows(documents), key=lambda r: r["doc_id"])
