@@ -9,7 +9,7 @@ another text holds it is unknown (None) where that one retains lower hashes only
 shingle count and the retained hashes (40 bits each, ascending, base64).
 
 ``with_next`` pairs each document with the next by id: rows are dealt into
-ranges of ids, each range also gets the first document of the one after it, and
+ranges of ids (an id of several ranges' rows is cut by text hash), each range also gets the first document of the one after it, and
 a range is read in order.  The whole text is shuffled once.
 
 Defined cases: null and empty texts have no shingles and an empty sketch, and no
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -155,7 +156,9 @@ def merged_sketches(prints: DataFrame, by: str, scale: int = SCALE) -> DataFrame
 
 def with_next(docs: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """(bucket, donor, doc_id, text) sorted within partitions so that each
-    document is followed by the next one; ``donor`` rows only follow."""
+    document is followed by the next one; ``donor`` rows only follow.  A cut that
+    repeats is an id of more rows than a range: as many ranges share its rows by
+    text hash.  (Equal rows, of one id and text, stay in one range and stream.)"""
     spark = docs.sparkSession
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
@@ -164,19 +167,29 @@ def with_next(docs: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFram
     ids = keyed.select("at")
     ranges = max(1, min(RANGES, -(-ids.count() // rows_per_range)))
     at = [i / ranges for i in range(1, ranges)]
-    cuts = sorted(set(ids.approxQuantile("at", at, 0.2 / ranges))) if at else [0.0]
+    found = Counter(ids.approxQuantile("at", at, 0.2 / ranges) if at else [0.0])
+    cuts = sorted(found)
     dealt = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="at",
-                       outputCol="bucket").transform(keyed).withColumn("tie", F.xxhash64("text"))
+                       outputCol="range").transform(keyed).withColumn("tie", F.xxhash64("text"))
+    repeated = [c for c in cuts if found[c] > 1]
+    least = dict(keyed.where(F.col("at").isin(repeated)).groupBy("at").agg(F.min("id")).collect()) if repeated else {}
+    hot = [(float(n + 1), least[c], found[c]) for n, c in enumerate(cuts) if c in least]
+    split = F.broadcast(spark.createDataFrame(hot, "range double, hot long, parts long"))      # fewer than the ranges
+    dealt = (dealt.join(split, "range", "left")
+             .withColumn("part", F.expr("CASE WHEN parts IS NULL THEN 0 WHEN id = hot "
+                                        "THEN shiftright((shiftright(tie, 40) + 8388608) * parts, 24) ELSE parts - 1 END"))
+             .withColumn("bucket", F.col("range").cast("long") * RANGES + F.col("part")))
     firsts = sorted((r["bucket"], tuple(r["head"])) for r in dealt.groupBy("bucket").agg(
         F.min(F.struct("id", "tie")).alias("head")).collect())
     heads = [(*head, firsts[i - 1][0]) for i, (_, head) in enumerate(firsts)]
-    table = F.broadcast(spark.createDataFrame(heads, "id long, tie long, before double"))   # one row per range
+    table = F.broadcast(spark.createDataFrame(heads, "id long, tie long, before long"))   # one row per range
     rows = (dealt.join(table, ["id", "tie"], "left")
             .withColumn("to", F.explode(F.expr("CASE WHEN before IS NULL THEN array(struct(bucket AS b, false AS donor)) "
                                                "ELSE array(struct(bucket AS b, false AS donor), "
                                                "struct(before AS b, true AS donor)) END")))
-            .select(F.col("to.b").cast("long").alias("bucket"), "to.donor", "id", "tie", "doc_id", "text"))
-    return (rows.repartitionById(len(cuts) + 1, F.col("bucket").cast("int")).sortWithinPartitions("bucket", "donor", "id", "tie", "text")
+            .select(F.col("to.b").alias("bucket"), "to.donor", "id", "tie", "doc_id", "text"))
+    place = F.expr(f"CAST((bucket DIV {RANGES} + bucket % {RANGES}) % {ranges + 1} AS INT)")
+    return (rows.repartitionById(ranges + 1, place).sortWithinPartitions("bucket", "donor", "id", "tie", "text")
             .select("bucket", "donor", "doc_id", "text"))
 
 

@@ -2,9 +2,11 @@ from __future__ import annotations
 
 import hashlib
 import random
+from collections import Counter
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from shelfrisk.llm import fingerprint as P
 
@@ -89,6 +91,24 @@ def test_neighbours_over_ranges(spark, monkeypatch):
         check(docs, rows(P.compare_with_next(docs)))
 
 
+def test_hot_ids_are_cut(spark, monkeypatch):
+    """A third of the rows under a null id, a fifth under another: no range grows with them."""
+    n = 1500
+    texts = [" ".join(f"w{(i * 13 + j * j) % 97}x{i}" for j in range(6)) for i in range(n)]
+    ids = [None if i % 3 == 0 else 700 if i % 5 == 1 else i for i in range(n)]
+    docs = frame(spark, texts, ids)
+    got = [r for r in rows(P.with_next(docs, 50)) if not r["donor"]]
+    sizes = Counter(r["bucket"] for r in got)
+    assert len(got) == n and max(sizes.values()) < 200 and len(sizes) > 15
+    monkeypatch.setattr(P.with_next, "__defaults__", (50,))
+    ordered = docs.selectExpr("doc_id", "text", "xxhash64(text) AS tie").orderBy(F.col("doc_id").asc_nulls_first(), "tie").collect()
+    want = []
+    for a, b in zip(ordered, ordered[1:] + ordered[:1]):
+        half = len(a.text) // 2
+        want.append((str(a.doc_id), hashlib.sha256((a.text[:len(a.text) - half] + b.text[:half]).encode()).hexdigest()))
+    assert sorted((str(r["doc_id"]), r["edited_sha256"]) for r in rows(P.compare_with_next(docs))) == sorted(want)
+
+
 def test_odd_rows(spark, odd):
     got = rows(P.compare_with_next(odd))
     check(odd, got, distinct=False)
