@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scratch import stored
+from .scratch import stored, unused
 from .words import SPACE_BYTE, mix, row_chunks, run_counts, text_buffer
 
 BLOCK = 128
@@ -284,19 +284,20 @@ def runs_taken(blocks: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
 def mixed_documents(docs: DataFrame, block: int = BLOCK, weights=WEIGHTS, most: int = MOST) -> DataFrame:
     """The mix as documents: the rows of ``docs`` cut to the words that the mix
     takes, one row per contiguous piece and copy; ``n_chars`` is the piece's."""
+    tie, i, source, key, size_of, blocks_of = unused(docs, "__t", "__id", "__source", "__tie", "__size", "__blocks")
     _, used = taken_pieces(docs, block, weights, most)
     cuts = (used.groupBy("doc_id", "source", "tie", "size", "begin")
-            .agg(F.collect_list(F.struct("first", "words", "times")).alias("__blocks"))
-            .select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("tie").alias("__tie"),
-                    F.col("size").alias("__size"), "__blocks"))
+            .agg(F.collect_list(F.struct("first", "words", "times")).alias(blocks_of))
+            .select(F.col("doc_id").alias(i), F.col("source").alias(source), F.col("tie").alias(key),
+                    F.col("size").alias(size_of), blocks_of))
     names, schema = docs.columns, docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         word = re.compile(r"[^ \t-\r]+")
         for batch in batches:
             keep, texts = [], []
-            for i, (text, size, blocks) in enumerate(zip(batch.column("text"), batch.column("__size").to_pylist(),
-                                                         batch.column("__blocks").to_pylist())):
+            for row, (text, size, blocks) in enumerate(zip(batch.column("text"), batch.column(size_of).to_pylist(),
+                                                         batch.column(blocks_of).to_pylist())):
                 text = text.as_py()
                 at = None
                 for first, n in runs_taken([(b["first"], b["words"], b["times"]) for b in blocks]):
@@ -305,12 +306,12 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, weights=WEIGHTS, most:
                     else:
                         at = at or [m.span() for m in word.finditer(text)]
                         texts.append(text[at[first][0]:at[first + n - 1][1]])
-                    keep.append(i)
+                    keep.append(row)
             got = batch.select(names).take(pa.array(keep, pa.int64()))
             new = {"text": pa.array(texts, pa.string()), "n_chars": pa.array(map(len, texts), pa.int64())}
             yield pa.RecordBatch.from_arrays([new[n].cast(got.column(n).type) if n in new else got.column(n) for n in names], names=names)
 
-    once = (docs.withColumn("__t", F.xxhash64("text")).dropDuplicates(["doc_id", "source", "__t"]))
-    return (once.join(cuts.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
-                      & F.col("source").eqNullSafe(F.col("__source")) & (F.col("__t") == F.col("__tie")))
-            .select(*names, "__size", "__blocks").mapInArrow(run, schema))
+    once = docs.withColumn(tie, F.xxhash64("text")).dropDuplicates(["doc_id", "source", tie])
+    return (once.join(cuts.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col(i))
+                      & F.col("source").eqNullSafe(F.col(source)) & (F.col(tie) == F.col(key)))
+            .select(*names, size_of, blocks_of).mapInArrow(run, schema))

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import unused
 from .words import LOWER_BYTE, SPACE_BYTE, WORD_BYTE, hash_spans, mix, row_chunks, runs, text_buffer
 
 U = np.uint64
@@ -138,18 +139,20 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, epochs:
     return w
 
 
-def score(docs: DataFrame, weights: np.ndarray, keep: tuple[str, ...], text_col: str = "text") -> DataFrame:
-    """The columns ``keep`` and ``__score``, the probability of label 1."""
+def score(docs: DataFrame, weights: np.ndarray, keep: tuple[str, ...], text_col: str = "text",
+          into: str = "__score") -> DataFrame:
+    """The columns ``keep`` and ``into``, the probability of label 1."""
     bits = (weights.size - 1).bit_length() - 1
     shared = docs.sparkSession.sparkContext.broadcast(weights)   # fixed size
-    chosen = docs.select(*keep, F.col(text_col).cast("string").alias("__text"))
-    schema = type(chosen.schema)(chosen.schema.fields[:-1]).add("__score", "double")
+    held = unused(docs, "__text")[0]
+    chosen = docs.select(*keep, F.col(text_col).cast("string").alias(held))
+    schema = type(chosen.schema)(chosen.schema.fields[:-1]).add(into, "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shared.value
         for batch in batches:
-            for part in row_chunks(batch, "__text"):
-                data, offsets = text_buffer(part.column("__text"))
+            for part in row_chunks(batch, held):
+                data, offsets = text_buffer(part.column(held))
                 r, i, x = features(data, offsets, bits)
                 dot = np.bincount(r, w[i] * x, part.num_rows) + w[-1]
                 yield pa.RecordBatch.from_arrays(

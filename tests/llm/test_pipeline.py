@@ -7,6 +7,7 @@ import subprocess
 import sys
 
 import pytest
+from pyspark.sql import functions as F
 
 from .conftest import SF, frame, needs_data, rows
 
@@ -52,6 +53,22 @@ def test_a_contaminated_document_goes_and_clean_ones_stay(spark):
     assert kept == {1, 2}
 
 
+@needs_data
+def test_every_stage_takes_clashing_names(spark, documents):
+    """Columns named like those that the stages add are kept with their values."""
+    import corpus_pipeline as C
+
+    docs = documents
+    for n, c in enumerate(("__node", "__id", "__head", "__key", "__bad", "__t", "__tie", "__source", "__size", "__blocks", "__text",
+                           "__score", "__SCORE_", "shard", "bucket", "node")):
+        docs = docs.withColumn(c, F.col("doc_id") + n)
+    for name, stage in C.STAGES[:-1]:
+        plain, out = stage(spark, documents, SF), stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        assert out.where("__node <> doc_id OR __t <> doc_id + 5 OR __score <> doc_id + 11 OR bucket <> doc_id + 14").count() == 0
+        assert sorted(map(str, rows(out.select(plain.columns)))) == sorted(map(str, rows(plain))), name
+
+
 @needs_data
 @pytest.mark.parametrize("name", ["op1_chat_format", "op4_decontamination"])
 def test_oracle(spark, name):
@@ -66,4 +83,4 @@ def test_entry_names_and_repository_rules():
             "print(json.dumps([n for n in q if n == 'pipeline' or n.startswith('op')]))")
     out = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, check=True).stdout
     names = json.loads(out.strip().splitlines()[-1])
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names if n != "pipeline"} == set(range(1, 11)) and "pipeline" in names
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names if n != "pipeline"} == set(range(1, 14)) and "pipeline" in names
