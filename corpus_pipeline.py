@@ -13,14 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfrisk.llm import decontaminate, mixing, near_dup, packing, quality
-from shelfrisk.llm.scratch import stored, table
+from shelfrisk.llm.scratch import stored, table, unused
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts."""
     weights = quality.train(docs, table(spark, sf_dir, "labels"))
-    scored = quality.score(docs, weights, tuple(docs.columns), "text")
-    return scored.where(F.col("__score") >= quality.ACCEPT).drop("__score")
+    name = unused(docs, "__score")[0]
+    scored = quality.score(docs, weights, tuple(docs.columns), "text", name)
+    return scored.where(F.col(name) >= quality.ACCEPT).drop(name)
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
