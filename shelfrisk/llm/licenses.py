@@ -1,7 +1,7 @@
 """License scans (operator 9), with DataFrame functions only.
 
-Ordered signature rules: each is a regular expression behind a keyword that its
-text must hold.  All rules run on the whole text of a document that has their
+Ordered signature rules (`signatures`): each is a regular expression written by
+hand behind a keyword that its text must hold.  All rules run on the whole text of a document that has their
 keyword; matches are intervals of characters.  A match inside another is
 dropped (of equal intervals the rule of higher priority stays), and of two that
 overlap otherwise the one of higher priority stays.  Beside the rules, the base
@@ -14,11 +14,15 @@ their own; other columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .signatures import SIGNATURES
+
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"    # letters of either case count as their small ones
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 BEFORE, AFTER = rf"(?<!{WORD})", rf"(?!{WORD})"
@@ -26,73 +30,15 @@ BEFORE, AFTER = rf"(?<!{WORD})", rf"(?!{WORD})"
 #: Base phrases and their labels.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-#: Rule families as (label, priority, confidence, keyword, names,
-#: versions, phrasings).  Names and phrasings are regular expressions over
-#: lower-case ASCII; {n} stands for the name, {v} for the version.
-VERSION_TAIL = r"(?:,?\s*(?:version|v\.?)?\s*{v}(?:\.0)?(?:\s+or\s+(?:any\s+)?later(?:\s+version)?)?)"
-NOTICE = (r"licensed\s+under\s+(?:the\s+)?(?:terms\s+of\s+(?:the\s+)?)?{n}",
-          r"released\s+under\s+(?:the\s+)?{n}",
-          r"distributed\s+under\s+(?:the\s+)?(?:terms\s+of\s+(?:the\s+)?)?{n}",
-          r"(?:available|provided|published)\s+under\s+(?:the\s+)?{n}",
-          r"subject\s+to\s+(?:the\s+)?(?:terms\s+of\s+(?:the\s+)?)?{n}",
-          r"{n}")
-FAMILIES = (
-    ("gpl", "general public", r"(?:gnu\s+)?general\s+public\s+licen[sc]e", ("1", "2", "3")),
-    ("lgpl", "general public", r"(?:gnu\s+)?(?:lesser|library)\s+general\s+public\s+licen[sc]e", ("2", r"2\.1", "3")),
-    ("agpl", "affero", r"(?:gnu\s+)?affero\s+general\s+public\s+licen[sc]e", ("1", "3")),
-    ("fdl", "free documentation", r"(?:gnu\s+)?free\s+documentation\s+licen[sc]e", (r"1\.1", r"1\.2", r"1\.3")),
-    ("apache", "apache", r"apache(?:\s+software)?(?:\s+foundation)?\s+licen[sc]e", (r"1\.0", r"1\.1", "2")),
-    ("mpl", "mozilla", r"mozilla\s+public\s+licen[sc]e", (r"1\.0", r"1\.1", "2")),
-    ("epl", "eclipse", r"eclipse\s+public\s+licen[sc]e", ("1", "2")),
-    ("cddl", "common development", r"common\s+development\s+and\s+distribution\s+licen[sc]e", (r"1\.0", r"1\.1")),
-    ("eupl", "european union", r"european\s+union\s+public\s+licen[sc]e", (r"1\.1", r"1\.2")),
-    ("artistic", "artistic", r"artistic\s+licen[sc]e", ("1", "2")),
-    ("boost", "boost", r"boost\s+software\s+licen[sc]e", ("1",)),
-    ("osl", "open software", r"open\s+software\s+licen[sc]e", ("1", "2", "3")),
-    ("ofl", "open font", r"(?:sil\s+)?open\s+font\s+licen[sc]e", (r"1\.0", r"1\.1")),
-    ("cecill", "cecill", r"cecill(?:\s+free\s+software)?\s+licen[sc]e", ("1", "2", r"2\.1")),
-    ("mspl", "microsoft", r"microsoft\s+(?:public|reciprocal)\s+licen[sc]e", ("1",)),
-    ("mit", "mit", r"mit(?:\s+style)?\s+licen[sc]e", ()),
-    ("x11", "x11", r"x11\s+licen[sc]e", ()),
-    ("isc", "isc", r"isc\s+licen[sc]e", ()),
-    ("zlib", "zlib", r"zlib(?:/libpng)?\s+licen[sc]e", ()),
-    ("bsd", "bsd", r"(?:(?:2|3|4|two|three|four)[\s-]clause\s+)?bsd(?:\s+style)?\s+licen[sc]e", ()),
-    ("unlicense", "unlicense", r"(?:the\s+)?unlicense", ()),
-    ("wtfpl", "wtfpl", r"wtfpl", ()),
-    ("python", "python", r"python(?:\s+software\s+foundation)?\s+licen[sc]e", ()),
-    ("php", "php", r"php\s+licen[sc]e", (r"3\.0", r"3\.01")),
-    ("cc", "creative commons", r"creative\s+commons\s+(?:attribution|zero)(?:[\s-]+(?:share\s?alike|non\s?commercial|"
-           r"no\s?derivatives))*(?:\s+licen[sc]e)?", ("1", "2", r"2\.5", "3", "4")),
-)
-#: Fixed values: (label, keyword, expression, confidence) of rules that no family makes.
-SINGLE = (
-    ("cc-by-nc-nd", "cc by", r"cc[\s-]by[\s-]nc[\s-]nd(?:[\s-]\d(?:\.\d)?)?", 0.95),
-    ("cc-by-nc-sa", "cc by", r"cc[\s-]by[\s-]nc[\s-]sa(?:[\s-]\d(?:\.\d)?)?", 0.95),
-    ("cc-by-nc", "cc by", r"cc[\s-]by[\s-]nc(?:[\s-]\d(?:\.\d)?)?", 0.95),
-    ("cc-by-sa", "cc by", r"cc[\s-]by[\s-]sa(?:[\s-]\d(?:\.\d)?)?", 0.95),
-    ("cc-by-nd", "cc by", r"cc[\s-]by[\s-]nd(?:[\s-]\d(?:\.\d)?)?", 0.95),
-    ("cc-by", "cc by", r"cc[\s-]by(?:[\s-]\d(?:\.\d)?)?", 0.9),
-    ("cc0", "cc0", r"cc0(?:[\s-]1\.0)?(?:\s+universal)?", 0.9),
-    ("spdx", "spdx", r"spdx-license-identifier:\s*[a-z0-9.+-]+", 1.0),
-    ("public-domain", "public domain", r"(?:placed\s+in(?:to)?|dedicated\s+to|released\s+(?:in)?to)\s+the\s+public\s+domain", 0.9),
-    ("mit", "permission is hereby", r"permission\s+is\s+hereby\s+granted,?\s+free\s+of\s+charge", 0.9),
-    ("isc", "permission to use", r"permission\s+to\s+use,\s+copy,\s+modify,?\s+and(?:/or)?\s+distribute", 0.85),
-    ("bsd", "redistribution and use", r"redistribution\s+and\s+use\s+in\s+source\s+and\s+binary\s+forms", 0.9),
-    ("warranty", "provided", r"provided\s+[\"']?as\s+is[\"']?", 0.4),
-    ("warranty", "distributed", r"distributed\s+[\"']?as\s+is[\"']?", 0.4),
-    ("warranty", "without warrant", r"without\s+warrant(?:y|ies)(?:\s+of\s+any\s+kind)?", 0.4),
-    ("copyright", "copyright", r"copyright\s+(?:\(c\)\s*)?(?:19|20)\d\d(?:\s*-\s*(?:19|20)\d\d)?", 0.5),
-    ("copyright", "(c)", r"\(c\)\s*(?:19|20)\d\d", 0.4),
-    ("reserved", "all rights reserved", r"all\s+rights\s+reserved", 0.7),
-    ("proprietary", "proprietary", r"(?:confidential\s+and\s+proprietary|proprietary\s+and\s+confidential)", 0.9),
-    ("license-text", "licen", r"(?:this\s+work|this\s+file|this\s+software|this\s+program)\s+is\s+licen[sc]ed", 0.3),
-    ("commercial", "commercial use", r"(?:no|not\s+for|non)[\s-]commercial\s+use", 0.6),
-)
-
+#: A blank of an expression, the marks that a keyword's single blank stands for, and what <3> stands for.
+BLANK = r"[\s*#/]+"
+MARKS = r"[\s*#/-]+"
+VERSION = r"(?: as published by the free software foundation)?(?:[,;:] ?| )?(?:either )?(?:version|v\.?)? ?{v}(?:\.0)?(?:(?: of the license)?,? or (?:any |\(at your option\) any )?later(?: version)?)?"
 
 #: A text without any of these strings matches no rule and no base phrase.
-HINTS = ("licen", "wtfpl", "creative", "cc", "spdx", "domain", "permission", "redistribution", "provided", "distributed",
-         "warrant", "copyright", "(c)", "reserved", "proprietary", "commercial")
+HINTS = ("licen", "gpl", "wtfpl", "creative", "cc", "spdx", "domain", "permission", "redistribution", "provided", "distributed",
+         "warrant", "copyright", "(c)", "reserved", "proprietary", "commercial", "advertising", "royalty",
+         "prohibited", ".org")
 
 
 @dataclass(frozen=True)
@@ -103,22 +49,18 @@ class Rule:
     confidence: float
 
 
+def expression(signature: str) -> str:
+    """The regular expression of a signature, between ends of words and numbers."""
+    body = re.sub("<([^<>]+)>", lambda m: VERSION.replace("{v}", m[1]), signature)
+    body = body.replace("[ -]?", f"(?:{MARKS})?").replace("[ -]+", MARKS).replace("[ -]", MARKS)
+    body = body.replace(" ?", f"(?:{BLANK})?").replace(" ", BLANK)
+    return rf"(?<![a-z0-9])(?:{body})(?![a-z0-9]|\.[0-9])"
+
+
+@lru_cache(maxsize=1)
 def rules() -> list[Rule]:
-    """All rules in order of priority: notices that name a version, then those
-    without, from the longest phrasing to the bare name, then the single ones."""
-    out = []
-    for versions in (True, False):
-        for place, phrase in enumerate(NOTICE):
-            for label, keyword, name, known in FAMILIES:
-                body = phrase.replace("{n}", name)
-                weight = 1.0 - 0.05 * place - (0.0 if versions else 0.1)
-                if versions:
-                    out += [Rule(f"{label}-{v.replace(chr(92), '')}", keyword, body + VERSION_TAIL.replace("{v}", v), weight)
-                            for v in known]
-                else:
-                    out.append(Rule(label, keyword, body, weight))
-    out += [Rule(label, keyword, pattern, c) for label, keyword, pattern, c in SINGLE]
-    return [Rule(r.label, r.keyword, rf"(?<![a-z0-9])(?:{r.pattern})(?![a-z0-9])", round(r.confidence, 2)) for r in out]
+    """All rules in order of priority."""
+    return [Rule(label, keyword, expression(signature), confidence) for label, confidence, keyword, signature in SIGNATURES]
 
 
 def n_words(text: Column) -> Column:
@@ -150,7 +92,7 @@ def matching_rules(low: Column) -> Column:
     for i, r in enumerate(rules()):
         by_keyword.setdefault(r.keyword, []).append(F.struct(F.lit(i).alias("rule"), F.lit(r.pattern).alias("pattern")))
     table = F.array(*(F.struct(F.lit(k).alias("keyword"), F.array(*v).alias("rules")) for k, v in by_keyword.items()))
-    words = F.regexp_replace(low, r"[\s-]+", " ")        # keywords are written with single blanks
+    words = F.regexp_replace(low, MARKS, " ")        # keywords are written with single blanks
     asked = F.flatten(F.transform(F.filter(table, lambda k: F.contains(words, k["keyword"])), lambda k: k["rules"]))
     return F.filter(asked, lambda r: F.regexp_like(low, r["pattern"]))
 

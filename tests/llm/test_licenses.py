@@ -24,7 +24,7 @@ def base(text):
 def kept(text):
     """All rules on all of the text, then the suppression, in plain Python."""
     low = text.lower()
-    blanks = re.sub(r"[\s-]+", " ", low, flags=re.ASCII)
+    blanks = re.sub(L.MARKS, " ", low, flags=re.ASCII)
     found = sorted((m.start(), -m.end(), i) for i, r in enumerate(L.rules()) if r.keyword in blanks
                    for m in re.finditer(r.pattern, low, re.ASCII))
     out = []
@@ -62,10 +62,7 @@ TEXTS = [
 
 def test_rules_are_many_and_ordered():
     table = L.rules()
-    assert len(table) >= 300 and len({r.pattern for r in table}) == len(table)
-    # a text that any rule or base phrase can match holds a hint
-    for r in table:
-        assert any(h in r.keyword or h in r.pattern for h in L.HINTS), r
+    assert len(table) >= 250 and len({r.pattern for r in table}) == len(table)
 
 
 def test_against_plain_python(spark):
@@ -96,6 +93,8 @@ def sample(tree, rng):
             kind, x = rng.choice(arg)
             out += ({C.CATEGORY_SPACE: " \n\t", C.CATEGORY_DIGIT: "0479"}[x][rng.randrange(3)] if kind is C.CATEGORY
                     else chr(rng.randint(*x) if kind is C.RANGE else x))
+        elif op is C.NOT_LITERAL:
+            out += "x" if arg != ord("x") else "y"
         elif op is C.BRANCH:
             out += sample(rng.choice(arg[1]), rng)
         elif op is C.MAX_REPEAT:
@@ -117,7 +116,7 @@ def test_no_keyword_hides_a_rule():
     """What a rule matches holds its keyword and a hint, whichever alternative."""
     for r, text in samples(40):
         assert re.fullmatch(r.pattern, text, re.ASCII), (r, text)
-        assert r.keyword in re.sub(r"[\s-]+", " ", text, flags=re.ASCII) and any(h in text for h in L.HINTS), (r, text)
+        assert r.keyword in re.sub(L.MARKS, " ", text, flags=re.ASCII) and any(h in text for h in L.HINTS), (r, text)
 
 
 def test_gated_scan_against_all_rules(spark):
@@ -128,6 +127,69 @@ def test_gated_scan_against_all_rules(spark):
     assert [m["label"] for m in got[-1]["matches"]] == ["lgpl-2"]
 
 
+#: Lines as they stand in files, and the labels that a scan gives.
+REAL = [
+    ("// SPDX-License-Identifier: Apache-2.0 WITH LLVM-exception", "apache-2-llvm"), ("/* SPDX-License-Identifier: GPL-2.0-or-later */", "gpl-2"),
+    ("# SPDX-License-Identifier: LicenseRef-Acme-1", "spdx"), ("SPDX-License-Identifier: BSD-3-Clause", "bsd-3"),
+    (" * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as"
+     " published by\n * the Free Software Foundation, either version 3 of the License, or\n * (at your option) any later version.", "gpl-3"),
+    ("# This library is free software; you can redistribute it and/or\n# modify it under the terms of the GNU Lesser General Public\n"
+     "# License as published by the Free Software Foundation; either\n# version 2.1 of the License, or (at your option) any later version.", "lgpl-2.1"),
+    ("it under the terms of the GNU Affero General Public License, version 3", "agpl-3"), ("released under GPLv2 or later", "gpl-2"),
+    ("You should have received a copy of the GNU General Public License along with this", "gpl"), ("LGPL-2.1+", "lgpl-2.1"),
+    ("Everyone is permitted to copy and distribute verbatim copies\n of this license document, but changing it is not allowed.", "gnu"),
+    ("Licensed under the Apache License, Version 2.0 (the \"License\");", "apache-2"),
+    ("you may not use this file except in compliance with the License.", "apache-2"), ("Apache Software License 1.1", "apache-1.1"),
+    ("//\n// Unless required by applicable law or agreed to in writing, software\n// distributed under the License is", "apache-2"),
+    ("http://www.apache.org/licenses/LICENSE-2.0", "apache-2"), ("https://opensource.org/licenses/MIT", "mit"),
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated files", "mit"),
+    ("Permission is hereby granted, free of charge, to any person or organization\nobtaining a copy of the software", "boost-1"),
+    ("The above copyright notice and this permission notice shall be included in all copies", "mit"),
+    ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted", "isc"),
+    ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that", "bsd"),
+    ("   * Redistributions in binary form must reproduce the above copyright notice, this list", "bsd"),
+    ("Neither the name of the University nor the names of its contributors may be used to endorse or promote products derived from"
+     " this software without specific prior written permission.", "bsd-3"),
+    ("All advertising materials mentioning features or use of this software must display the following acknowledgement: This product"
+     " includes software distributed", "bsd-4"), ("the three-clause BSD license", "bsd-3"), ("new BSD License", "bsd-3"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0.", "mpl-2"), ("https://mozilla.org/MPL/2.0/", "mpl-2"),
+    ("This program and the accompanying materials are made available under the terms of the Eclipse Public License", "epl"),
+    ("Eclipse Public License - v 2.0", "epl"), ("Eclipse Public License v2.0", "epl-2"),
+    ("Permission is granted to anyone to use this software for any purpose,\nincluding commercial applications", "zlib"),
+    ("This is free and unencumbered software released into the public domain.", "unlicense"), ("https://unlicense.org", "unlicense"),
+    ("has dedicated the work to the public domain by waiving all of his or her rights", "cc0"), ("Do What The Fuck You Want To Public License", "wtfpl"),
+    ("CC BY-NC-SA 4.0", "cc-by,cc-by-nc-sa"), ("https://creativecommons.org/licenses/by-sa/4.0/", "cc-by-sa"),
+    ("Creative Commons Attribution-ShareAlike 3.0", "cc-by-sa"), ("Creative Commons Attribution-NonCommercial-NoDerivs", "cc-by-nc-nd"),
+    ("Server Side Public License", "sspl"), ("Business Source License 1.1", "business-source"), ("Some rights reserved", "reserved"),
+    ("Unauthorized copying of this file, via any medium, is strictly prohibited", "proprietary"), ("Copyright (C) 2019-2024 Someone", "copyright"),
+    ("Proprietary and confidential", "proprietary"), ("(c) 2020", "copyright"), ("see LICENSE for details", "license-text"),
+]
+
+#: Near misses: texts with a hint and no label.
+NEAR = [
+    "a driving licence and a fishing license", "the general public was not amused, license or not", "apache helicopters need a licence",
+    "permission was hereby refused", "she granted permission to use the car", "redistribution of wealth", "mitigating license fees",
+    "gplay", "egpl v2x", "according to ccby", "copyright law of 1790", "(c) the third answer", "the domain is public", "unreserved seats",
+    "eclipse of the sun, public holiday, licence", "the warranty card", "commercial television", "cc0x and cc byte", "python licensed handler",
+    "mozilla foundation public statement on licences", "provided as if by magic", "distributed as islands", "www.example.org", "opensource.org/blog",
+    "without warranting it", "all right, reserved", "the boost gauge is licensed", "bsd license2", "mit licensee", "spdx-license: mit",
+]
+
+
+def test_lines_of_real_files(spark):
+    got = sorted(rows(L.scan(frame(spark, [t for t, _ in REAL]))), key=lambda r: r["doc_id"])
+    for (text, labels), g in zip(REAL, got):
+        assert set(g["labels"].split(",")) - set(g["base_labels"].split(",")) == set(labels.split(",")) - set(
+            g["base_labels"].split(",")), (text, g["labels"])
+
+
+def test_near_misses(spark):
+    got = sorted(rows(L.scan(frame(spark, NEAR))), key=lambda r: r["doc_id"])
+    for text, g in zip(NEAR, got):
+        assert g["labels"] == "" and g["score"] == 0, (text, g["labels"])
+        assert any(h in text for h in L.HINTS), text
+
+
 def test_containment_and_priority(spark):
     one, two = sorted(rows(L.scan(frame(spark, [TEXTS[0], TEXTS[1]]))), key=lambda r: r["doc_id"])
     assert "gpl-3" in one["labels"].split(",") and "gpl" in one["labels"].split(",")
