@@ -539,6 +539,11 @@ FINAL: dict[str, str] = {
     "train_forest_support": "SELECT CAST(stockout_risk AS VARCHAR) AS class_label, COUNT(*) AS support "
                             "FROM split_rows WHERE is_test GROUP BY 1 UNION ALL "
                             "SELECT 'matrix', COUNT(*) FROM split_rows WHERE is_test",
+    "training_log": "SELECT CAST(stockout_risk AS VARCHAR) || ':support' AS metric, CAST(COUNT(*) AS DOUBLE) AS \"value\" "
+                    "FROM split_rows WHERE is_test GROUP BY stockout_risk UNION ALL SELECT m, CASE WHEN z THEN 0 ELSE n END "
+                    "FROM (SELECT CAST(COUNT(*) AS DOUBLE) AS n FROM split_rows WHERE is_test), (VALUES "
+                    "('macro avg:support', FALSE), ('weighted avg:support', FALSE), ('matrix', FALSE), ('n_rows', FALSE), "
+                    "('accuracy_off', TRUE), ('n_differ', TRUE)) AS m(m, z)",
     "class_distribution": "SELECT 'all' AS \"split\", stockout_risk, COUNT(*) AS n FROM "
                           "split_rows GROUP BY stockout_risk UNION ALL "
                           "SELECT CASE WHEN is_test THEN 'test' ELSE 'train' END, stockout_risk, COUNT(*) FROM "
@@ -574,6 +579,18 @@ FINAL: dict[str, str] = {
                                 for c in [*P.FACT_COLUMNS, "missing_column"]]),
     "warehouse_sql_row_counts": _row_counts(("fact_events", "rc_events"),
                                             ("agg_reviews", f"({reviews_agg('rc_reviews')})")),
+    "warehouse_statements": _union([
+        "SELECT 'order_duplicates' AS statement, order_id AS \"key\", CAST(COUNT(*) AS DOUBLE) AS \"value\" FROM l_orders "
+        "GROUP BY order_id HAVING COUNT(*) > 1",
+        *(f"SELECT 'order_null_counts', '{c}', CAST(COUNT(*) - COUNT({c}) AS DOUBLE) FROM l_orders"
+          for c in ("product_id", "store_id", "order_date")),
+        f"SELECT 'risk_distribution', CAST(stockout_risk AS VARCHAR), CAST(COUNT(*) AS DOUBLE) FROM {RAW_FACT} GROUP BY stockout_risk",
+        f"SELECT 'fact_duplicates', product_id || '|' || store_id, CAST(COUNT(*) AS DOUBLE) FROM {RAW_FACT} "
+        "GROUP BY product_id, store_id HAVING COUNT(*) > 1",
+        "SELECT 'region_avg_sales', region, CAST((200 * SUM(sales_30d) + COUNT(sales_30d)) // (2 * COUNT(sales_30d)) "
+        f"AS DOUBLE) / CAST(100 AS DOUBLE) FROM {RAW_FACT} GROUP BY region",
+        "SELECT 'at_risk_rows', product_id || '|' || store_id || '|' || CAST(stock_qty AS VARCHAR), CAST(sales_7d AS DOUBLE) "
+        f"FROM {RAW_FACT} WHERE stockout_risk = 1"]),
     "time_anchors": "SELECT 'orders' AS clock, max(order_date) AS anchor FROM c_orders UNION ALL "
                     "SELECT 'events', max(event_ts) FROM c_events",
     "trailing_window": "SELECT * FROM c_orders WHERE order_date >= "

@@ -51,3 +51,10 @@ def metrics_rows(report: DataFrame, confusion: DataFrame, run_id: str) -> DataFr
                              F.col("n").cast("double").alias("value"))
     return one.unionByName(per).unionByName(cells).select(
         F.lit(run_id).alias("run_id"), F.lit("train").alias("step"), "metric", "value")
+
+
+def reload_differences(model, path: str, rows: DataFrame) -> DataFrame:
+    """K7: rows that the model and its saved copy predict differently, and all rows."""
+    first = M.predict(model, rows).select(*rows.columns, F.col("prediction").alias("first_prediction"))
+    return M.predict(M.load_model(path), first).agg(
+        F.count_if(~F.col("prediction").eqNullSafe(F.col("first_prediction"))).alias("n_differ"), F.count("*").alias("n_rows"))

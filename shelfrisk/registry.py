@@ -26,7 +26,8 @@ from .plans import marts as Q
 from .plans.colocated import fact_from_pairs, forget, store_pairs
 from .plans.etl import clean_sources, fact_from_clean, materialize, without_time_partitions
 from .plans.fact import add_stockout_flag
-from .plans.training import run_training
+from .plans.statements import declared, run_statements
+from .plans.training import reload_differences, run_training
 from .plans.warehouse import load_tables, run_load
 from .schemas import RAW_EVENTS
 from .session import scratch_path, scratch_root, tune
@@ -484,6 +485,26 @@ def q_train_forest_support(spark, sf):
     return per.unionByName(out["confusion"].agg(F.lit("matrix").alias("class_label"), F.sum("n").alias("support")))
 
 
+def q_training_log(spark, sf):
+    """K4 + K7: what the training step logged, read back: the supports, the cells of
+    the matrix in all, and how far the accuracy is from them; and the saved model,
+    loaded and used again on the test rows."""
+    root = scratch_path(spark, "train-log")
+    out = run_training(spark, fact(spark, sf), model_path=f"{root}/model", log_path=f"{root}/run_log", run_id="0042")
+    log = read_run_log(spark, f"{root}/run_log").filter(F.col("run_id") == "0042")
+    metric, value = F.col("metric"), F.col("value")
+    cells = F.sum(F.when(metric.startswith("matrix:"), value))
+    right = F.sum(F.when(metric.isin("matrix:0:0", "matrix:1:1"), value))
+    accuracy = F.max(F.when(metric == "accuracy", value))
+    test = out["split"].filter("is_test").drop("is_test")
+    again = reload_differences(out["model"], f"{root}/model", test)
+    supports = log.filter(metric.endswith(":support")).select("metric", "value")
+    summary = log.agg(cells.alias("matrix"), F.round(F.abs(accuracy * cells - right), 6).alias("accuracy_off"))
+    return (supports.unionByName(summary.unpivot([], ["matrix", "accuracy_off"], "metric", "value"))
+            .unionByName(again.select(F.col("n_differ").cast("double"), F.col("n_rows").cast("double"))
+                         .unpivot([], ["n_differ", "n_rows"], "metric", "value")))
+
+
 # --- S / K: sources and sinks ------------------------------------------------
 
 def q_csv_round_trip(spark, sf):
@@ -670,6 +691,14 @@ def q_warehouse_sql_row_counts(spark, sf):
         drop_tables(spark, tables)
 
 
+def q_warehouse_statements(spark, sf):
+    """Q4-Q5, Q7-Q10 as Spark SQL over the loaded, declared warehouse."""
+    root = scratch_path(spark, "warehouse-sql")
+    reload_tables(_all_tables(spark, sf), root)
+    with declared(spark, root) as prefix:
+        return run_statements(spark, prefix).checkpoint()
+
+
 def q_time_anchors(spark, sf):
     """A1: the two clocks, max order date and max event time."""
     cl = typed_clean(spark, sf)

@@ -165,3 +165,55 @@ def test_run_training_logs_metrics(spark, tmpdir_fresh):
     got = {r.metric for r in log.collect()}
     assert {"accuracy", "0:support", "1:recall", "matrix:0:0", "matrix:0:1", "matrix:1:0", "matrix:1:1"} <= got
     assert M.load_model(f"{tmpdir_fresh}/m") is not None
+
+
+def test_separable_table_gives_a_fixed_report(spark, tmpdir_fresh):
+    """Where one column tells the classes apart, every figure is 1, also from the saved model."""
+    from shelfrisk.plans.training import reload_differences, run_training
+    cols = _fact(spark).schema
+    rows = [{"product_id": "p1", "store_id": f"s{i}", "category": "c", "region": "north", "avg_rating": 3.0, "web_signal": 1,
+             "stockout_risk": int(i % 4 == 0), "sales_7d": 50 if i % 4 == 0 else 2, "sales_30d": 60, "stock_qty": 5 if i % 4 == 0 else 90}
+            for i in range(200)]
+    fact = spark.createDataFrame([tuple(r[c] for c in cols.names) for r in rows], cols)
+    out = run_training(spark, fact, model_path=f"{tmpdir_fresh}/m", num_trees=5)
+    rep = {r.class_label: r for r in out["report"].collect()}
+    assert all(r.f1_score == 1.0 for r in rep.values())
+    assert rep["0"].support == 3 * rep["1"].support and out["accuracy"].first().accuracy == 1.0
+    test = out["split"].filter("is_test").drop("is_test")
+    assert reload_differences(out["model"], f"{tmpdir_fresh}/m", test).first() == (0, rep["accuracy"].support)
+
+
+def test_statements_equal_the_marts(spark, tmpdir_fresh):
+    from shelfrisk.plans import marts as Q
+    from shelfrisk.plans import statements as ST
+    from shelfrisk.schemas import WAREHOUSE
+    from shelfrisk.sources.reload import read_current, reload_tables
+    fact = _fact(spark).unionByName(_fact(spark).limit(2))
+    orders = spark.createDataFrame([("o1", None, "c", "p1", "s1", 1, 2.0, "web"), ("o1", None, "c", None, "s1", 1, 2.0, "web"),
+                                    ("o2", None, "c", "p2", None, 3, 1.0, None)], WAREHOUSE["fact_orders"][0])
+    root = f"{tmpdir_fresh}/wh"
+    reload_tables({"fact_orders": orders, "fact_stock_risk": fact}, root)
+    with ST.declared(spark, root) as prefix:
+        got = {name: [tuple(r) for r in ST.run_statement(spark, name, prefix).collect()] for name in ST.STATEMENTS}
+        long = ST.run_statements(spark, prefix).collect()
+        tables = [t.name for t in spark.catalog.listTables() if t.name.startswith(prefix)]
+    assert len(tables) == 2 and not [t for t in spark.catalog.listTables() if t.name.startswith(prefix)]
+    for name, (mart, source) in {"order_duplicates": (Q.order_duplicates, orders), "risk_distribution": (Q.risk_distribution, fact),
+                                 "fact_duplicates": (Q.fact_duplicates, fact), "at_risk_rows": (Q.at_risk_rows, fact)}.items():
+        assert sorted(got[name], key=str) == sorted((tuple(r) for r in mart(source).collect()), key=str), name
+    assert got["at_risk_rows"] == sorted(got["at_risk_rows"], key=lambda r: (-r[3], r[2], r[0], r[1]))
+    assert dict(got["order_null_counts"]) == {"product_id": 1, "store_id": 1, "order_date": 3}
+    means = [(r, float(v)) for r, v in got["region_avg_sales"]]
+    assert sorted(means, key=str) == sorted(((r.region, r.avg_sales_30d) for r in Q.region_avg_sales(fact).collect()), key=str)
+    assert [v for _, v in means] == sorted((v for _, v in means), reverse=True)
+    assert len(long) == sum(map(len, got.values()))
+
+
+def test_two_trainings_keep_their_own_log(spark, tmpdir_fresh):
+    from shelfrisk.plans.training import metrics_rows
+    from shelfrisk.sources.sinks import read_run_log, write_run_log
+    cm = M.confusion_matrix(spark, _labels(spark, {0: 3, 1: 1}).withColumn("prediction", F.lit(0)))
+    for run in ("a", "b", "a"):
+        write_run_log(metrics_rows(M.classification_report(cm), cm, run), f"{tmpdir_fresh}/log")
+    log = read_run_log(spark, f"{tmpdir_fresh}/log")
+    assert {(r.run_id, r["count"]) for r in log.groupBy("run_id").count().collect()} == {("a", 21), ("b", 21)}
