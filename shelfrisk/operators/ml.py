@@ -169,7 +169,9 @@ def fit_forest(train: DataFrame, features: Sequence[str], encoder: StringIndexer
     forest = RandomForestClassifier(featuresCol="features", labelCol=label, weightCol="weight", numTrees=num_trees,
                                     seed=seed, maxDepth=30, maxBins=most, cacheNodeIds=True, maxMemoryInMB=512)
     stages = [*([encoder] if encoder else []), assembler]
-    return PipelineModel([*stages, forest.fit(PipelineModel(stages).transform(data))])
+    # a copy has no training summary: that holds the session, which can't be sent to
+    # tasks once the session has observed metrics
+    return PipelineModel([*stages, forest.fit(PipelineModel(stages).transform(data)).copy()])
 
 
 def fit_encoder(df: DataFrame, categorical: Sequence[str]) -> StringIndexerModel | None:

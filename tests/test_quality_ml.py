@@ -122,6 +122,18 @@ def test_forest_takes_any_catalogue(spark):
     assert model.stages[-1].getOrDefault("maxBins") == 201
 
 
+def test_forest_predicts_in_a_session_that_has_observed_metrics(spark):
+    from pyspark.sql import Observation
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 3}
+    rows = [(f"p{i}", "s", float(i % 7), int(i % 7 == 0)) for i in range(70)]
+    df = spark.createDataFrame(rows, "product_id string, store_id string, x double, stockout_risk int")
+    model = M.fit_forest(df, ["x"], None, num_trees=2, partitions=2)
+    got = M.predict(model, df).collect()
+    assert len(got) == 70 and all(r.prediction == r.stockout_risk for r in got)
+
+
 def test_weights_and_metrics(spark):
     df = _labels(spark, {0: 6, 1: 2})
     w = {r.stockout_risk: r.weight for r in M.class_weights(df).collect()}
