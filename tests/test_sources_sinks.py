@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -103,6 +104,25 @@ def test_wrong_types_spoil_their_own_field(spark, tmpdir_fresh):
     assert [r.product_id for r in frames["jsonl"].collect()] == ["P2"]
 
 
+def test_wrong_types_in_a_large_array(spark, tmpdir_fresh):
+    """The work on a file with wrong types grows with its size, not with size times records."""
+    folder = f"{tmpdir_fresh}/stock of {{a}}"
+    os.makedirs(folder)
+    rows = [{"product_id": f"P{i}", "store_id": "S1", "stock_qty": "many" if i % 5 == 0 else i, "last_update": "x" * 300} for i in range(40_000)]
+    texts = {"typed.json": json.dumps(rows, indent=0), "good.json": json.dumps(rows[1:3]), "none.json": "[]"}
+    for name, text in texts.items():
+        with open(f"{folder}/{name}", "w") as f:
+            f.write(text)
+    spec = S.SourceSpec("stock", f"{tmpdir_fresh}/stock of *", "json", schemas.RAW_INVENTORY)
+    start = time.monotonic()
+    frames, status = S.read_sources(spark, [spec], f"{tmpdir_fresh}/landed")
+    assert time.monotonic() - start < 60
+    assert [(r.status, r.parsed, r.corrupt) for r in status.collect()] == [("ok", 40_002, 0)]
+    assert frames["stock"].agg(F.sum("stock_qty")).first()[0] == sum(i for i in range(40_000) if i % 5) + 3
+    states = S.landed(spark, spec, f"{tmpdir_fresh}/landed").groupBy(S.STATE, S.CORRUPT).count().collect()
+    assert {(r[0], r[1], r[2]) for r in states} == {("good", None, 2), ("partial", texts["typed.json"][:S.HEAD], 40_000)}
+
+
 def test_a_broken_array_stops_the_etl(spark, tmpdir_fresh):
     from shelfrisk.plans.etl import run_etl_files
 
