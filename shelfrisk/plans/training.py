@@ -19,9 +19,11 @@ def run_training(spark: SparkSession, fact: DataFrame, model_path: str | None =
                  log_path: str | None = None, run_id: str | None = None) -> dict[str, DataFrame]:
     tune(spark)
     data, features, categorical = M.prepare_features(fact)
-    # the split feeds fit, scoring and the distribution: cut its lineage once
-    # (reliable checkpoint in the shared spark.checkpoint.dir)
+    # the split and the encoder read the fact five times, and the split feeds fit,
+    # scoring and the distribution: cut the lineage of both once (reliable
+    # checkpoint in the shared spark.checkpoint.dir)
     scratch_root(spark)
+    data = data.checkpoint()
     split = M.stratified_split(data, seed=seed).checkpoint()
     train = split.filter(~F.col("is_test")).drop("is_test")
     test = split.filter(F.col("is_test")).drop("is_test")

@@ -179,6 +179,24 @@ def test_run_training_logs_metrics(spark, tmpdir_fresh):
     assert M.load_model(f"{tmpdir_fresh}/m") is not None
 
 
+def test_training_computes_the_fact_once(spark):
+    from shelfrisk.plans.training import run_training
+    fact = _fact(spark)
+    for i in range(3):
+        fact = fact.unionByName(_fact(spark).withColumn("store_id", F.concat("store_id", F.lit(f"-{i}"))))
+    rows, seen = fact.collect(), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    fact = spark.createDataFrame(rows, fact.schema).mapInPandas(counted, fact.schema)
+    out = run_training(spark, fact, num_trees=2)
+    assert {r.class_label for r in out["report"].collect()} >= {"0", "1", "accuracy"}
+    assert seen.value == len(rows)
+
+
 def test_separable_table_gives_a_fixed_report(spark, tmpdir_fresh):
     """Where one column tells the classes apart, every figure is 1, also from the saved model."""
     from shelfrisk.plans.training import reload_differences, run_training
