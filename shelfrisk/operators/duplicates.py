@@ -1,13 +1,14 @@
 """Exact duplicates by row hash.
 
 Whole rows are wide; what tells them apart is not.  Rows are first counted by a
-128-bit hash of all their columns, so the shuffle of the whole table carries 16
+64-bit hash of all their columns, so the shuffle of the whole table carries 8
 bytes a row, counted map-side.  Hashes that occur once are no duplicates, as equal
 rows have equal hashes.  Only rows of the other hashes, the suspects, are compared
 as whole rows, so the result is exact whatever collides; a table without
-duplicates needs no second pass.  The suspects' hashes are stored first, so the
-join that finds their rows knows their size: a broadcast while they are few, a
-sort-merge join beyond.
+duplicates needs no second pass.  The suspects' hashes are stored and counted
+first: up to ``MAX_BROADCAST`` of them are broadcast to find their rows; beyond
+that every row is compared whole, in one shuffle, which moves less than a join
+that looks for them.
 
 Rows are equal as in ``DISTINCT``: NULLs are equal, -0.0 equals 0.0.  The input is
 read twice and must give the same rows each time (files do).
@@ -23,15 +24,16 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
-KEY = ("_row_hash_1", "_row_hash_2")
+KEY = ("_row_hash_1",)
+MAX_BROADCAST = 4_000_000            # hashes of 8 bytes
 RowKey = Callable[[DataFrame], list[Column]]
 
 
 def row_key(df: DataFrame) -> list[Column]:
-    """Two 64-bit hashes of the whole row.  The hash function skips NULLs, so
+    """A 64-bit hash of the whole row.  The hash function skips NULLs, so
     which columns are NULL is hashed too."""
     empty = F.concat(*[F.when(F.col(c).isNull(), F.lit("1")).otherwise(F.lit("0")) for c in df.columns])
-    return [F.xxhash64(F.lit(salt), empty, *df.columns) for salt in ("first", "second")]
+    return [F.xxhash64(F.lit("first"), empty, *df.columns)]
 
 
 def _keyed(df: DataFrame, key: RowKey) -> DataFrame:
@@ -62,7 +64,9 @@ def dedupe_exact_by_hash(df: DataFrame, key: RowKey = row_key) -> DataFrame:
     hashes, seen = suspects(df, key=key)
     if not seen["suspects"]:
         return df
-    keyed = _keyed(df, key)
+    if seen["suspects"] > MAX_BROADCAST:
+        return df.distinct()
+    keyed, hashes = _keyed(df, key), F.broadcast(hashes)
     alone = keyed.join(hashes, list(KEY), "left_anti").drop(*KEY)
     shared = keyed.join(hashes, list(KEY), "left_semi").drop(*KEY)
     return alone.union(shared.distinct())
@@ -72,8 +76,9 @@ def duplicate_profile(df: DataFrame, nulls: Sequence[str] = (), key: RowKey = ro
     """A13 + A14: rows, rows that repeat another (``duplicates``) and NULLs of
     some columns."""
     hashes, seen = suspects(df, nulls, key)
-    repeats = 0
-    if seen.pop("suspects"):
-        shared = _keyed(df, key).join(hashes, list(KEY), "left_semi").drop(*KEY)
+    repeats, found = 0, seen.pop("suspects")
+    if found:
+        few = found <= MAX_BROADCAST
+        shared = _keyed(df, key).join(F.broadcast(hashes), list(KEY), "left_semi").drop(*KEY) if few else df
         repeats = shared.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n")).agg(F.sum(F.col("_n") - 1)).first()[0]
     return {**seen, "duplicates": repeats}

@@ -108,3 +108,22 @@ def test_dictionary_by_ranges(spark):
     want = long.withColumn("index", (F.dense_rank().over(Window.partitionBy("column").orderBy("value")) - 1).cast("int"))
     assert got.count() == 1_000_007 and got.exceptAll(want).limit(1).count() == 0
     assert M.encoding_dictionary(df.limit(0), ["many"]).count() == 0
+
+
+def test_one_narrow_hash_crosses_the_first_shuffle(spark):
+    """8 bytes a row, not 16: what collides is compared whole."""
+    df = sample(spark)
+    assert [c for c in df.select(*D.row_key(df)).dtypes if c[1] == "bigint"] == df.select(*D.row_key(df)).dtypes
+    assert len(D.row_key(df)) == len(D.KEY) == 1
+
+
+@pytest.mark.parametrize("most", [0, 1000])
+def test_many_suspects_need_no_join(spark, monkeypatch, most):
+    """Up to a bound the suspects are broadcast; beyond it no row is looked up."""
+    monkeypatch.setattr(D, "MAX_BROADCAST", most)
+    df = sample(spark)
+    assert D.duplicate_profile(df)["duplicates"] == duplicate_row_count(df).first()[0]
+    got = D.dedupe_exact_by_hash(df)
+    assert bag(got) == bag(df.distinct())
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and ("BroadcastHashJoin" in plan) == bool(most)
