@@ -29,11 +29,11 @@ def dedupe_exact(df: DataFrame) -> DataFrame:
 
 def _pick_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
                   pick) -> DataFrame:
-    rest = [c for c in df.columns if c not in keys]
-    ordering = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order_by)]
+    first = list(dict.fromkeys(c for c in order_by if c not in keys))
     # remaining columns close the ordering, so ties resolve the same way on
-    # every run and partitioning
-    packed = F.struct(*ordering, *[F.col(c) for c in rest]).alias("_pick")
+    # every run and partitioning; each column is carried once
+    rest = [c for c in df.columns if c not in keys and c not in first]
+    packed = F.struct(*[F.col(c) for c in [*first, *rest]]).alias("_pick")
     out = df.groupBy(*keys).agg(pick(packed).alias("_pick"))
     return out.select(*[F.col(c) if c in keys else F.col(f"_pick.{c}").alias(c)
                         for c in df.columns])
@@ -155,11 +155,19 @@ def clean_inventory(df: DataFrame, formats: Sequence[str] = INVENTORY_TS_FORMATS
              .transform(parse_timestamps, "last_update", formats)
              .transform(drop_null_keys, ["product_id", "store_id", "last_update"]))
     if clip:
-        out = out.withColumn("stock_qty", clip_lower(fill_default("stock_qty", 0), 0))
+        out = fill_stock(out)
     return out.transform(latest_per_key, ["product_id", "store_id"],
                          ["last_update", "stock_qty"])
 
 
+def fill_stock(df: DataFrame) -> DataFrame:
+    """C11 -> C12 on the stock.  Both keep the order of stocks (NULL is the least
+    and becomes 0, as all below 0 do), so where a row is nothing but its key, stock
+    and time, they may follow C3 as well as precede it: ``fill_stock`` of the loaded
+    inventory (CL8) is the cleaned one (CL4)."""
+    return df.withColumn("stock_qty", clip_lower(fill_default("stock_qty", 0), 0))
+
+
 def clean_reviews(df: DataFrame, formats: Sequence[str] = (P.ISO_DATE,),
                   low: int = P.RATING_MIN, high: int = P.RATING_MAX,
                   order_by: Sequence[str] = ()) -> DataFrame:

@@ -18,7 +18,9 @@ from ..sources.sinks import create_tables
 LOAD_TABLES = ("dim_product", "dim_store", "fact_orders", "fact_inventory", "fact_stock_risk")
 
 
-def load_tables(raw: dict[str, DataFrame], fact: DataFrame) -> dict[str, DataFrame]:
+def load_tables(raw: dict[str, DataFrame], fact: DataFrame, inventory: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The five tables; ``inventory`` is what CL8 made of the raw one, where it was
+    stored already, as the fact takes its stock from it too."""
     products = (C.load_by_key(raw["products"], ["product_id"])
                 .withColumns({"cost_price": tolerant_double("cost_price"),
                               "sale_price": tolerant_double("sale_price")}))
@@ -29,17 +31,17 @@ def load_tables(raw: dict[str, DataFrame], fact: DataFrame) -> dict[str, DataFra
         "dim_product": products,
         "dim_store": C.load_by_key(raw["stores"], ["store_id"]),
         "fact_orders": orders,
-        "fact_inventory": C.load_inventory(raw["inventory"]),
+        "fact_inventory": C.load_inventory(raw["inventory"]) if inventory is None else inventory,
         "fact_stock_risk": C.load_by_key(fact, ["product_id", "store_id"]),
     }
 
 
 def run_load(spark: SparkSession, raw: dict[str, DataFrame], fact: DataFrame, root: str,
-             register: bool = False, prefix: str = "") -> dict[str, DataFrame]:
+             register: bool = False, prefix: str = "", inventory: DataFrame | None = None) -> dict[str, DataFrame]:
     """K5 (+ K6 when ``register``): reload the five tables, read back what is
     current.  Declared tables follow once the whole reload is published."""
     tune(spark)
-    tables = reload_tables(load_tables(raw, fact), root)
+    tables = reload_tables(load_tables(raw, fact, inventory), root)
     if register:
         create_tables(spark, root, prefix, names=list(LOAD_TABLES), paths=current_paths(spark, root))
     return tables

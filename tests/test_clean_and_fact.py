@@ -118,3 +118,23 @@ def test_generic_aggregates(spark):
     assert rows(A.value_counts(df, "k", dropna=False)) == {("a", 2), ("b", 1), (None, 1)}
     assert A.distinct_count(df, "k").first()[0] == 2
     assert A.negative_counts(df, ["v"]).first()[0] == 0
+
+
+def test_stock_filled_after_the_latest_reading(spark):
+    """CL4 is C11 and C12 on what CL8 loads: NULL, negative and tied stocks, odd times and keys."""
+    import itertools
+    stocks = [None, -3, 0, 4]
+    rows = [(f"p{i}", "s", a, "2024-01-01T00:00:00") for i, pair in enumerate(itertools.product(stocks, stocks)) for a in pair]
+    rows += [("p0", "s", -9, "2024-01-02T00:00:00"), ("p1", "s", 7, "unknown"), (None, "s", 1, "2024-01-01"), ("q", None, 1, "2024-01-01")]
+    raw = spark.createDataFrame(rows, "product_id string, store_id string, stock_qty long, last_update string").repartition(3)
+    late, early = C.fill_stock(C.load_inventory(raw)), C.clean_inventory(raw)
+    assert late.columns == early.columns
+    assert sorted(map(str, late.collect())) == sorted(map(str, early.collect())) and early.count() == 16
+
+
+def test_a_pick_carries_each_column_once(spark):
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", None, "z")], "k string, o long, r string")
+    got = C.latest_per_key(df, ["k"], ["o"])
+    packed = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "_o0" not in packed and got.columns == df.columns
+    assert sorted(map(tuple, got.collect())) == [("a", 2, "y"), ("b", None, "z")]

@@ -325,3 +325,44 @@ def test_no_scratch_folder_on_a_cluster_is_an_error():
 
     with pytest.raises(ValueError):
         scratch_root(Spark)
+
+
+def test_exports_are_compressed_and_read_back(spark, tmpdir_fresh):
+    """JSON arrays written batch by batch, packed: quotes, line breaks, NULLs, an empty partition."""
+    import os
+    rows = [(str(i), None if i % 3 else 'say "hi",\n[x]', "é", "2024-01-01", "web") for i in range(25_000)]
+    df = spark.createDataFrame(rows, schemas.RAW_EVENTS).repartition(3).union(spark.createDataFrame([], schemas.RAW_EVENTS))
+    path = S.write_json_array(df, f"{tmpdir_fresh}/packed", "gzip")
+    assert all(f.endswith(".gz") for f in os.listdir(path) if f.startswith("part-"))
+    back = S.read_json_array(spark, path, schemas.RAW_EVENTS)
+    assert back.count() == 25_000 and back.exceptAll(df).isEmpty()
+
+
+def test_feed_joins_the_orders_once(spark, tmpdir_fresh, monkeypatch):
+    """The warehouse's tables come of stored raw orders and of one stored load of the inventory."""
+    from shelfrisk import registry
+    calls = []
+    for name in ("raw_orders", "raw_inventory"):
+        plain = getattr(registry.AD, name)
+        monkeypatch.setattr(registry.AD, name, lambda s, sf, plain=plain, name=name: (calls.append(name), plain(s, sf))[1])
+    ts = "timestamp'2024-01-05 00:00:00'"
+    tables = {
+        "orders": "select id as o_orderkey, id % 7 as o_custkey from range(200)",
+        "lineitem": f"select id % 180 as l_orderkey, id % 20 as l_partkey, id % 5 as l_suppkey, cast(id % 4 as int) as l_linenumber, "
+                    f"cast(id % 50 as double) as l_quantity, cast(id as double) as l_extendedprice, 'N' as l_returnflag, "
+                    f"cast({ts} as timestamp_ntz) as l_shipdate from range(600)",
+        "part": "select id as p_partkey, 'n' as p_name, 't' as p_type, 'b' as p_brand, 1.5D as p_retailprice from range(20)",
+        "supplier": "select id as s_suppkey, 's' as s_name, id % 2 as s_nationkey from range(5)",
+        "nation": "select id as n_nationkey, 'n' as n_name, id as n_regionkey from range(2)",
+        "region": "select id as r_regionkey, 'ASIA' as r_name from range(2)",
+        "events": f"select id as event_id, cast({ts} as timestamp_ntz) as ts, id % 20 as user_id, 'view' as event_type, "
+                  "cast(id % 6 as double) as value, 'p' as props from range(300)",
+    }
+    for name, sql in tables.items():
+        spark.sql(sql).write.parquet(f"{tmpdir_fresh}/{name}.parquet")
+    got = registry._all_tables(spark, tmpdir_fresh)
+    assert not any("lineitem.parquet" in f for name in ("fact_orders", "fact_inventory", "fact_stock_risk") for f in got[name].inputFiles())
+    old = registry._load(spark, tmpdir_fresh)
+    for name, df in old.items():
+        assert got[name].columns == df.columns
+        assert sorted(map(str, got[name].collect())) == sorted(map(str, df.collect()))
