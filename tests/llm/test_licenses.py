@@ -119,6 +119,30 @@ def test_no_keyword_hides_a_rule():
         assert r.keyword in re.sub(L.MARKS, " ", text, flags=re.ASCII) and any(h in text for h in L.HINTS), (r, text)
 
 
+def test_no_gate_hides_a_rule():
+    """What a rule matches holds its one hint and the literals beside its keyword; most rules ask for some."""
+    for r, text in samples(20):
+        low = re.sub(L.MARKS, " ", text, flags=re.ASCII)
+        assert r.hint in low and all(x in low for x in r.needs), (r, text)
+    assert sum(bool(r.needs) and bool(r.hint) for r in L.rules()) > 250
+    assert L.literals(r"mit(?:[ -]style)? licen[sc]e") == ("e", "licen", "mit")
+    assert L.literals(r"x?y\+z a/b[ab]|[cd]y\+z a/b") == ("y+z a b",)
+    assert L.starts(r"(?:gnu )?(?:lesser|xy)?(?:a|\(b)c|de") == set("glxa(d")
+
+
+def test_blanks_are_replaced_once_a_text(spark, odd):
+    """Not again for each keyword that is looked for."""
+    plan = L.scan(odd)._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"[Cc]ontains\(regexp_replace", plan)
+
+
+def test_many_matches_and_marks(spark):
+    """Folds in blocks, and texts that hold the characters put around matches."""
+    texts = [f"{'x' * (n % 7)} mit license, gpl-2 " * n for n in (1, 128, 129, 256, 257, 1025)]
+    texts += [f"{L.OPEN}mit{L.CLOSE} license {L.CLOSE}mit license{L.OPEN} CC{L.OPEN}by", L.OPEN * 3 + "gpl" + L.CLOSE, "\U0001F600 mit license \U0001F600"]
+    check([{"text": t} for t in texts], sorted(rows(L.scan(frame(spark, texts))), key=lambda r: r["doc_id"]))
+
+
 def test_gated_scan_against_all_rules(spark):
     texts = [f"See: {text}." for _, text in samples(1)] + ["under the GNU Library General Public License version 2"]
     got = sorted(rows(L.scan(frame(spark, texts))), key=lambda r: r["doc_id"])
