@@ -366,3 +366,54 @@ def test_feed_joins_the_orders_once(spark, tmpdir_fresh, monkeypatch):
     for name, df in old.items():
         assert got[name].columns == df.columns
         assert sorted(map(str, got[name].collect())) == sorted(map(str, df.collect()))
+
+
+def test_status_sources_are_packed(spark, tmpdir_fresh, monkeypatch):
+    """All files that the status query exports are packed, its figures are those of the rows."""
+    import glob
+    import os
+    from shelfrisk import registry
+    ts = "cast(timestamp'2024-01-05 00:00:00' as timestamp_ntz)"
+    tables = {
+        "orders": "select id as o_orderkey, id % 7 as o_custkey from range(1, 201)",
+        "lineitem": f"select 1 + id % 180 as l_orderkey, id % 20 as l_partkey, id % 5 as l_suppkey, cast(id as int) as l_linenumber, "
+                    f"cast(id % 50 as double) as l_quantity, cast(id as double) as l_extendedprice, 'N' as l_returnflag, "
+                    f"{ts} as l_shipdate from range(5400)",
+        "part": "select id as p_partkey, 'n' as p_name, 't' as p_type, 'b' as p_brand, 1.5D as p_retailprice from range(20)",
+        "supplier": "select id as s_suppkey, 's' as s_name, id % 2 as s_nationkey from range(5)",
+        "nation": "select id as n_nationkey, 'n' as n_name, id as n_regionkey from range(2)",
+        "region": "select id as r_regionkey, 'ASIA' as r_name from range(2)",
+        "events": f"select id + 1 as event_id, {ts} as ts, id % 20 as user_id, 'view' as event_type, "
+                  "cast(id % 6 as double) as value, 'p' as props from range(1060)",
+    }
+    for name, sql in tables.items():
+        spark.sql(sql).write.parquet(f"{tmpdir_fresh}/{name}.parquet")
+    monkeypatch.setattr(registry, "scratch_path", lambda s, name: f"{tmpdir_fresh}/{name}")
+    got = {r["dataset"]: (r["status"], r["parsed"], r["corrupt"]) for r in registry.q_source_status(spark, tmpdir_fresh).collect()}
+    assert got == {
+        "good": ("ok", 5430, 0), "lines": ("ok", 1051, 20), "array": ("error", 0, 1), "arrays": ("error", 1071, 1),
+        "typed": ("ok", 5430, 0), "blank": ("error", 0, 1), "gzip": ("error", None, None), "missing": ("error", None, None),
+        "after": ("ok", 1071, 0)}
+    parts = {f: os.path.getsize(f) for f in glob.glob(f"{tmpdir_fresh}/raw-files/*/part-*") + glob.glob(f"{tmpdir_fresh}/broken/*/part-*")}
+    assert {os.path.basename(os.path.dirname(f)) for f in parts} == {
+        "orders", "products", "stores", "inventory", "reviews", "events", "lines", "array", "arrays", "typed"}
+    assert [f for f, size in parts.items() if size > 40 and not f.endswith(".snappy")] == []        # a cut array is all but empty
+    plain = registry.S.write_json_array(registry.AD.raw_inventory(spark, tmpdir_fresh), f"{tmpdir_fresh}/plain")
+    size = sum(os.path.getsize(f) for f in glob.glob(f"{plain}/part-*"))
+    assert sum(s for f, s in parts.items() if "/typed/" in f) < size / 3
+
+
+def test_arrays_are_written_in_bounded_files(spark, tmpdir_fresh):
+    """Every file is an array of its own, full but for the last of its partition; empty partitions are empty arrays."""
+    import glob
+    import json
+    df = spark.range(0, 1000, 1, 3).union(spark.range(0, 200, 1, 2)).union(spark.range(5).where("id > 9")).select(F.col("id").cast("string").alias("k"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "70")
+    try:
+        path = S.write_json_array(df, f"{tmpdir_fresh}/arrays", rows_per_file=100)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    arrays = [json.loads(open(f).read()) for f in glob.glob(f"{path}/part-*")]
+    assert sorted(map(len, arrays)) == sorted([100] * 9 + [33, 33, 34] + [100] * 2 + [0] * (len(arrays) - 14))
+    assert sorted(int(r["k"]) for a in arrays for r in a) == sorted([*range(1000), *range(200)])
+    assert S.read_json_array(spark, path, df.schema).exceptAll(df).isEmpty()
